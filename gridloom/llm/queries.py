@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_replay, cws, pu_quality
+from . import bpe_replay, cube_mixing, cws, pu_quality, threshold_topk, url_templates, warc
+from .storage import fresh_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,13 +50,73 @@ def op6_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = threshold_topk.quantised(_table(spark, sf_dir, "embeddings"))
+    return threshold_topk.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
+
+
+def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "archives")
+    warc.write_archives(warc.plan_records(_table(spark, sf_dir, "pages")), path)
+    records = warc.read_archives(spark, path)
+    revisit = F.col("kind") == "revisit"
+    return records.select(
+        "page_id",
+        F.when(revisit, F.col("stated_bytes")).otherwise(F.octet_length("payload").cast("long")).alias("payload_bytes"),
+        F.when(revisit, F.col("digest")).otherwise(F.sha1("payload")).alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        "refers_to",
+    )
+
+
+def op9_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_templates.judge(_table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "block_rate")
+
+
+def op10_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cube_mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_pu_quality": op2_pu_quality,
         "op3_cws_fingerprints": op3_cws_fingerprints,
+        "op4_threshold_topk": op4_threshold_topk,
         "op6_bpe_replay": op6_bpe_replay,
+        "op8_warc_segments": op8_warc_segments,
+        "op9_url_templates": op9_url_templates,
+        "op10_cube_mixing": op10_cube_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_threshold_topk": """
+            WITH v AS (
+                SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS v
+                FROM embeddings
+                WHERE embedding IS NOT NULL AND len(embedding) > 0
+                  AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+            ), pairs AS (
+                SELECT q.vec_id AS query_id, c.vec_id,
+                       CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+                FROM v q JOIN v c ON q.vec_id <> c.vec_id
+                WHERE q.vec_id % 50 = 0
+            ), ranked AS (
+                SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs
+            )
+            SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+        """,
+        "op8_warc_segments": """
+            WITH p AS (
+                SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+            ), g AS (
+                SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS keeper FROM p
+            )
+            SELECT page_id, payload_bytes, payload_digest,
+                   CASE WHEN keeper IS NULL OR keeper = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+                   CASE WHEN keeper IS NULL OR keeper = page_id THEN NULL ELSE keeper END AS refers_to
+            FROM g
+        """,
+    }
