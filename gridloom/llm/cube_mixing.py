@@ -5,8 +5,9 @@ fraction p is an inclusion probability.  The flight phase keeps, for each source
 totals (documents, and words) while it moves the probabilities along the null space of the two
 constraints until they are 0 or 1: three undecided documents at a time have such a direction, and
 each step decides at least one of them.  Documents fly in chunks of fixed size; the two that a chunk
-cannot decide fly again with those of other chunks, level by level, until one chunk a source is left
-and its last two documents are landed on the whole numbers nearest to the balance.
+cannot decide fly again with those of other chunks, level by level, until one chunk a source is left.
+A dozen of its documents stay out of the flight; they and the last two undecided are landed together
+on the whole numbers nearest to the balance.
 
 Only ids, sizes and sources are shuffled, never texts.
 """
@@ -25,6 +26,8 @@ from .storage import materialise
 from .words import WORD
 
 CHUNK = 2048
+#: Documents of all lengths that the last chunk of a source leaves to the landing phase.
+LANDING = 12
 _EDGE = 1e-9
 _SCHEMA = "doc_id long, size long, source string, source_size long, target double, base long, p double"
 
@@ -134,9 +137,14 @@ def _level(landing: bool):
         # long documents first: the undecided rest, which the landing rounds, is mostly short ones
         chunk = chunk.sort_values(["size", "order", "doc_id"], ascending=[False, True, True], kind="stable", ignore_index=True)
         draws = np.random.default_rng(chunk["order"].to_numpy().view(np.uint64)[:1]).random(len(chunk))
-        p = fly(chunk["p"].to_numpy(), chunk["size"].to_numpy(), draws)
+        p, size = chunk["p"].to_numpy(float), chunk["size"].to_numpy()
+        free = np.flatnonzero((p > _EDGE) & (p < 1 - _EDGE))
+        grounded = free[np.unique(np.linspace(0, len(free) - 1, LANDING).astype(int))] if landing and len(free) else free[:0]
+        flying = np.setdiff1d(np.arange(len(p)), grounded)
+        p = p.copy()
+        p[flying] = fly(p[flying], size[flying], draws[flying])
         if landing:
-            p = land(p, chunk["size"].to_numpy())
+            p = land(p, size)
         return chunk.assign(p=p)[[c.split()[0] for c in _SCHEMA.split(", ")]]
 
     return one_chunk
