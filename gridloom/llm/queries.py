@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_replay, cube_mixing, cws, pu_quality, threshold_topk, url_templates, warc
+from . import bpe_replay, cube_mixing, cws, lsh_forest, pu_quality, threshold_topk, url_templates, warc
 from .storage import fresh_path
 
 
@@ -20,6 +20,10 @@ def _fold(modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False))
 
 
+def op1_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(_table(spark, sf_dir, "documents"), width=2, num=80, den=100)
+
+
 def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = _fold(4, 2)
@@ -80,6 +84,7 @@ def op10_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lsh_forest": op1_lsh_forest,
         "op2_pu_quality": op2_pu_quality,
         "op3_cws_fingerprints": op3_cws_fingerprints,
         "op4_threshold_topk": op4_threshold_topk,
