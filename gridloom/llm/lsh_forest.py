@@ -9,9 +9,10 @@ pairs of a region of at most ``CROWD`` classes, and the first class of a region
 it; so there are a few candidates for each class and tree, however large a region is.
 
 Candidates are confirmed on full shingle sets, in rounds that leave out what is already linked:
-the best candidate of each class; every other between classes not yet linked together; and, for
-classes still apart from a large component next to them, the members of it that resemble their
-neighbours most.  The sorts are range-partitioned, so a group of copies is split over tasks.
+the best candidate of each class; every other between classes not yet linked together; and classes
+that resemble a large component but are still apart from it against all of it, in tiles of fixed size
+(among thousands of near copies of one text the few that a class links with are not always among its
+neighbours).  The sorts are range-partitioned, so a group of copies is split over tasks.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +30,10 @@ from .storage import materialise
 from .words import mix, shingle_hashes, word_hashes
 
 HASHES, TREES, SHORTEST, DEEPEST, CROWD = 128, 32, 4, 8, 4
-#: Signature estimates this much below the threshold rule a pair out (over 4 standard deviations).
-SLACK = 0.15
-HUBS, LARGE = 4, 8
+#: Signature estimates this much below the threshold rule a pair out (5 standard deviations).
+SLACK = 0.18
+#: Components from this size on are searched whole for classes next to them, so many classes at a time.
+LARGE, TILE = 4, 512
 
 _ODD = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -171,6 +173,30 @@ def _confirmer(num: int, den: int):
     return confirm
 
 
+def _tile(num: int, den: int):
+    """Links of some classes with those of one tile of a component, by an index from shingle to class."""
+
+    def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(asked) and len(held):
+            sets = [np.frombuffer(s, np.uint64) for s in held["set"]]
+            nodes, lengths = held["node"].to_numpy(np.int64), np.array([len(s) for s in sets])
+            owner = np.repeat(np.arange(len(sets)), lengths)
+            flat = np.concatenate(sets)
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            for node, packed in zip(asked["node"], asked["set"], strict=True):
+                s = np.frombuffer(packed, np.uint64)
+                first, last = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
+                hits = np.concatenate([owner[i:j] for i, j in zip(first, last, strict=True)])
+                both = np.bincount(hits, minlength=len(sets))
+                linked = (den * both >= num * (lengths + len(s) - both)) & (nodes != node)
+                out += [(min(node, m), max(node, m)) for m in nodes[linked].tolist()]
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return search
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs``.
 
@@ -201,8 +227,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     def tested(pairs: DataFrame) -> DataFrame:
         return materialise(_both(pairs, sets, "set").select("a", "b", confirm("set_a", "set_b").alias("c")).select("a", "b", "c.linked", "c.likeness"), "tested")
 
-    def promising(pairs: DataFrame) -> DataFrame:
-        return _both(pairs, sigs, "sig").withColumn("e", _estimate("sig_a", "sig_b")).where(F.col("e") >= num / den - SLACK).select("a", "b").distinct()
+    def promising(pairs: DataFrame, *more: str) -> DataFrame:
+        return _both(pairs, sigs, "sig").withColumn("e", _estimate("sig_a", "sig_b")).where(F.col("e") >= num / den - SLACK).select("a", "b", *more).distinct()
 
     def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs with the components of their ends, where those differ."""
@@ -223,18 +249,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     checked = checked.unionByName(more)
     links = links.unionByName(more.where("linked").select("a", "b"))
     labels = materialise(connected_components(links), "labels")
-    # 3. classes next to a large component they are not in, against its most typical members
-    ends = checked.select("likeness", F.explode(F.array("a", "b")).alias("node"))
-    typical = ends.groupBy("node").agg(F.avg("likeness").alias("mean"), F.count(F.lit(1)).alias("tests")).join(labels, "node")
-    large = typical.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE).select("component")
-    first = Window.partitionBy("component").orderBy(F.desc(F.col("mean") * (1 - 1 / (1 + F.col("tests")))), "node")
-    hubs = typical.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= HUBS).join(large, "component", "left_semi").select("component", F.col("node").alias("hub"))
+    # 3. classes that resemble a large component they are not in, against all of it and each other
+    sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE)
     outside = apart(pairs, labels)
-    near = outside.select(F.col("a").alias("node"), F.col("cb").alias("component")).unionByName(outside.select(F.col("b").alias("node"), F.col("ca").alias("component"))).distinct()
-    aimed = near.join(hubs, "component").where("node <> hub")
-    aimed = aimed.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    late = tested(promising(aimed.join(checked.select("a", "b"), ["a", "b"], "left_anti")))
-    links = links.unionByName(late.where("linked").select("a", "b"))
+    near = outside.select("a", "b", F.col("a").alias("node"), F.col("cb").alias("component")).unionByName(outside.select("a", "b", F.col("b").alias("node"), F.col("ca").alias("component")))
+    near = near.join(sizes, "component").withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int"))
+    near = promising(near, "node", "component", "tiles").select("node", "component", "tiles").distinct()
+    near = materialise(near.join(sets, "node"), "strays")
+    inside = labels.join(sizes, "component").join(near.select("component").distinct(), "component", "left_semi").join(sets, "node")
+    inside = inside.withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int")).select("node", "component", "tiles", "set")
+    tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    held = inside.unionByName(near).withColumn("tile", tile).drop("tiles")
+    asked = near.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).drop("tiles")
+    late = asked.groupBy("component", "tile").cogroup(held.groupBy("component", "tile")).applyInPandas(_tile(num, den), "a long, b long")
+    links = links.unionByName(materialise(late.distinct(), "late"))
     labels = materialise(connected_components(links), "labels")
 
     members = known.select("doc_id", "n_shingles", "key").join(classes.select("key", "node"), "key").join(labels, "node", "left")
