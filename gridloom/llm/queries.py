@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_replay, cube_mixing, cws, lsh_forest, pu_quality, threshold_topk, url_templates, warc
+from . import bpe_replay, cube_mixing, cws, license_rules, lsh_forest, pu_quality, threshold_topk, url_templates, warc, zstd_toxicity
 from .storage import fresh_path
 
 
@@ -35,6 +35,17 @@ def op3_cws_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cws.successor_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op5_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_rules.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.array_join("sentence_ids", ",").alias("sentence_ids"), F.size("licenses").alias("n_licenses"))
+
+
+def op7_zstd_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _fold(5, 0)
+    scored = zstd_toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), held_out, threshold=0.5)
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), F.col("toxic").cast("int").alias("predicted"))
+
+
 def byte_bpe() -> tuple[str, str]:
     """Rank file and pattern of the public tokenizer that the queries use."""
     import public_tokenizers
@@ -88,7 +99,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_pu_quality": op2_pu_quality,
         "op3_cws_fingerprints": op3_cws_fingerprints,
         "op4_threshold_topk": op4_threshold_topk,
+        "op5_license_rules": op5_license_rules,
         "op6_bpe_replay": op6_bpe_replay,
+        "op7_zstd_toxicity": op7_zstd_toxicity,
         "op8_warc_segments": op8_warc_segments,
         "op9_url_templates": op9_url_templates,
         "op10_cube_mixing": op10_cube_mixing,
