@@ -1,6 +1,7 @@
 """From raw documents to tokens: quality, toxicity, near-duplicates, mixing, encoding.
 
-Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept.
+Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns the
+columns of documents; the last returns tokens.
 """
 
 from __future__ import annotations
@@ -8,22 +9,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import bpe_replay, pu_quality
+from gridloom.llm import bpe_replay, cube_mixing, lsh_forest, pu_quality, zstd_toxicity
 from gridloom.llm import queries as q
 from gridloom.llm.storage import materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is in ``ids``; null ids match null ids."""
+    ids = ids.select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*COLUMNS)
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (score at least 0.7)."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    ok = pu_quality.classify(docs, labels, q._fold(4, 2)).where("quality_ok").select("doc_id").distinct()
-    return docs.join(ok, "doc_id", "left_semi").select(*COLUMNS)
+    return _keep(docs, pu_quality.classify(docs, labels, q._fold(4, 2)).where("quality_ok"))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier does not reject (score below 0.5)."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _keep(docs, zstd_toxicity.classify(docs, labels, q._fold(5, 0)).where("not toxic"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five-word shingles, similarity 0.8): its smallest
+    doc_id, once.  Documents without words are no duplicates of each other."""
+    kept = _keep(docs, lsh_forest.near_duplicates(docs, width=5, num=80, den=100).where("kept"))
+    return kept.dropDuplicates(["doc_id"]).select(*COLUMNS)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: none, once or twice."""
+    return cube_mixing.repeat(docs.select(*COLUMNS), cube_mixing.mix(docs))
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with what decoding them gives checked against the text."""
+    """Token ids of every document, and whether decoding them gives its text back."""
     path, pattern = q.byte_bpe()
     coded = bpe_replay.decode(bpe_replay.encode(docs.select("doc_id", "source", "text"), path, pattern), path)
     return coded.select(
@@ -37,6 +61,9 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_classifier", quality_classifier),
+    ("toxicity", toxicity),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
     ("bpe", bpe),
 ]
 
