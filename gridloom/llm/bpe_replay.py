@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_WORDS_KEPT = 400_000
+_WORDS_KEPT = 300_000
+_SLICE_CHARS = 4_000_000
 _WORDS_AT_ONCE = 8192  # symbols of these many words stay in the processor's cache
 _NEVER = 1 << 40
 
@@ -135,8 +136,7 @@ def _encoder(path: str, pattern: str, cut_at_spaces: bool):
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         replay = MergeReplay(load_ranks(path))
         find, pack = regex.compile(pattern).findall, struct.Struct("<I").pack
-        chunks: dict[str, bytes] = {}
-        known: dict[str, bytes] = {}
+        known: dict[str, bytes] = {}  # words and cuts
 
         def cut(text: str | None) -> list[str]:
             if not text:
@@ -146,18 +146,30 @@ def _encoder(path: str, pattern: str, cut_at_spaces: bool):
             head, *rest = text.split(" ")
             return [head, *[" " + c for c in rest]]
 
-        for texts in batches:
+        def slice_ids(texts: list[str | None]) -> list[bytes]:
             pieces = [cut(t) for t in texts]
-            if len(chunks) > _WORDS_KEPT:
-                chunks.clear()
+            if len(known) > _WORDS_KEPT:
                 known.clear()
-            fresh = {c: find(c) for c in {c for p in pieces for c in p}.difference(chunks)}
+            fresh = {c: find(c) for c in {c for p in pieces for c in p}.difference(known)}
             words = list({w for f in fresh.values() for w in f}.difference(known))
             for word, ids in zip(words, replay([w.encode("utf-8", "replace") for w in words]), strict=True):
                 known[word] = pack(*ids) if len(ids) == 1 else struct.pack(f"<{len(ids)}I", *ids)
             for chunk, found in fresh.items():
-                chunks[chunk] = known[found[0]] if len(found) == 1 else b"".join([known[w] for w in found])
-            yield pd.Series([b"".join(map(chunks.__getitem__, p)) for p in pieces], dtype=object)
+                if len(found) != 1:
+                    known[chunk] = b"".join([known[w] for w in found])
+            return [b"".join(map(known.__getitem__, p)) for p in pieces]
+
+        for texts in batches:
+            out: list[bytes] = []
+            held: list[str | None] = []
+            size = 0
+            for text in texts:
+                held.append(text)
+                size += len(text or "")
+                if size >= _SLICE_CHARS:
+                    out += slice_ids(held)
+                    held, size = [], 0
+            yield pd.Series(out + slice_ids(held), dtype=object)
 
     return encode
 
