@@ -114,6 +114,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, strength:
     smooth = lambda prior: (F.col("blocked") + strength * prior) / (F.col("labelled") + strength)
     hosts = found.groupBy("host").agg(*sums).select("host", smooth(F.lit(overall)).alias("host_rate"))
     rated = found.groupBy("host", "template").agg(*sums).join(hosts, "host").select("host", "template", smooth(F.col("host_rate")).alias("block_rate"))
+    rated = materialise(rated, "rates")  # a plain table to join, whose partners with a hot template can be split
     by_path = found.select("host", "path", "template").join(rated, ["host", "template"])
     verdict = F.coalesce(label, F.when(F.col("block_rate") >= reject, "block").otherwise("allow"))
     return looked.join(by_path, ["host", "path"], "left").withColumn("verdict", verdict)
