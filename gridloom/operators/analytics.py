@@ -26,6 +26,12 @@ def top_series(table: DataFrame, unit: str, value: str, k: int = 12) -> DataFram
     return table.join(F.broadcast(best), unit, "left_semi")
 
 
+def top_per_group(table: DataFrame, group: str, value: str, k: int, *ties: str) -> DataFrame:
+    """The k largest rows of each group, with their ``rank`` from 1."""
+    order = Window.partitionBy(group).orderBy(F.desc(value), *ties)
+    return table.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def lorenz(table: DataFrame, group: str, unit: str, value: str) -> DataFrame:
     """Add the cumulative share of each group's value, smallest first (ties by unit)."""
     order = Window.partitionBy(group).orderBy(value, unit)

@@ -98,3 +98,25 @@ def content_digest(rows: DataFrame, *columns: str) -> DataFrame:
     """One row: a digest that does not depend on the rows' order, and their number."""
     h = F.xxhash64(*columns)
     return rows.agg(F.bit_xor(h).alias("digest_xor"), F.sum(h.cast("decimal(20,0)")).alias("digest_sum"), F.count(F.lit(1)).alias("n"))
+
+
+def freshness(table: DataFrame, features: Sequence[str], today: int) -> DataFrame:
+    """feature, last month with a positive value, and its age in months on month ``today``."""
+    one = table.agg(*[F.max(F.when(F.col(f) > 0, F.col("month_id"))).alias(f) for f in features])
+    rows = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("last_month"), (F.lit(today) - F.col(f)).alias("age")) for f in features])
+    return one.select(F.inline(rows))
+
+
+def health(ledger: DataFrame, now: str, n: int = 10) -> DataFrame:
+    """dataset, runs and failures among its last ``n`` ledger rows, last success, and days since then."""
+    recent = last_ledger_rows(ledger, n)
+    good = F.col("outcome") != "failed"
+    out = recent.groupBy("dataset").agg(F.count(F.lit(1)).alias("runs"), F.count(F.when(~good, 1)).alias("failures"), F.max(F.when(good, F.col("timestamp"))).alias("last_success"))
+    return out.withColumn("days_since", F.date_diff(F.lit(now).cast("date"), F.to_date(F.substring("last_success", 1, 10))))
+
+
+def changed_keys(old: DataFrame, new: DataFrame, key: str, digest: str) -> DataFrame:
+    """key and status (added, removed, changed) of digests that differ; none means a step can be skipped."""
+    joined = old.select(F.col(key).alias("_a"), F.col(digest).alias("_x")).join(new.select(F.col(key).alias("_b"), F.col(digest).alias("_y")), F.col("_a") == F.col("_b"), "full_outer")
+    status = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(~F.col("_x").eqNullSafe(F.col("_y")), "changed")
+    return joined.select(F.coalesce("_a", "_b").alias(key), status.alias("status")).where(F.col("status").isNotNull())

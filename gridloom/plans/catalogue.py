@@ -776,6 +776,59 @@ def calendar_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("year").pivot("m", [f"m{i}" for i in range(1, 13)]).agg(F.sum("best")).na.fill(0)
 
 
+@registered(f"""
+WITH {EV}, {CELL} SELECT feature, last_month, 300 - last_month AS age FROM (
+  SELECT 'best' AS feature, max(month_id) FILTER (best > 0) AS last_month FROM cells UNION ALL SELECT 'busy', max(month_id) FILTER (n > 3) FROM cells)
+""")
+def freshness_age(spark: SparkSession, sf: str) -> DataFrame:
+    rows = cell_months(spark, sf).withColumn("busy", F.col("n") - 3)
+    return quality.freshness(rows, ["best", "busy"], 300)
+
+
+@registered("""
+SELECT c_custkey FROM customer WHERE c_acctbal > 0 AND c_nationkey % 2 = 1 AND c_custkey % 5 <> 0
+""")
+def completeness_valid(spark: SparkSession, sf: str) -> DataFrame:
+    c = table(spark, sf, "customer")
+    sets = c.select(
+        "c_custkey",
+        F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("a"),
+        F.when(F.col("c_nationkey") % 2 == 1, F.col("c_nationkey")).alias("b"),
+        F.when(F.col("c_custkey") % 5 == 0, F.lit(float("nan"))).otherwise(F.lit(1.0)).alias("c"),
+    )
+    return sets.where(assemble.completeness(sets, ["a", "b", "c"])).select("c_custkey")
+
+
+@registered("""
+WITH o AS (SELECT o_custkey AS k, sum(o_orderkey) AS d FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1), n AS (SELECT o_custkey AS k, sum(o_orderkey) AS d FROM orders WHERE o_orderkey % 4 <> 0 GROUP BY 1)
+SELECT coalesce(o.k, n.k) AS k, CASE WHEN o.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' ELSE 'changed' END AS status
+FROM o FULL JOIN n ON o.k = n.k WHERE o.k IS NULL OR n.k IS NULL OR o.d <> n.d
+""")
+def changed_digests(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders")
+    digests = lambda keep: o.where(keep).groupBy(F.col("o_custkey").alias("k")).agg(F.sum("o_orderkey").alias("d"))
+    return quality.changed_keys(digests("o_orderkey % 3 <> 0"), digests("o_orderkey % 4 <> 0"), "k", "d")
+
+
+@registered("""
+WITH l AS (SELECT o_orderpriority AS dataset, CASE WHEN o_orderstatus = 'F' THEN 'failed' ELSE 'success' END AS outcome, strftime(o_orderdate, '%Y-%m-%d') || '#' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS t FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY t DESC) AS k FROM l)
+SELECT dataset, count(*) AS runs, count(*) FILTER (outcome = 'failed') AS failures, max(t) FILTER (outcome <> 'failed') AS last_success,
+  CAST(DATE '2003-01-01' - CAST(substr(max(t) FILTER (outcome <> 'failed'), 1, 10) AS DATE) AS INTEGER) AS days_since
+FROM r WHERE k <= 10 GROUP BY 1
+""")
+def ledger_health(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders")
+    stamp = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("#"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
+    rows = o.select(F.col("o_orderpriority").alias("dataset"), F.when(F.col("o_orderstatus") == "F", "failed").otherwise("success").alias("outcome"), stamp.alias("timestamp"))
+    return quality.health(rows, "2003-01-01")
+
+
+@registered("SELECT c_nationkey, c_custkey, c_acctbal, k FROM (SELECT *, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS INTEGER) AS k FROM customer) WHERE k <= 3")
+def top_per_country(spark: SparkSession, sf: str) -> DataFrame:
+    return analytics.top_per_group(table(spark, sf, "customer"), "c_nationkey", "c_acctbal", 3, "c_custkey").select("c_nationkey", "c_custkey", "c_acctbal", F.col("rank").alias("k"))
+
+
 # ---------------------------------------------------------------- polygons
 
 
