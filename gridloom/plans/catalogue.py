@@ -381,10 +381,10 @@ def remainder_allocation(spark: SparkSession, sf: str) -> DataFrame:
 
 @registered(f"""
 WITH {WEIGHTS}, q AS (SELECT *, row_number() OVER () AS r FROM ev), p AS (
-  SELECT r, best, s.s_nationkey AS code, w.pgid, share FROM q JOIN supplier s ON cell = s_suppkey JOIN weights w ON w.code = s.s_nationkey WHERE where_prec >= 4
+  SELECT r, best, s.s_nationkey AS code, w.pgid, share FROM q JOIN supplier s ON cell = s_suppkey JOIN weights w ON w.code = s.s_nationkey WHERE where_prec >= 4 AND cell > 0
 ), {_ALLOCATION}
 SELECT pgid, CAST(sum(v) AS BIGINT) AS best, count(*) AS n FROM (
-  SELECT pgid, part_of AS v FROM a UNION ALL SELECT cell, best FROM q WHERE where_prec < 4) GROUP BY 1
+  SELECT pgid, part_of AS v FROM a UNION ALL SELECT cell, best FROM q WHERE where_prec < 4 OR cell = 0) GROUP BY 1
 """)
 def proportional_distribution(spark: SparkSession, sf: str) -> DataFrame:
     rows = events(spark, sf).withColumn("priogrid_gid", F.col("cell"))
