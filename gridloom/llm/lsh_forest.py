@@ -5,8 +5,8 @@ of ``HASHES`` minima.  Each of ``TREES`` trees reads the signature from another
 are sorted by what it reads: a region of a tree is a run of classes with a common prefix of at least
 ``SHORTEST`` minima.  A region of more than ``CROWD`` classes is looked at one minimum deeper, and so
 on, so dense regions are explored deeper than sparse ones.  Candidates are neighbours in the order, all
-pairs of a region of at most ``CROWD`` classes, and the first class of a region with each other one of
-it; so there are a few candidates for each class and tree, however large a region is.
+pairs of a region of at most ``CROWD`` classes, and the first class of a deepest region with each other
+one of it (instead of neighbours); so there are a few candidates for each class and tree, however large a region is.
 
 Candidates are confirmed on full shingle sets, in rounds that leave out what is already linked:
 the best candidate of each class; every other between classes not yet linked together; and classes
@@ -100,7 +100,8 @@ def _candidates(tree: np.ndarray, node: np.ndarray, label: np.ndarray) -> tuple[
     same = (label[1:] == label[:-1]) & (tree[1:] == tree[:-1])[:, None]
     common[1:] = np.cumprod(same, axis=1).sum(1)
     rows = np.arange(n)
-    pairs = [(rows[1:][common[1:] >= SHORTEST] - 1, rows[1:][common[1:] >= SHORTEST])]
+    pairs = []
+    beside = common >= SHORTEST
     settled = np.zeros(n, bool)
     above = None
     for depth in range(SHORTEST, DEEPEST + 1):
@@ -108,6 +109,7 @@ def _candidates(tree: np.ndarray, node: np.ndarray, label: np.ndarray) -> tuple[
         size = np.bincount(head, minlength=n)[head]
         here = ~settled & ((size <= CROWD) | (depth == DEEPEST))
         star = here & (head != rows)
+        beside &= ~(star & (size > CROWD))  # both neighbours have the same first class
         pairs.append((head[star], rows[star]))
         for gap in range(2, CROWD):  # all pairs of a small region; those one apart are in already
             i = rows[gap:][here[gap:] & (size[gap:] <= CROWD) & (head[gap:] == head[:-gap])] if n > gap else rows[:0]
@@ -117,6 +119,7 @@ def _candidates(tree: np.ndarray, node: np.ndarray, label: np.ndarray) -> tuple[
             pairs.append((above[up], rows[up]))
         above = head
         settled |= here
+    pairs.append((rows[beside] - 1, rows[beside]))
     i, j = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
     keep = node[i] != node[j]
     return node[i[keep]], node[j[keep]]
@@ -246,7 +249,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     # 2. all others between components
     rest = apart(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), labels).select("a", "b")
     more = tested(promising(rest))
-    checked = checked.unionByName(more)
     links = links.unionByName(more.where("linked").select("a", "b"))
     labels = materialise(connected_components(links), "labels")
     # 3. classes that resemble a large component they are not in, against all of it and each other
