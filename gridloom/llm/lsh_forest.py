@@ -222,7 +222,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         return texts.map(lambda t: shingle_set(t, width).tobytes())
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull())
-    sets = texts.join(ends, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), packed("text").alias("set"))
+    # a merge join at every size: what is broadcast must not depend on how many classes have candidates
+    sets = texts.join(ends.hint("merge"), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), packed("text").alias("set"))
     sets = materialise(sets.where(F.octet_length("set") > 0), "sets")
     sigs = classes.select("node", "sig")
     confirm = _confirmer(num, den)
