@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_WORDS_KEPT = 300_000
-_SLICE_CHARS = 4_000_000
+from .storage import small_batches
+
+_WORDS_KEPT = 200_000
+_SLICE_CHARS = 1_000_000
 _WORDS_AT_ONCE = 8192  # symbols of these many words stay in the processor's cache
 _NEVER = 1 << 40
 
@@ -194,12 +196,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
     cuts are matched once.  That holds for patterns whose matches have white space only in front or
     throughout, as the published ones do; turn it off for others.
     """
-    return docs.withColumn(out, F.pandas_udf(_encoder(path, pattern, cut_at_spaces), T.BinaryType())(F.col(f"`{text}`")))
+    return small_batches(docs).withColumn(out, F.pandas_udf(_encoder(path, pattern, cut_at_spaces), T.BinaryType())(F.col(f"`{text}`")))
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     """Add ``out``: the bytes that the ids of :func:`encode` stand for; null ids give none."""
-    return encoded.withColumn(out, F.pandas_udf(_decoder(path), T.BinaryType())(F.col(f"`{ids}`")))
+    return small_batches(encoded).withColumn(out, F.pandas_udf(_decoder(path), T.BinaryType())(F.col(f"`{ids}`")))
 
 
 def ids_array(encoded: DataFrame, ids: str = "token_ids", out: str = "ids") -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .storage import small_batches
 from .words import mix, shingle_hashes, word_hashes
 
 SAMPLES = 64
@@ -106,7 +107,7 @@ def fingerprints(docs: DataFrame, text: str = "text", samples: int = SAMPLES, ou
         for texts in batches:
             yield texts.map(lambda t: sampler(t).astype(">u2").tobytes().hex())
 
-    return docs.withColumn(out, of(F.col(f"`{text}`")))
+    return small_batches(docs).withColumn(out, of(F.col(f"`{text}`")))
 
 
 def edited(text: str, following: str) -> str:
@@ -174,7 +175,7 @@ def successor_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame
                 held = (doc_id, text, part, follows, draws)
             yield pd.DataFrame(out, columns=[c.split()[0] for c in SUCCESSOR_SCHEMA.split(", ")]).astype({"doc_id": "Int64", "n_chars": "int64"})
 
-    return dealt.mapInPandas(walk, SUCCESSOR_SCHEMA)
+    return small_batches(dealt).mapInPandas(walk, SUCCESSOR_SCHEMA)
 
 
 def _row(held: tuple, following: str, next_draws: np.ndarray, sampler: Sampler) -> tuple:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .storage import materialise
+from .storage import materialise, small_batches
 from .words import mix, shingle_hashes, word_hashes
 
 HASHES, TREES, SHORTEST, DEEPEST, CROWD = 128, 32, 4, 8, 4
@@ -65,7 +65,7 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
             out.append((len(s), sums.tobytes() if len(s) else None, signature(s).astype(">u2").tobytes() if len(s) else None))
         return pd.DataFrame(out, columns=["n", "key", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), of("text").alias("s")).select("doc_id", F.col("s.n").alias("n_shingles"), "s.key", "s.sig")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), of("text").alias("s")).select("doc_id", F.col("s.n").alias("n_shingles"), "s.key", "s.sig")
 
 
 def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .storage import materialise, small_batches
+
 BINS = 400
 _LOW, _HIGH = -3.0, 3.0
 _PROBES = b"\n .,!?|#$%&*;:()[]{}<>=/\\@_-+'\"0~^`"
@@ -102,7 +104,7 @@ def with_features(docs: DataFrame, text: str = "text", out: str = "shape") -> Da
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([features_of(t).astype(np.float32) for t in texts], dtype=object)
 
-    return docs.withColumn(out, of(F.col(f"`{text}`")))
+    return small_batches(docs).withColumn(out, of(F.col(f"`{text}`")))
 
 
 def _gather(featured: DataFrame, size: int, one_pass) -> np.ndarray:
@@ -225,8 +227,6 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column | None = None,
     text.  Null or empty texts get the score of texts with no shape; repeated rows score alike; null
     labels and ids are no labels; extra columns stay.  Documents are joined to at most one label row.
     """
-    from .storage import materialise
-
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     if held_out is not None:
         known = known.where(~held_out)

@@ -37,3 +37,18 @@ def drop_table(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+TEXT_ROWS = 1024
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same table; from now on the session sends Python at most :data:`TEXT_ROWS` rows at a time.
+
+    Rows here carry whole texts, so the default of ten thousand would be as large as texts are long.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= TEXT_ROWS:
+        conf.set(key, str(TEXT_ROWS))
+    return df

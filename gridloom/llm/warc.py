@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .storage import small_batches
+
 SEGMENT_BYTES = 64 << 10
 CHUNK_BYTES = 16 << 10
 RECORDS_PER_FILE = 1000
@@ -123,7 +125,7 @@ def write_archives(planned: DataFrame, path: str, segment_bytes: int = SEGMENT_B
 
     rows = planned.select("page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to", F.monotonically_increasing_id().alias("number"))
     (
-        rows.mapInPandas(build, "record binary")
+        small_batches(rows).mapInPandas(build, "record binary")
         .select(F.col("record").cast("string").alias("value"))
         .write.option("lineSep", "\n").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", records_per_file)
         .text(path)
