@@ -29,6 +29,7 @@ from .storage import small_batches
 _WORDS_KEPT = 200_000
 _SLICE_CHARS = 1_000_000
 _WORDS_AT_ONCE = 8192  # symbols of these many words stay in the processor's cache
+_DECODED_AT_ONCE = 1 << 20
 _NEVER = 1 << 40
 
 
@@ -178,9 +179,27 @@ def _encoder(path: str, pattern: str, cut_at_spaces: bool):
 
 def _decoder(path: str):
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = {rank: token for token, rank in load_ranks(path).items()}
+        tokens = load_ranks(path)
+        ids = np.fromiter(tokens.values(), np.int64, len(tokens))
+        size = np.zeros(ids.max() + 1, np.int64)
+        size[ids] = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        start = np.zeros(len(size), np.int64)
+        start[ids] = np.cumsum(size[ids]) - size[ids]
+        letters = np.frombuffer(b"".join(tokens), np.uint8)
+
+        def text_of(packed: bytes | None) -> bytes:
+            ids = np.frombuffer(packed or b"", "<u4")
+            out = []
+            for at in range(0, len(ids), _DECODED_AT_ONCE):
+                part = ids[at : at + _DECODED_AT_ONCE]
+                length = size[part]
+                stop = np.cumsum(length)
+                shift = np.repeat(start[part] - stop + length, length)
+                out.append(letters[np.arange(len(shift)) + shift].tobytes())
+            return b"".join(out)
+
         for packed in batches:
-            yield pd.Series([b"".join(map(tokens.__getitem__, np.frombuffer(b, "<u4").tolist())) if b else b"" for b in packed], dtype=object)
+            yield pd.Series([text_of(b) for b in packed], dtype=object)
 
     return decode
 
