@@ -248,13 +248,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     links = checked.where("linked").select("a", "b")
     labels = materialise(connected_components(links), "labels")
     # 2. all others between components
-    rest = apart(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), labels).select("a", "b")
-    more = tested(promising(rest))
+    loose = materialise(apart(pairs.select("a", "b"), labels).select("a", "b"), "loose")  # what is linked stays so
+    more = tested(promising(loose.join(checked.select("a", "b"), ["a", "b"], "left_anti")))
     links = links.unionByName(more.where("linked").select("a", "b"))
     labels = materialise(connected_components(links), "labels")
     # 3. classes that resemble a large component they are not in, against all of it and each other
     sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE)
-    outside = apart(pairs, labels)
+    outside = apart(loose, labels)
     near = outside.select("a", "b", F.col("a").alias("node"), F.col("cb").alias("component")).unionByName(outside.select("a", "b", F.col("b").alias("node"), F.col("ca").alias("component")))
     near = near.join(sizes, "component").withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int"))
     near = promising(near, "node", "component", "tiles").select("node", "component", "tiles").distinct()
