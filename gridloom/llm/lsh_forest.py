@@ -32,8 +32,8 @@ from .words import mix, shingle_hashes, word_hashes
 HASHES, TREES, SHORTEST, DEEPEST, CROWD = 128, 32, 4, 8, 4
 #: Signature estimates this much below the threshold rule a pair out (5 standard deviations).
 SLACK = 0.18
-#: Components from this size on are searched whole for classes next to them, so many classes at a time.
-LARGE, TILE = 4, 512
+#: Components from this size on are searched whole for classes next to them, so many of either at a time.
+LARGE, TILE = 4, 256
 
 _ODD = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -177,7 +177,7 @@ def _confirmer(num: int, den: int):
 
 
 def _tile(num: int, den: int):
-    """Links of some classes with those of one tile of a component, by an index from shingle to class."""
+    """Links of a block of classes with those of one tile of a component, by an index from shingle to class."""
 
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -256,15 +256,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE)
     outside = apart(loose, labels)
     near = outside.select("a", "b", F.col("a").alias("node"), F.col("cb").alias("component")).unionByName(outside.select("a", "b", F.col("b").alias("node"), F.col("ca").alias("component")))
-    near = near.join(sizes, "component").withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int"))
-    near = promising(near, "node", "component", "tiles").select("node", "component", "tiles").distinct()
+    near = promising(near.join(sizes, "component"), "node", "component", "size").select("node", "component", "size").distinct()
     near = materialise(near.join(sets, "node"), "strays")
-    inside = labels.join(sizes, "component").join(near.select("component").distinct(), "component", "left_semi").join(sets, "node")
-    inside = inside.withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int")).select("node", "component", "tiles", "set")
-    tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    held = inside.unionByName(near).withColumn("tile", tile).drop("tiles")
-    asked = near.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).drop("tiles")
-    late = asked.groupBy("component", "tile").cogroup(held.groupBy("component", "tile")).applyInPandas(_tile(num, den), "a long, b long")
+    # a component's strays are cut into blocks, and its members and strays into tiles; block meets tile
+    cuts = near.groupBy("component").agg(F.count(F.lit(1)).alias("strays"), F.first("size").alias("size"))
+    cuts = cuts.select("component", F.ceil(F.col("strays") / TILE).cast("int").alias("blocks"), F.ceil((F.col("size") + F.col("strays")) / TILE).cast("int").alias("tiles"))
+    inside = labels.join(cuts.select("component"), "component", "left_semi").join(sets, "node")
+    held = inside.select("node", "component", "set").unionByName(near.select("node", "component", "set")).join(cuts, "component")
+    part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    held = held.select("node", "component", "set", part("tiles").alias("tile"), each("blocks").alias("block"))
+    asked = near.join(cuts, "component").select("node", "component", "set", part("blocks").alias("block"), each("tiles").alias("tile"))
+    keys = "component", "tile", "block"
+    late = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(_tile(num, den), "a long, b long")
     links = links.unionByName(materialise(late.distinct(), "late"))
     labels = materialise(connected_components(links), "labels")
 
