@@ -13,6 +13,7 @@ file, which every Python worker reads by its path.
 from __future__ import annotations
 
 import base64
+import gc
 import struct
 from collections.abc import Iterator
 from heapq import heappop, heappush
@@ -31,6 +32,7 @@ _SLICE_CHARS = 1_000_000
 _WORDS_AT_ONCE = 8192  # symbols of these many words stay in the processor's cache
 _DECODED_AT_ONCE = 1 << 20
 _NEVER = 1 << 40
+_pack = struct.Struct("<I").pack
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -62,11 +64,25 @@ class MergeReplay:
 
         A word that is itself a token is that token.
         """
-        split = [w for w in words if w not in self.ranks]
-        merged = (ids for at in range(0, len(split), _WORDS_AT_ONCE) for ids in self._merge(split[at : at + _WORDS_AT_ONCE]))
-        return [[self.ranks[w]] if w in self.ranks else next(merged) for w in words]
+        return [np.frombuffer(ids, "<u4").tolist() for ids in self.packed(words)]
 
-    def _merge(self, words: list[bytes]) -> list[list[int]]:
+    def packed(self, words: list[bytes]) -> list[bytes]:
+        """The same ids as little-endian unsigned 32-bit integers."""
+        whole = [self.ranks.get(w) for w in words]
+        split = [w for w, rank in zip(words, whole, strict=True) if rank is None]
+        merged = (ids for at in range(0, len(split), _WORDS_AT_ONCE) for ids in self._merge(split[at : at + _WORDS_AT_ONCE]))
+        return [next(merged) if rank is None else _pack(rank) for rank in whole]
+
+    def _merge(self, words: list[bytes]) -> list[bytes]:
+        collects = gc.isenabled()
+        gc.disable()  # the index makes many lists and no cycles
+        try:
+            return self._merged(words)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _merged(self, words: list[bytes]) -> list[bytes]:
         raw = np.frombuffer(b"".join(words), np.uint8)
         stops = np.cumsum([len(w) for w in words])
         last = np.zeros(len(raw), bool)
@@ -129,7 +145,11 @@ class MergeReplay:
                             heappush(queue, new)
                         if new < rank:
                             held = stop
-        return [[s for s in symbol[a:b] if s >= 0] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
+        left = np.array(symbol, np.int64)
+        kept = left >= 0
+        ids = left[kept].astype("<u4").tobytes()
+        stops = 4 * np.concatenate(([0], np.cumsum(kept)))[np.concatenate(([0], stops))]
+        return [ids[a:b] for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)]
 
 
 _LATE_SPACE = regex.compile(r"\s ")
@@ -138,7 +158,7 @@ _LATE_SPACE = regex.compile(r"\s ")
 def _encoder(path: str, pattern: str, cut_at_spaces: bool):
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         replay = MergeReplay(load_ranks(path))
-        find, pack = regex.compile(pattern).findall, struct.Struct("<I").pack
+        find = regex.compile(pattern).findall
         known: dict[str, bytes] = {}  # words and cuts
 
         def cut(text: str | None) -> list[str]:
@@ -155,8 +175,7 @@ def _encoder(path: str, pattern: str, cut_at_spaces: bool):
                 known.clear()
             fresh = {c: find(c) for c in {c for p in pieces for c in p}.difference(known)}
             words = list({w for f in fresh.values() for w in f}.difference(known))
-            for word, ids in zip(words, replay([w.encode("utf-8", "replace") for w in words]), strict=True):
-                known[word] = pack(*ids) if len(ids) == 1 else struct.pack(f"<{len(ids)}I", *ids)
+            known.update(zip(words, replay.packed([w.encode("utf-8", "replace") for w in words]), strict=True))
             for chunk, found in fresh.items():
                 if len(found) != 1:
                     known[chunk] = b"".join([known[w] for w in found])
