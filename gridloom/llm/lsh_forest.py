@@ -9,10 +9,13 @@ pairs of a region of at most ``CROWD`` classes, and the first class of a deepest
 one of it (instead of neighbours); so there are a few candidates for each class and tree, however large a region is.
 
 Candidates are confirmed on full shingle sets, in rounds that leave out what is already linked:
-the best candidate of each class; every other between classes not yet linked together; and classes
-that resemble a large component but are still apart from it against all of it, in tiles of fixed size
-(among thousands of near copies of one text the few that a class links with are not always among its
-neighbours).  The sorts are range-partitioned, so a group of copies is split over tasks.
+the best candidate of each class; every other between classes not yet linked together; and the rest
+of every group.  A group is made of the components that a crowded deepest region or a promising
+candidate joins; each class of it outside its largest component is compared with all of it, in tiles of
+fixed size (among thousands of near copies of one text the few that a class links with are not always
+among its neighbours).  So two classes with ``DEEPEST`` minima of a tree in common are compared, unless
+they are linked already, however crowded the region is.  The sorts are range-partitioned, so a group of
+copies is split over tasks.
 """
 
 from __future__ import annotations
@@ -32,8 +35,8 @@ from .words import mix, shingle_hashes, word_hashes
 HASHES, TREES, SHORTEST, DEEPEST, CROWD = 128, 32, 4, 8, 4
 #: Signature estimates this much below the threshold rule a pair out (5 standard deviations).
 SLACK = 0.18
-#: Components from this size on are searched whole for classes next to them, so many of either at a time.
-LARGE, TILE = 4, 256
+#: Classes of a group that are compared with so many others of it at a time.
+TILE = 256
 
 _ODD = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -84,14 +87,26 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             label = np.vstack([carried[2], label])
         carried = tree[-1], node[-1], label[-1]
         last = batch["label"].iloc[-1]
-        a, b = _candidates(tree, node, label)
-        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "tree": 0, "label": None})
+        for (a, b), crowded in ((_candidates(tree, node, label), False), (_crowded(tree, node, label), True)):
+            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "tree": 0, "label": None, "crowded": crowded})
     if carried is not None:
-        yield pd.DataFrame({"a": [carried[1]], "b": pd.array([None], "Int64"), "tree": [carried[0]], "label": [last]})
+        yield pd.DataFrame({"a": [carried[1]], "b": pd.array([None], "Int64"), "tree": [carried[0]], "label": [last], "crowded": False})
 
 
 def _ends(tree: np.ndarray, node: np.ndarray, label: pd.Series, i: int) -> pd.DataFrame:
-    return pd.DataFrame({"a": [node[i]], "b": pd.array([None], "Int64"), "tree": [tree[i]], "label": [label.iloc[i]]})
+    return pd.DataFrame({"a": [node[i]], "b": pd.array([None], "Int64"), "tree": [tree[i]], "label": [label.iloc[i]], "crowded": False})
+
+
+def _crowded(tree: np.ndarray, node: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first class with each other one of the deepest regions that are crowded or may go on in the
+    rows before or after."""
+    n = len(node)
+    rows = np.arange(n)
+    goes_on = np.r_[False, (label[1:] == label[:-1]).all(1) & (tree[1:] == tree[:-1])]
+    head = np.maximum.accumulate(np.where(goes_on, 0, rows))
+    size = np.bincount(head, minlength=n)[head]
+    i = rows[goes_on & ((size > CROWD) | (head == 0) | (head == head[-1])) & (node != node[head])]
+    return node[head[i]], node[i]
 
 
 def _candidates(tree: np.ndarray, node: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +141,8 @@ def _candidates(tree: np.ndarray, node: np.ndarray, label: np.ndarray) -> tuple[
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """Candidate pairs a < b of a table (node, sig), and in how many ways (``n``) the forest names them."""
+    """Candidate pairs a < b of a table (node, sig), in how many ways (``n``) the forest names them, and
+    whether they share a ``crowded`` deepest region; these pairs connect all classes of each such region."""
     spark = classes.sparkSession
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     step = HASHES // TREES
@@ -134,17 +150,19 @@ def candidates(classes: DataFrame) -> DataFrame:
     labels = F.array(*[F.substring(wrapped, 1 + 2 * step * t, 2 * DEEPEST) for t in range(TREES)])
     rows = classes.select("node", F.posexplode(labels).alias("tree", "label"))
     ordered = rows.repartitionByRange(parts, "tree", "label", "node").sortWithinPartitions("tree", "label", "node")
-    found = ordered.mapInPandas(_walk, "a long, b long, tree int, label binary")
-    found = materialise(found.groupBy("a", "b", "tree", "label").agg(F.count(F.lit(1)).alias("n")), "forest")
+    found = ordered.mapInPandas(_walk, "a long, b long, tree int, label binary, crowded boolean")
+    ways = F.sum(F.when(F.col("crowded"), 0).otherwise(1)).alias("n"), F.max("crowded").alias("crowded")
+    found = materialise(found.groupBy("a", "b", "tree", "label").agg(*ways), "forest")
     ends = sorted(((r["tree"], bytes(r["label"]), r["a"]) for r in found.where(F.col("b").isNull()).collect()))  # two a partition
     stitched = [
-        (min(x[2], y[2]), max(x[2], y[2]), 1)
+        (min(x[2], y[2]), max(x[2], y[2]), 1, x[1] == y[1])
         for x, y in zip(ends, ends[1:])
         if x[0] == y[0] and x[1][: 2 * SHORTEST] == y[1][: 2 * SHORTEST] and x[2] != y[2]
     ]
-    pairs = found.where(F.col("b").isNotNull()).select("a", "b", "n")
+    pairs = found.where(F.col("b").isNotNull()).select("a", "b", "n", "crowded")
     if stitched:
-        pairs = pairs.unionByName(spark.createDataFrame(stitched, "a long, b long, n long")).groupBy("a", "b").agg(F.sum("n").alias("n"))
+        pairs = pairs.unionByName(spark.createDataFrame(stitched, "a long, b long, n long, crowded boolean"))
+        pairs = pairs.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("crowded").alias("crowded"))
     return pairs
 
 
@@ -177,7 +195,7 @@ def _confirmer(num: int, den: int):
 
 
 def _tile(num: int, den: int):
-    """Links of a block of classes with those of one tile of a component, by an index from shingle to class."""
+    """Links of a block of classes with those of one tile of their group, by an index from shingle to class."""
 
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -248,26 +266,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     links = checked.where("linked").select("a", "b")
     labels = materialise(connected_components(links), "labels")
     # 2. all others between components
-    loose = materialise(apart(pairs.select("a", "b"), labels).select("a", "b"), "loose")  # what is linked stays so
-    more = tested(promising(loose.join(checked.select("a", "b"), ["a", "b"], "left_anti")))
+    loose = materialise(apart(pairs.select("a", "b", "crowded"), labels).select("a", "b", "crowded"), "loose")  # what is linked stays so
+    hopeful = materialise(promising(loose), "hopeful")
+    more = tested(hopeful.join(checked.select("a", "b"), ["a", "b"], "left_anti"))
     links = links.unionByName(more.where("linked").select("a", "b"))
     labels = materialise(connected_components(links), "labels")
-    # 3. classes that resemble a large component they are not in, against all of it and each other
-    sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE)
-    outside = apart(loose, labels)
-    near = outside.select("a", "b", F.col("a").alias("node"), F.col("cb").alias("component")).unionByName(outside.select("a", "b", F.col("b").alias("node"), F.col("ca").alias("component")))
-    near = promising(near.join(sizes, "component"), "node", "component", "size").select("node", "component", "size").distinct()
-    near = materialise(near.join(sets, "node"), "strays")
-    # a component's strays are cut into blocks, and its members and strays into tiles; block meets tile
-    cuts = near.groupBy("component").agg(F.count(F.lit(1)).alias("strays"), F.first("size").alias("size"))
-    cuts = cuts.select("component", F.ceil(F.col("strays") / TILE).cast("int").alias("blocks"), F.ceil((F.col("size") + F.col("strays")) / TILE).cast("int").alias("tiles"))
-    inside = labels.join(cuts.select("component"), "component", "left_semi").join(sets, "node")
-    held = inside.select("node", "component", "set").unionByName(near.select("node", "component", "set")).join(cuts, "component")
+    # 3. the rest of every group: components that a crowded region or a promising candidate joins
+    joined = apart(loose.where("crowded").select("a", "b").unionByName(hopeful), labels)
+    joined = joined.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
+    groups = connected_components(joined).select(F.col("node").alias("component"), F.col("component").alias("group"))
+    inside = labels.unionByName(groups.join(labels, "component", "left_anti").select(F.col("component").alias("node"), "component"))
+    inside = materialise(inside.join(groups, "component"), "groups")
+    sizes = inside.groupBy("group", "component").agg(F.count(F.lit(1)).alias("size"))
+    cuts = sizes.groupBy("group").agg(F.sum("size").alias("all"), F.max_by("component", F.struct("size", "component")).alias("largest"), F.max("size").alias("most"))
+    cuts = cuts.where(F.col("all") > 2)  # the only pair of two classes was named, and compared above
+    cuts = cuts.select("group", "largest", F.ceil((F.col("all") - F.col("most")) / TILE).cast("int").alias("blocks"), F.ceil(F.col("all") / TILE).cast("int").alias("tiles"))
+    # its classes outside the largest component are cut into blocks, and all into tiles; block meets tile
+    held = materialise(inside.join(cuts, "group").join(sets, "node"), "rest")
     part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    held = held.select("node", "component", "set", part("tiles").alias("tile"), each("blocks").alias("block"))
-    asked = near.join(cuts, "component").select("node", "component", "set", part("blocks").alias("block"), each("tiles").alias("tile"))
-    keys = "component", "tile", "block"
+    asked = held.where(F.col("component") != F.col("largest")).select(*[F.col(c).alias(c) for c in ("node", "group", "set")], part("blocks").alias("block"), each("tiles").alias("tile"))
+    held = held.select("node", "group", "set", part("tiles").alias("tile"), each("blocks").alias("block"))
+    keys = "group", "tile", "block"
     late = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(_tile(num, den), "a long, b long")
     links = links.unionByName(materialise(late.distinct(), "late"))
     labels = materialise(connected_components(links), "labels")

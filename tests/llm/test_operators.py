@@ -112,6 +112,20 @@ def test_near_duplicates_of_awkward_rows(awkward):
     assert lsh_forest.near_duplicates(awkward.limit(0), 2).count() == 0
 
 
+def test_links_inside_crowded_regions_are_all_found(spark):
+    made = random.Random(9)
+    fresh = lambda n: [str(made.random()) for _ in range(n)]
+    template, rows, wanted = fresh(150), [], {}
+    for i in range(0, 1600, 2):  # pairs at 156 / 188, 0.83; all others at 150 / 194, 0.77
+        shared = fresh(6)
+        for d in (i, i + 1):
+            own = shared + fresh(16) if i < 600 else fresh(22)
+            rows.append((d, " ".join(template + own)))
+            wanted[d] = i if i < 600 else d
+    out = lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == wanted
+
+
 def test_connected_components(spark):
     edges = spark.createDataFrame([(5, 4), (4, 3), (9, 8), (8, 9), (7, 7), (None, 1), (3, 1), (20, 30), (30, 40), (40, 50), (50, 60)], "a long, b long")
     got = {r["node"]: r["component"] for r in components.connected_components(edges).collect()}
