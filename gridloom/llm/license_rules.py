@@ -1,7 +1,8 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences, sentences are normalised, and those that are known licence sentences
-become identifiers; the text's sequence of identifiers is matched against ordered rules.  Everything
+A text's words are normalised and the places marked where sentences may end; known licence sentences
+between two such places, whatever places are inside them, become identifiers, so line wraps, comment
+leaders and ';' or ':' within a sentence do not hide it; the sequence of identifiers is matched against ordered rules.  Everything
 is an expression over the row, so a scan shuffles nothing.
 """
 
@@ -60,16 +61,21 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("ISC", ("isc-grant",)),
 )
 
-#: Sentences end at a line end that is followed by a blank line or a capital, or at a mark before white space.
+#: Sentences may end at a mark before white space, and at a line end that is followed by a blank line, a capital, a digit or a bullet.
 _SENTENCE_END = r"(?<=[.!?;:])\s+|\n\s*\n|\n(?=\s*[\p{Lu}0-9*-])"
-_STEMS = r"(?i)licen[cs]|permission|redistribut|warrant|free software|compliance"
+#: What comment lines begin with ('*' and '-' are bullets too, and normalised away).
+_LEADER = r"(?m)^[ \t]*(?:/\*+|//+|#+|;+|<!--+|(?:dnl|REM)(?=\s))[ \t]*"
+_END = "\x01"
 
 
-def normalised(sentence: Column) -> Column:
-    """Letters and digits, lower-cased, with single spaces; 'licence' spelt with s, dots kept inside numbers."""
-    s = F.regexp_replace(F.lower(sentence), "licenc", "licens")
+def normalised(text: Column) -> Column:
+    """Letters and digits, lower-cased, with single spaces, or ``_END`` where a sentence may end, also in
+    front and behind; 'licence' spelt with s, dots kept inside numbers."""
+    s = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, _END, " "), r"\r\n?", "\n"), _LEADER, "")
+    s = F.regexp_replace(F.lower(F.regexp_replace(s, _SENTENCE_END, _END)), "licenc", "licens")
     s = F.regexp_replace(s, r"(?<![0-9])\.|\.(?![0-9])", " ")
-    return F.trim(F.regexp_replace(s, r"[^\p{L}\p{N}.]+", " "))
+    s = F.regexp_replace(s, r"[^\p{L}\p{N}.\x01]+", " ")
+    return F.regexp_replace(F.concat(F.lit(_END), s, F.lit(_END)), r" *\x01[ \x01]*", _END)
 
 
 def scan(docs: DataFrame, text: str = "text", sentences: Mapping[str, str] = SENTENCES, rules: Sequence[tuple[str, tuple[str, ...]]] = RULES) -> DataFrame:
@@ -83,9 +89,9 @@ def scan(docs: DataFrame, text: str = "text", sentences: Mapping[str, str] = SEN
     for s, i in sentences.items():
         unique.setdefault(_plain(s), i)
     known = F.create_map(*[F.lit(v) for pair in unique.items() for v in pair])
-    parts = F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), _SENTENCE_END)
-    likely = F.filter(parts, lambda s: s.rlike(_STEMS))
-    ids = F.filter(F.transform(likely, lambda s: F.try_element_at(known, normalised(s))), lambda i: i.isNotNull())
+    forms = "|".join(k.replace(".", r"\.").replace(" ", r"[ \x01]") for k in sorted(unique, key=len, reverse=True) if k)
+    hits = F.regexp_extract_all(normalised(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.lit(rf"(?<=\x01)(?:{forms or '(?!)'})(?=\x01)"), 0)
+    ids = F.transform(hits, lambda s: F.try_element_at(known, F.translate(s, _END, " ")))
     chain = F.concat(F.lit(","), F.array_join("sentence_ids", ","), F.lit(","))
     names: dict[str, Column] = {}
     for name, sequence in rules:
@@ -99,7 +105,7 @@ def scan(docs: DataFrame, text: str = "text", sentences: Mapping[str, str] = SEN
 
 
 def _plain(sentence: str) -> str:
-    """:func:`normalised` for the table's own (ASCII) sentences."""
+    """:func:`normalised`, without ends, for the table's own (ASCII) sentences."""
     s = sentence.lower().replace("licenc", "licens")
     s = re.sub(r"(?<![0-9])\.|\.(?![0-9])", " ", s)
     return re.sub(r"[^a-z0-9.]+", " ", s).strip()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import textwrap
 import zlib
 from collections import defaultdict
 
@@ -239,6 +240,18 @@ def test_licence_rules(spark, awkward):
     assert all(r["licenses"] == [] for r in license_rules.scan(awkward).collect())
 
 
+@pytest.mark.parametrize("leader", ["", " * ", "-- ", "# ", "// "])
+def test_every_licence_rule_fires_on_wrapped_and_commented_text(spark, leader):
+    rows = []
+    for name, sequence in license_rules.RULES:
+        said = [next(s for s, i in license_rules.SENTENCES.items() if i == wanted) + "." for wanted in sequence]
+        for width in (30, 72, 10_000):
+            lines = [line for s in said for line in [*textwrap.wrap(s, width, break_on_hyphens=False), ""]]
+            rows.append((name, "\n".join(leader + line for line in ["Some words.", "", *lines, "More words."])))
+    out = license_rules.scan(spark.createDataFrame(rows, "name string, text string")).collect()
+    assert [r["licenses"] for r in out] == [[r["name"]] for r in out]
+
+
 def test_licence_query_finds_every_planted_line(spark, sf):
     found = {r["doc_id"]: r["licenses"] for r in q.op5_license_rules(spark, sf).collect()}
     lines = {"MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.", "GPL-3.0": "This work is licensed under the GNU General Public License, version 3."}
