@@ -16,29 +16,33 @@ from gridloom.llm.storage import materialise
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``ids``; null ids match null ids."""
-    ids = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*COLUMNS)
-
-
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts (score at least 0.7)."""
+    """Documents that the quality classifier accepts (score at least 0.7).  Its score is one of the text,
+    so rows take the decision on their doc_id and text; null ids match null ids."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _keep(docs, pu_quality.classify(docs, labels, q._fold(4, 2)).where("quality_ok"))
+    docs = docs.withColumn("_digest", F.sha2("text", 256))
+    good = pu_quality.classify(docs, labels, q._fold(4, 2), carry=["_digest"]).where("quality_ok")
+    good = good.select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_good")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_digest").eqNullSafe(F.col("_good"))
+    return docs.join(good, same, "left_semi").select(*COLUMNS)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject (score below 0.5)."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _keep(docs, zstd_toxicity.classify(docs, labels, q._fold(5, 0)).where("not toxic"))
+    return zstd_toxicity.classify(docs, labels, q._fold(5, 0), carry=COLUMNS[1:]).where("not toxic").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, similarity 0.8): its smallest
-    doc_id, once.  Documents without words are no duplicates of each other."""
-    kept = _keep(docs, lsh_forest.near_duplicates(docs, width=5, num=80, den=100).where("kept"))
-    return kept.dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """One row of each group of near duplicates (five-word shingles, similarity 0.8): that of the smallest
+    doc_id, null ids last.  Rows are told apart by their place in that order, so those with null or
+    repeated ids are compared by their texts; rows without words are no duplicates of each other."""
+    order = F.col("doc_id").asc_nulls_last(), F.sha2("text", 256)
+    rows = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id())
+    rows = materialise(rows, "near-rows")
+    found = lsh_forest.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), width=5, num=80, den=100)
+    kept = found.where("kept").select(F.col("doc_id").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

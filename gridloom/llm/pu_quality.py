@@ -18,7 +18,7 @@ document is p f+(bin) / fu(bin), made monotone.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -219,18 +219,18 @@ def score(featured: DataFrame, model: Model, out: str = "score") -> DataFrame:
     return featured.withColumn(out, of("shape"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, threshold: float = 0.7) -> DataFrame:
-    """Rows of ``docs`` with ``quality_score`` and ``quality_ok`` (score at least ``threshold``).
+def classify(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, threshold: float = 0.7, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, ``quality_score``, ``quality_ok`` (score at least ``threshold``) and ``carry`` of each row of ``docs``.
 
     ``labels`` has doc_id and quality; a document counts as trusted if it has a label 1, and none 0,
     outside ``held_out`` (over doc_id).  Every other document, held-out ones included, is unlabelled
     text.  Null or empty texts get the score of texts with no shape; repeated rows score alike; null
-    labels and ids are no labels; extra columns stay.  Documents are joined to at most one label row.
+    labels and ids are no labels.  Documents are joined to at most one label row.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     if held_out is not None:
         known = known.where(~held_out)
     known = known.groupBy("doc_id").agg((F.min("quality") == 1).alias("_trusted"))
-    featured = materialise(with_features(docs.select("doc_id", "text")).drop("text").join(known, "doc_id", "left"), "pu-shapes")
+    featured = materialise(with_features(docs.select("doc_id", "text", *carry)).drop("text").join(known, "doc_id", "left"), "pu-shapes")
     model = fit(featured, F.col("_trusted"))
-    return score(featured, model, "quality_score").select("doc_id", "quality_score", (F.col("quality_score") >= threshold).alias("quality_ok"))
+    return score(featured, model, "quality_score").select("doc_id", "quality_score", (F.col("quality_score") >= threshold).alias("quality_ok"), *carry)

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -177,8 +177,8 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", out: str = "
     return small_batches(docs).withColumn(out, of(F.col(f"`{text}`")))
 
 
-def classify(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, toxicity and toxic (toxicity at least ``threshold``) for each row of ``docs``.
+def classify(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, threshold: float = 0.5, sample: int = SAMPLE, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, toxicity, toxic (toxicity at least ``threshold``) and ``carry`` for each row of ``docs``.
 
     ``labels`` has doc_id and toxic; those outside ``held_out`` (over doc_id) are learned from: of each
     class the ``sample`` documents that come first in the order of a hash of doc_id.  Null labels, ids
@@ -197,4 +197,5 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column | None = None,
     sizes = known.agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("all")).head()
     odds = (sizes["toxic"] or 0) / max(1, sizes["all"] - (sizes["toxic"] or 0))
     model = fit([r["text"] for r in rows if r["label"] == 1], [r["text"] for r in rows if r["label"] == 0], odds)
-    return score(docs.select("doc_id", "text"), model).select("doc_id", "toxicity", (F.col("toxicity") >= threshold).alias("toxic"))
+    rows = docs.select("doc_id", "text", *[c for c in carry if c != "text"])
+    return score(rows, model).select("doc_id", "toxicity", (F.col("toxicity") >= threshold).alias("toxic"), *carry)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from gridloom.llm import cube_mixing
+from pyspark.sql import functions as F
 from tests.llm.test_operators import exact_components
 
 
@@ -25,3 +26,20 @@ def test_stages_keep_the_columns_and_take_effect(spark, sf):
 def test_run_gives_tokens_that_decode(spark, sf):
     out = corpus_pipeline.run(spark, sf).collect()
     assert out and all(r["round_trip"] and r["n_tokens"] == len(r["token_ids"]) // 4 for r in out)
+
+
+def test_rows_of_null_and_repeated_ids_are_decided_by_their_texts(spark, sf):
+    for at, stage in enumerate((corpus_pipeline.quality_classifier, corpus_pipeline.toxicity)):
+        all_rows = spark.read.parquet(f"{sf}/documents.parquet")
+        passed = {r["text"] for r in stage(spark, all_rows, sf).collect()}
+        for same in (None, 10_000_000):
+            copies = spark.createDataFrame([(same, *r[1:]) for r in all_rows.collect()], all_rows.schema)
+            kept = [r["text"] for r in stage(spark, all_rows.unionByName(copies), sf).where(F.col("doc_id").eqNullSafe(F.lit(same))).collect()]
+            assert 0 < len(kept) < copies.count(), at
+            if stage is corpus_pipeline.toxicity:  # its model learns from labelled ids only
+                assert sorted(map(str, kept)) == sorted(str(r["text"]) for r in all_rows.collect() if r["text"] in passed)
+    texts = [" ".join(f"{word}{i}" for i in range(30)) for word in ("a", "b", "c")]
+    rows = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[0]), (7, texts[2]), (9, texts[1])]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_dedup(spark, table, sf).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(7, texts[0]), (7, texts[2]), (9, texts[1])])
