@@ -4,7 +4,8 @@ Two zstandard dictionaries are learned, one from windows of toxic text and one f
 text: the windows that most of the documents have, the commonest nearest.  A window is one word with
 every letter between marks of its place in the word, so that a dictionary tells how a word begins from
 how one ends, and so that a short word is long enough to compress; its distance is the length of its compression with the
-ordinary dictionary less that with the toxic one.  Windows beyond a threshold count; a document's
+ordinary dictionary less that with the toxic one.  Runs without spaces (longer than any word, or in a
+script that has none) have a window at each character, so that all of a text counts.  Windows beyond a threshold count; a document's
 counts beyond each threshold, against what ordinary text of its length has, give its score by a
 logistic curve.  Rates and curve are calibrated on labelled documents that trained no dictionary.
 
@@ -15,6 +16,7 @@ whose beginnings are significantly commoner in toxic than in ordinary documents.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -36,12 +38,25 @@ THRESHOLDS = tuple(range(-1, 13))
 _MARKS = ".,;:!?()[]{}\"'|*#$%&<>-_"
 
 _LONGEST = 40
+_SHORTEST, _BEGINNING = 4, 13
 _KEPT = 400_000
 
 
+#: Letters of scripts that put no spaces between words (Thai, Lao, Burmese, Khmer, kana, Han).
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_JOINTS = re.compile(r"[\s/\\_,;:|+=~。、,;:!?・…]+")
+
+
 def words_of(text: str | None) -> list[str]:
-    """Lower-cased words without the marks around them."""
-    return [w for w in (w.strip(_MARKS) for w in (text or "").lower().split()) if w]
+    """Lower-cased words without the marks around them; of a run without spaces the windows at each character."""
+    out = []
+    for w in _JOINTS.split((text or "").lower()):
+        w = w.strip(_MARKS)
+        if len(w) > _LONGEST or _UNSPACED.search(w):
+            out += [w[i : i + _BEGINNING] for i in range(max(1, len(w) - _SHORTEST + 1))]
+        elif w:
+            out.append(w)
+    return out
 
 
 def tagged(word: str) -> bytes:
@@ -50,8 +65,8 @@ def tagged(word: str) -> bytes:
 
 
 def beginnings(word: str) -> list[str]:
-    word = word[:13] + " " if len(word) <= 13 else word[:13]
-    return [word[:i] for i in range(4, len(word) + 1)]
+    word = word + " " if len(word) <= _BEGINNING else word[:_BEGINNING]
+    return [word[:i] for i in range(_SHORTEST, len(word) + 1)]
 
 
 def telling(toxic: list[list[str]], ordinary: list[list[str]], least: int = 4, z: float = 4.0, times: float = 3.0) -> set[str]:

@@ -163,6 +163,21 @@ def test_toxicity_on_held_out_labels(spark):
     assert accuracy(scored, labels, "toxicity", "toxic", q._fold(5, 0), 0.5) > 0.95
 
 
+@pytest.mark.parametrize("late", ["\u6bd2\u5bb3\u8a00\u8bed", "/mischief", "_mischief"])
+def test_toxicity_late_in_a_text_without_spaces(late):
+    made = random.Random(3)
+    ordinary = lambda: "".join(chr(0x4E00 + made.randrange(60)) for _ in range(120))
+    toxic = lambda: (t := ordinary())[:100] + late + t[100:]
+    model = zstd_toxicity.fit([toxic() for _ in range(150)], [ordinary() for _ in range(150)])
+    distance = zstd_toxicity.Distance(model.toxic, model.ordinary)
+    scores = []
+    for text in [*(toxic() for _ in range(40)), *(ordinary() for _ in range(40))]:
+        counts = zstd_toxicity._beyond(distance(zstd_toxicity.words_of(text)))[None]
+        x = (zstd_toxicity._features(counts, model.rates) - model.means) / model.spreads
+        scores.append(float(np.r_[x[0], 1] @ model.weights))
+    assert np.mean([s > 0 for s in scores[:40]]) > 0.9 and np.mean([s > 0 for s in scores[40:]]) < 0.1
+
+
 @pytest.mark.parametrize("classify,score", [(pu_quality.classify, "quality_score"), (zstd_toxicity.classify, "toxicity")])
 def test_classifiers_on_awkward_rows(spark, awkward, docs, labels, classify, score):
     both = docs.unionByName(awkward, allowMissingColumns=True)
