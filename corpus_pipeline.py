@@ -53,7 +53,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether decoding them gives its text back."""
     path, pattern = q.byte_bpe()
-    coded = bpe_replay.decode(bpe_replay.encode(docs.select("doc_id", "source", "text"), path, pattern), path)
+    coded = bpe_replay.decode(bpe_replay.encode(docs.select("doc_id", "source", "text"), path, pattern, cut_at_spaces=True), path)
     return coded.select(
         "doc_id",
         "source",
