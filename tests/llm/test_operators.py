@@ -9,8 +9,10 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
+import regex
 from gridloom.llm import bpe_replay, components, cube_mixing, cws, license_rules, lsh_forest, pu_quality, threshold_topk, url_templates, warc, words, zstd_toxicity
 from gridloom.llm import queries as q
 from pyspark.sql import functions as F
@@ -298,6 +300,48 @@ def test_tokens_are_those_of_the_library(spark, docs, awkward, tiktoken_encoding
     assert bpe_replay.encode(both.limit(0), path, pattern).count() == 0
 
 
+@pytest.mark.parametrize("cut", [True, False])
+def test_made_up_texts_have_the_ids_of_the_library(tiktoken_encoding, cut):
+    made = random.Random(1)
+    texts = ["".join(made.choice("aeinorst   \n.'d,0123é") for _ in range(made.randrange(400))) for _ in range(1500)]
+    texts += ["".join(made.choice("ab") for _ in range(made.randrange(60))) for _ in range(1500)] + ["=" * 20_000, "ab" * 9_999, None, " "]
+    path, pattern = q.byte_bpe()
+    (got,) = bpe_replay._encoder(path, pattern, cut)(iter([pd.Series(texts, dtype=object)]))
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [tiktoken_encoding.encode_ordinary(t or "") for t in texts]
+
+
+def test_replay_of_ranks_that_come_up_late():
+    # "abc" ranks below "ab", so merging a and b can bring up a lower rank
+    tokens = [bytes([b]) for b in range(256)] + [b"abc", b"cc", b"ab", b"ca", b"abab", b"bb"]
+    replay = bpe_replay.MergeReplay({t: i for i, t in enumerate(tokens)})
+    made = random.Random(6)
+    words_ = [bytes(made.choice(b"abc") for _ in range(made.randrange(1, 40))) for _ in range(2000)]
+
+    def plain(word: bytes) -> list[int]:
+        parts = [word[i : i + 1] for i in range(len(word))]
+        while len(parts) > 1:
+            rank, i = min((tokens.index(a + b) if a + b in tokens else 1 << 30, i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if rank == 1 << 30:
+                break
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return [tokens.index(p) for p in parts]
+
+    assert replay(words_) == [plain(w) for w in words_]
+    assert replay([]) == []
+
+
+def test_patterns_that_leave_characters_out_or_hold_spaces(docs):
+    path, _ = q.byte_bpe()
+    ranks = bpe_replay.load_ranks(path)
+    replay = bpe_replay.MergeReplay(ranks)
+    texts = [r["text"] for r in docs.limit(5).collect()]
+    for pattern in (r"[a-z]+ [a-z]+|[a-z]+", r"\p{L}+"):
+        (got,) = bpe_replay._encoder(path, pattern, False)(iter([pd.Series(texts, dtype=object)]))
+        for text, ids in zip(texts, got):
+            wanted = [i for w in replay([m.encode() for m in regex.findall(pattern, text)]) for i in w]
+            assert np.frombuffer(ids, "<u4").tolist() == wanted
+
+
 def test_cuts_at_spaces_change_nothing(spark, docs):
     path, pattern = q.byte_bpe()
     a, b = (bpe_replay.encode(docs.limit(40), path, pattern, cut_at_spaces=c).select("doc_id", F.sha2("token_ids", 256)).collect() for c in (True, False))
