@@ -114,11 +114,11 @@ def oracle_sql() -> dict[str, str]:
             WITH v AS (
                 SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS v
                 FROM embeddings
-                WHERE embedding IS NOT NULL AND len(embedding) > 0
+                WHERE embedding IS NOT NULL
                   AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
             ), pairs AS (
                 SELECT q.vec_id AS query_id, c.vec_id,
-                       CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+                       CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
                 FROM v q JOIN v c ON q.vec_id <> c.vec_id
                 WHERE q.vec_id % 50 = 0
             ), ranked AS (

@@ -2,10 +2,13 @@
 
 Vectors are dealt to shards and queries to blocks; every (block, shard) pair is one group of bounded
 size.  A shard sorts each dimension once.  For a query, lists are read from their best end (the
-largest components where the query's is positive, the smallest where it is negative), some entries
-at a time; vectors met for the first time are scored in full, and reading stops when the score that
+largest components where the query's is positive, the smallest where it is negative), twice as deep
+each time; vectors met for the first time are scored in full, and reading stops when the score that
 an unseen vector could have at most, the bound, is below the k-th best score so far.  A tie with the
 bound reads on, because an unseen vector might tie with a smaller id.
+
+The first shard is searched before the others; its k-th score is a floor for each query there, so
+that they can stop without k vectors of their own and return only what may still count.
 """
 
 from __future__ import annotations
@@ -15,23 +18,26 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARD_ROWS = 4096
-QUERY_ROWS = 1024
-STEP = 32
+from .storage import materialise
+
+#: Rows of a shard and of a block at most; smaller tables have smaller shards, so that all tasks have work.
+SHARD_ROWS = 16384
+QUERY_ROWS = 2048
+STEP = 64
 _OUT = "query_id long, vec_id long, score long"
+_LONG = np.iinfo(np.int64)
 
 
 def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """vec_id and ``v``: floor(scale * x) of each component as double.
+    """vec_id and ``v``: floor(scale * x) of each component as double, as longs.
 
-    Vectors that are null, empty, or hold a null or non-finite component are left out, as are rows
-    without id.  Components are kept to +-2^31; inner products are exact.
+    Vectors that are null or hold a null or non-finite component are left out, as are rows without id.
+    An empty vector has no components, so all its scores are 0.
     """
     x = F.col("embedding")
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double")) == float("inf")))
-    limit = float(2**31 - 1)
-    whole = F.transform(x, lambda c: F.greatest(F.least(F.floor(c.cast("double") * scale), F.lit(limit)), F.lit(-limit)).cast("int"))
-    return vectors.where(x.isNotNull() & (F.size(x) > 0) & ~bad & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
+    whole = F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("long"))
+    return vectors.where(x.isNotNull() & ~bad & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
 
 
 class Lists:
@@ -40,40 +46,52 @@ class Lists:
     def __init__(self, ids: np.ndarray, rows: np.ndarray) -> None:
         by_id = np.argsort(ids, kind="stable")
         self.ids, self.rows = ids[by_id], rows[by_id]
-        self.order = np.argsort(self.rows, axis=0, kind="stable")  # ascending lists, one a column
+        columns = np.ascontiguousarray(self.rows.T)
+        self.order = np.argsort(columns, axis=1, kind="stable").astype(np.int32)  # ascending lists, one a row
+        self.values = np.take_along_axis(columns, self.order, 1)
 
-    def search(self, query: np.ndarray, own: int, k: int, step: int = STEP) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best but ``own``, ties to the smaller id."""
+    def search(self, query: np.ndarray, own: int, k: int, floor=None, step: int = STEP) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best but ``own``, ties to the smaller id; none below ``floor``."""
         n = len(self.ids)
         used = np.flatnonzero(query)
         seen = self.ids == own
         kept, scores = np.zeros(0, np.int64), np.zeros(0, self.rows.dtype)
         if not len(used):  # every score is 0
-            kept = np.flatnonzero(~seen)[:k]
+            kept = np.flatnonzero(~seen)[:k] if floor is None or floor <= 0 else kept
             return self.ids[kept], np.zeros(len(kept), self.rows.dtype)
         up, down = used[query[used] > 0], used[query[used] < 0]
-        for at in range(0, n, step):
-            stop = min(n, at + step)
+        at, stop, everything = 0, min(n, step), None
+        while at < n:
             met = np.zeros(n, bool)
-            met[self.order[n - stop : n - at, up].ravel()] = True
-            met[self.order[at:stop, down].ravel()] = True
+            met[self.order[up, n - stop : n - at].ravel()] = True
+            met[self.order[down, at:stop].ravel()] = True
             new = np.flatnonzero(met & ~seen)
-            seen[new] = True
+            seen |= met
             if len(new):
-                kept, scores = np.append(kept, new), np.append(scores, self.rows[new] @ query)
+                if everything is None and 4 * len(new) > n:  # one product over all rows costs less than copying so many
+                    everything = self.rows @ query
+                found = everything[new] if everything is not None else self.rows[new] @ query
+                least = scores[-1] if len(kept) == k else floor
+                if least is not None:
+                    new, found = new[found >= least], found[found >= least]
+                if len(new) > k:
+                    cut = np.partition(found, len(new) - k)[len(new) - k]
+                    new, found = new[found >= cut], found[found >= cut]
+                kept, scores = np.append(kept, new), np.append(scores, found)
                 best = np.lexsort((kept, -scores))[:k]
                 kept, scores = kept[best], scores[best]
-            ends = np.concatenate([self.order[n - stop, up], self.order[stop - 1, down]])
-            dims = np.concatenate([up, down])
-            if len(kept) == k and scores[-1] > (self.rows[ends, dims] * query[dims]).sum():
+            bound = (self.values[up, n - stop] * query[up]).sum() + (self.values[down, stop - 1] * query[down]).sum()
+            if (len(kept) == k and scores[-1] > bound) or (floor is not None and floor > bound):
                 break
+            at, stop = stop, min(n, 2 * stop)
         return self.ids[kept], scores
 
 
 def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
+    lengths = vectors.map(len).to_numpy()
+    flat = np.concatenate([np.asarray(v, np.int64) for v in vectors]) if lengths.sum() else np.zeros(0, np.int64)
     out = np.zeros((len(vectors), width), np.int64)
-    for i, v in enumerate(vectors):
-        out[i, : len(v)] = v
+    out[np.arange(width) < lengths[:, None]] = flat
     return out
 
 
@@ -83,12 +101,14 @@ def _cell(k: int):
         if len(queries) and len(candidates):
             width = max(queries["v"].map(len).max(), candidates["v"].map(len).max())
             q, x = _matrix(queries["v"], width), _matrix(candidates["v"], width)
-            largest = float(np.abs(q).max()) * float(np.abs(x).max()) * width
-            kind = np.float64 if largest < 2**53 else np.int64 if largest < 2**63 else object
+            largest = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(x.astype(float)).max(initial=0)) * width
+            kind = np.float64 if largest < 2**53 else np.int64 if largest < 2**62 else object
             lists = Lists(candidates["vec_id"].to_numpy(np.int64), x.astype(kind))
-            for own, query in zip(queries["vec_id"].to_numpy(np.int64), q.astype(kind), strict=True):
-                ids, scores = lists.search(query, own, k)
-                out += [(int(own), int(i), int(s)) for i, s in zip(ids, scores, strict=True)]
+            # pandas has longs beside nulls as doubles: a floor may be too low, never too high
+            floors = [None if pd.isna(f) or abs(f) > 2**62 else int(f) - 1024 * (abs(f) >= 2**53) for f in queries["floor"]]
+            for own, query, floor in zip(queries["vec_id"].to_numpy(np.int64), q.astype(kind), floors, strict=True):
+                ids, scores = lists.search(query, own, k, floor)
+                out += [(int(own), int(i), min(max(int(s), _LONG.min), _LONG.max)) for i, s in zip(ids, scores, strict=True)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     return search
@@ -99,14 +119,27 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, shard_rows: int
 
     Both tables have vec_id and ``v`` (see :func:`quantised`); shorter vectors count as filled up with
     zeros.  A query's own id is no candidate.  Rows of a repeated id are candidates of their own; a
-    query id that stands twice is one query, with the best of both.  Empty tables give an empty one.
+    query id that stands twice is one query, with the best of both.  Empty tables give an empty one;
+    columns but vec_id and ``v`` are not looked at.  Scores are exact; one beyond a long's range is
+    given as the range's end.
     """
+    spark = candidates.sparkSession
     counts = candidates.agg(F.count(F.lit(1)).alias("n")).crossJoin(queries.agg(F.count(F.lit(1)).alias("m"))).head()
-    shards, blocks = max(1, -(-counts["n"] // shard_rows)), max(1, -(-counts["m"] // query_rows))
-    spread = lambda n: F.expr(f"explode(sequence(0, {n - 1}))")
-    dealt = lambda df, n, salt: df.withColumn(salt, F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)).cast("int"))
-    left = dealt(queries.dropDuplicates(["vec_id", "v"]), blocks, "block").withColumn("shard", spread(shards))
-    right = dealt(candidates, shards, "shard").withColumn("block", spread(blocks))
-    found = left.groupBy("block", "shard").cogroup(right.groupBy("block", "shard")).applyInPandas(_cell(k), _OUT)
+    blocks = max(1, -(-counts["m"] // query_rows))
+    shards = max(1, -(-counts["n"] // shard_rows), min(-(-counts["n"] // 2048), spark.sparkContext.defaultParallelism // blocks + 1))
+    spread = lambda first, n: F.explode(F.sequence(F.lit(first), F.lit(n - 1)))
+    dealt = lambda df, n, salt: df.select(F.col("vec_id").alias("vec_id"), F.col("v").alias("v"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)).cast("int").alias(salt))
+    left = dealt(queries.dropDuplicates(["vec_id", "v"]), blocks, "block")
+    right = dealt(candidates, shards, "shard").withColumn("block", spread(0, blocks))
+
+    def searched(left: DataFrame, right: DataFrame) -> DataFrame:
+        return left.groupBy("block", "shard").cogroup(right.groupBy("block", "shard")).applyInPandas(_cell(k), _OUT)
+
+    found = searched(left.withColumns({"floor": F.lit(None).cast("long"), "shard": F.lit(0)}), right.where("shard = 0"))
+    if shards > 1:
+        found = materialise(found, "first-shard")
+        floors = found.groupBy("query_id").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
+        floored = left.join(floors.select(F.col("query_id").alias("vec_id"), "floor"), "vec_id", "left")
+        found = found.unionByName(searched(floored.withColumn("shard", spread(1, shards)), right.where("shard > 0")))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
