@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,9 +82,11 @@ def normalised(text: Column) -> Column:
 def scan(docs: DataFrame, text: str = "text", sentences: Mapping[str, str] = SENTENCES, rules: Sequence[tuple[str, tuple[str, ...]]] = RULES) -> DataFrame:
     """Add ``sentence_ids`` (identifiers in order), and ``licenses`` (names whose rules match, sorted).
 
-    A rule matches where its identifiers follow each other with no other known sentence between; the
-    two-clause form does not hold where the longer one does.  A null or empty text has none; repeated
-    rows, empty tables and other columns pass through; columns of the two names are replaced.
+    A rule matches where its identifiers follow each other with no other known sentence between.
+    Identifiers are read from left to right, the longest rule that fits takes them, and reading goes on
+    behind them, so a text that has the longer form first and the shorter one later has both names.  A
+    null or empty text has none; repeated rows, empty tables and other columns pass through; columns of
+    the two names are replaced.
     """
     unique: dict[str, str] = {}
     for s, i in sentences.items():
@@ -92,20 +95,20 @@ def scan(docs: DataFrame, text: str = "text", sentences: Mapping[str, str] = SEN
     forms = "|".join(k.replace(".", r"\.").replace(" ", r"[ \x01]") for k in sorted(unique, key=len, reverse=True) if k)
     hits = F.regexp_extract_all(normalised(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.lit(rf"(?<=\x01)(?:{forms or '(?!)'})(?=\x01)"), 0)
     ids = F.transform(hits, lambda s: F.try_element_at(known, F.translate(s, _END, " ")))
-    chain = F.concat(F.lit(","), F.array_join("sentence_ids", ","), F.lit(","))
-    names: dict[str, Column] = {}
+    named: dict[str, list[str]] = {}
     for name, sequence in rules:
-        fits = chain.contains("," + ",".join(sequence) + ",")
-        for _, longer in rules:  # a rule that continues this one takes its place
-            if longer != sequence and longer[: len(sequence)] == sequence:
-                fits = fits & ~chain.contains("," + ",".join(longer) + ",")
-        names[name] = names[name] | fits if name in names else fits
-    found = F.sort_array(F.array_compact(F.array(*[F.when(fits, F.lit(name)) for name, fits in names.items()])))
-    return docs.withColumn("sentence_ids", ids).withColumn("licenses", found)
+        if sequence:
+            named.setdefault(",".join(sequence), []).append(name)
+    order = sorted(named, key=lambda sequence: -sequence.count(","))
+    fits = rf"(?<=,)(?:{'|'.join(map(re.escape, order)) or '(?!)'})(?=,)"
+    chain = F.concat(F.lit(","), F.array_join("sentence_ids", ","), F.lit(","))
+    names = F.create_map(*[c for sequence, of in named.items() for c in (F.lit(sequence), F.array(*map(F.lit, of)))])
+    found = F.flatten(F.transform(F.regexp_extract_all(chain, F.lit(fits), 0), lambda s: F.try_element_at(names, s)))
+    return docs.withColumn("sentence_ids", ids).withColumn("licenses", F.sort_array(F.array_distinct(found)))
 
 
 def _plain(sentence: str) -> str:
-    """:func:`normalised`, without ends, for the table's own (ASCII) sentences."""
+    """:func:`normalised`, without ends, for the table's sentences."""
     s = sentence.lower().replace("licenc", "licens")
-    s = re.sub(r"(?<![0-9])\.|\.(?![0-9])", " ", s)
-    return re.sub(r"[^a-z0-9.]+", " ", s).strip()
+    s = regex.sub(r"(?<![0-9])\.|\.(?![0-9])", " ", s)
+    return regex.sub(r"[^\p{L}\p{N}.]+", " ", s).strip()
