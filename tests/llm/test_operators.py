@@ -230,18 +230,76 @@ def test_top_k_with_ties_and_broken_vectors(spark):
     rows += [(300, None), (301, [1.0, None, 0.0]), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (304, []), (None, [1.0] * 6), (350, [0.0] * 6), (7, rows[7][1])]
     vectors = threshold_topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     got = threshold_topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, 5, shard_rows=64, query_rows=2).collect()
-    kept = [(i, np.floor(256 * np.array(v, float)).astype(int)) for i, v in rows if i is not None and v and i < 300 or i == 350]
+    kept = [(i, np.floor(256 * np.array(v or [0.0] * 6, float)).astype(int)) for i, v in rows if i is not None and i not in (300, 301, 302, 303)]
     for own, v in kept:
         if own % 50 == 0:
             best = sorted(((-int(v @ w), i) for i, w in kept if i != own))[:5]
             assert [(-r["score"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == own] == best
+    assert len(got) == 5 * len({i for i, _ in kept if i % 50 == 0})
     assert threshold_topk.top_k(vectors.limit(0), vectors).count() == 0
     assert threshold_topk.top_k(vectors, vectors.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1.0, 1e4, 1e7, 1e9])
+def test_top_k_is_exact_for_large_components(spark, size):
+    made = random.Random(8)
+    rows = [(i, [made.uniform(-size, size) for _ in range(5)], "clash") for i in range(120)] + [(50, [0.0] * 5, "clash")]
+    vectors = threshold_topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string"))
+    got = threshold_topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, 4, shard_rows=30).collect()
+    whole = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, _ in rows]
+    for own in (0, 50, 100):
+        scores = {(sum(a * b for a, b in zip(v, w)), i) for o, v in whole if o == own for i, w in whole if i != own}
+        best = [(s, i) for s, i in sorted(scores, key=lambda x: (-x[0], x[1]))[:4]]
+        ours = [(r["score"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == own]
+        limit = 2**63 - 1
+        assert ours == [(min(s, limit), i) for s, i in best] or own == 50 or best[0][0] > limit
+
+
 # ---------------------------------------------------------------- 5 licences
 
 
+def plain_scan(text, sentences, rules):
+    """Sentence by sentence over the words of a text, without regular expressions over the whole."""
+    flat = lambda t: regex.sub(r"[^\p{L}\p{N}.]+", " ", regex.sub(r"(?<![0-9])\.|\.(?![0-9])", " ", t.lower().replace("licenc", "licens"))).split()
+    known = sorted(((flat(s), i) for s, i in sentences.items()), key=lambda x: -len(" ".join(x[0])))
+    ends, words_ = {0}, []
+    for part in regex.split(r"(?<=[.!?;:])\s+|\n\s*\n|\n(?=\s*[\p{Lu}0-9*-])", text or ""):
+        words_ += flat(part)
+        ends.add(len(words_))
+    ids, at = [], 0
+    while at < len(words_):
+        hit = next(((s, i) for s, i in known if at in ends and words_[at : at + len(s)] == s and at + len(s) in ends), None)
+        ids += [hit[1]] if hit else []
+        at += len(hit[0]) if hit else 1
+    names, at = set(), 0
+    while at < len(ids):
+        hit = next(((n, q) for n, q in sorted(rules, key=lambda r: -len(r[1])) if tuple(ids[at : at + len(q)]) == q), None)
+        if hit:
+            names |= {n for n, q in rules if q == hit[1]}
+        at += len(hit[1]) if hit else 1
+    return ids, sorted(names)
+
+
+def test_licences_are_those_of_a_plain_scan(spark, docs):
+    made = random.Random(12)
+    said = list(license_rules.SENTENCES)
+    rows = [(i, " ".join(made.choice([". ".join(made.sample(said, 2)), made.choice(said) + ".", "and", "Some words.", "\n\n"]) for _ in range(made.randrange(12)))) for i in range(300)]
+    rows += [(1000 + r["doc_id"], r["text"]) for r in docs.collect()]
+    out = license_rules.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    for r in out.collect():
+        assert (r["sentence_ids"], r["licenses"]) == plain_scan(r["text"], license_rules.SENTENCES, license_rules.RULES), r["text"]
+
+
+def test_two_forms_in_one_text_and_a_callers_own_sentences(spark):
+    bsd = [next(s for s, i in license_rules.SENTENCES.items() if i == name) + ".\n\n" for name in ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")]
+    rows = [("".join(bsd) + "Words.\n\n" + "".join(bsd[:3]), "clash", ["x"]), ("Mach, was du möchtest!", None, None), ("Do what you want.", None, None)]
+    table = spark.createDataFrame(rows, "text string, licenses string, sentence_ids array<string>")
+    assert license_rules.scan(table).collect()[0]["licenses"] == ["BSD-2-Clause", "BSD-3-Clause"]
+    own = license_rules.scan(table, sentences={"Mach was Du möchtest": "free", "Do what you want": "free"}, rules=(("Free", ("free",)), ("Also", ("free",))))
+    assert [r["licenses"] for r in own.collect()] == [[], ["Also", "Free"], ["Also", "Free"]]
+
+
+
 def test_licence_rules(spark, awkward):
     mit = [s for s, i in license_rules.SENTENCES.items() if i in ("mit-grant", "mit-notice", "mit-warranty")]
     rows = [
