@@ -1,13 +1,13 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are learned, one from windows of toxic text and one from windows of ordinary
-text: the windows that most of the documents have, the commonest nearest.  A window is one word with
-every letter between marks of its place in the word, so that a dictionary tells how a word begins from
-how one ends, and so that a short word is long enough to compress; its distance is the length of its compression with the
-ordinary dictionary less that with the toxic one.  Runs without spaces (longer than any word, or in a
-script that has none) have a window at each character, so that all of a text counts.  Windows beyond a threshold count; a document's
-counts beyond each threshold, against what ordinary text of its length has, give its score by a
-logistic curve.  Rates and curve are calibrated on labelled documents that trained no dictionary.
+Two zstandard dictionaries are trained by zstandard's own trainer, one on windows of toxic text and one
+on windows of ordinary text.  A window is one word with every letter between marks of its place in the
+word, so that a dictionary tells how a word begins from how one ends, and so that a short word is long
+enough to compress; its distance is the length of its compression with the ordinary dictionary less
+that with the toxic one.  Runs without spaces (longer than any word, or in a script that has none) have
+a window at each character, so that all of a text counts.  Windows beyond a threshold count; a
+document's counts beyond each threshold, against what ordinary text of its length has, give its score
+by a logistic curve.  Rates and curve are calibrated on labelled documents that trained no dictionary.
 
 Toxic documents are mostly ordinary text, so the toxic dictionary is trained on those of their windows
 whose beginnings are significantly commoner in toxic than in ordinary documents.
@@ -16,6 +16,7 @@ whose beginnings are significantly commoner in toxic than in ordinary documents.
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
@@ -24,15 +25,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .storage import small_batches
 
-#: Labelled documents of each class that the fit looks at, at most.
-SAMPLE = 3000
-TOXIC_BYTES, ORDINARY_BYTES = 3000, 98304
+#: Labelled documents of each class that the fit looks at, at most; characters of a class, and of a document among them.
+SAMPLE, SAMPLE_CHARS, TAUGHT_CHARS = 3000, 24_000_000, 200_000
+#: Windows that a dictionary is trained on, and its bytes, at most; segment and substring length of the trainer.
+TRAINED_ON, TOXIC_BYTES, ORDINARY_BYTES = 300_000, 32768, 98304
+SEGMENT, SUBSTRING = 32, 8
 LEVEL = 19
 THRESHOLDS = tuple(range(-1, 13))
 _MARKS = ".,;:!?()[]{}\"'|*#$%&<>-_"
@@ -69,29 +72,39 @@ def beginnings(word: str) -> list[str]:
     return [word[:i] for i in range(_SHORTEST, len(word) + 1)]
 
 
-def telling(toxic: list[list[str]], ordinary: list[list[str]], least: int = 4, z: float = 4.0, times: float = 3.0) -> set[str]:
-    """Beginnings of words in at least ``least`` toxic documents, significantly commoner there."""
+def telling(toxic: list[list[str]], ordinary: list[list[str]], least: int = 4, z: float = 4.5, times: float = 3.0) -> set[str]:
+    """Beginnings of words in at least ``least`` toxic documents, significantly commoner there: the signed
+    root of the log-likelihood ratio is over ``z``, and the share of documents over ``times`` as large."""
     count = lambda docs: Counter(b for d in docs for b in {b for w in set(d) for b in beginnings(w)})
     in_toxic, in_ordinary = count(toxic), count(ordinary)
+    share = len(toxic) / (len(toxic) + len(ordinary))
     out = set()
     for b, n in in_toxic.items():
-        if n >= least:
-            p, q = n / len(toxic), in_ordinary[b] / len(ordinary)
-            error = math.sqrt((n + 1) / len(toxic) ** 2 + (in_ordinary[b] + 1) / len(ordinary) ** 2)
-            if p > times * q and p - q > z * error:
+        m = in_ordinary[b]
+        if n >= least and n * len(ordinary) > times * m * len(toxic):
+            ratio = n * math.log(n / (n + m) / share) + (m * math.log(m / (n + m) / (1 - share)) if m else 0)
+            if 2 * ratio > z * z:
                 out.add(b)
     return out
 
 
-def _dictionary(samples: list[bytes], size: int) -> bytes:
-    """Content dictionary: the windows that most documents have, the commonest last (nearest)."""
-    held, kept = 0, []
-    for window, _ in sorted(Counter(samples).items(), key=lambda x: (-x[1], x[0])):
-        held += len(window)
-        if held > size:
-            break
-        kept.append(window)
-    return b"".join(reversed(kept))
+def _dictionary(windows: Iterable[bytes], size: int) -> bytes:
+    """A dictionary of at most ``size`` bytes by zstandard's trainer.
+
+    Windows too few to train on make one by themselves, the commonest last (nearest).
+    """
+    counts = Counter(windows)
+    long = sorted(w for w in counts.elements() if len(w) >= SUBSTRING)
+    random.Random(1).shuffle(long)
+    try:
+        return zstandard.train_dictionary(size, long[:TRAINED_ON], k=SEGMENT, d=SUBSTRING, level=LEVEL).as_bytes()
+    except zstandard.ZstdError:
+        held, kept = 0, []
+        for window, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
+            held += len(window)
+            if held <= size:
+                kept.append(window)
+        return b"".join(reversed(kept))
 
 
 @dataclass(frozen=True)
@@ -111,6 +124,7 @@ class Distance:
         parameters = zstandard.ZstdCompressionParameters.from_level(LEVEL, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0)
 
         def compressor(data: bytes):
+            # what the dictionary holds, without the symbol tables that were trained with it: a window is too short for those
             dictionary = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             dictionary.precompute_compress(compression_params=parameters)
             return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=parameters).compress
@@ -150,7 +164,7 @@ def fit(toxic: Iterable[str | None], ordinary: Iterable[str | None], odds: float
         return None
     train = lambda docs: [d for i, d in enumerate(docs) if i % 3]
     held = lambda docs: docs[::3]
-    signs = telling(train(toxic), train(ordinary)) or telling(train(toxic), train(ordinary), 2, 1.0)
+    signs = telling(train(toxic), train(ordinary)) or telling(train(toxic), train(ordinary), 2, 1.0, 1.0)
     told = {w: any(b in signs for b in beginnings(w)) for d in [*train(toxic), *train(ordinary)] for w in set(d)}
     bad = [tagged(w) for d in train(toxic) for w in set(d) if told[w]]
     good = [tagged(w) for d in train(ordinary) for w in set(d)]
@@ -196,19 +210,24 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column | None = None,
     """doc_id, toxicity, toxic (toxicity at least ``threshold``) and ``carry`` for each row of ``docs``.
 
     ``labels`` has doc_id and toxic; those outside ``held_out`` (over doc_id) are learned from: of each
-    class the ``sample`` documents that come first in the order of a hash of doc_id.  Null labels, ids
-    and texts teach nothing; a document with both labels counts as toxic; repeated rows score alike.
+    class the ``sample`` documents of ``docs`` that come first in the order of a hash of doc_id, as far as
+    they have no more than ``SAMPLE_CHARS`` characters together and ``TAUGHT_CHARS`` each.  Null labels,
+    ids and texts teach nothing; a document with both labels counts as toxic, and one of several rows
+    teaches by the first of its texts; repeated rows score alike.  Columns of ``docs`` that are called
+    toxicity or toxic are not looked at; no labels give scores of 0; an empty table gives an empty one.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     if held_out is not None:
         known = known.where(~held_out)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    chosen = None
-    for label in (1, 0):
-        part = known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").collect()  # 2 * sample documents at most
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
+    here = docs.select("doc_id", F.length("text").alias("_chars")).where(F.col("_chars").isNotNull()).groupBy("doc_id").agg(F.max("_chars").alias("_chars"))
+    here = here.where(F.col("_chars") <= TAUGHT_CHARS).join(known, "doc_id").withColumn("_order", F.xxhash64("doc_id"))
+    so_far = Window.partitionBy("label").orderBy("_order", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = [here.where(F.col("label") == label).orderBy("_order", "doc_id").limit(sample) for label in (1, 0)]
+    chosen = first[0].unionByName(first[1]).withColumn("_sum", F.sum("_chars").over(so_far)).where(F.col("_sum") <= SAMPLE_CHARS)
+    chosen = chosen.select("doc_id", "label")  # 2 * sample documents at most
+    taught = docs.select("doc_id", "text").where(F.length("text") <= TAUGHT_CHARS).join(F.broadcast(chosen), "doc_id")
+    rows = taught.groupBy("doc_id", "label").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
     sizes = known.agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("all")).head()
     odds = (sizes["toxic"] or 0) / max(1, sizes["all"] - (sizes["toxic"] or 0))
     model = fit([r["text"] for r in rows if r["label"] == 1], [r["text"] for r in rows if r["label"] == 0], odds)
