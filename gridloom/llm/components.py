@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialise
+from .storage import drop_since, mark, materialise
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -26,9 +26,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """node and component (the smallest node reachable) for every node of an edge table (a, b).
 
     Loops and edges with a null end are dropped; no edges give no rows.  Each round is written to the
-    shared folder; the rounds end when an order-free sum over the edges stops changing.
+    shared folder and so is the result; the rounds end when an order-free sum over the edges stops changing.
     """
     edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+    spark = edges.sparkSession
+    began = mark()
     edges = materialise(edges, "edges")
     state = None
     while True:
@@ -38,4 +40,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         state = (row["n"], row["s"])
     members = edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
-    return members.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+    members = members.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+    members = materialise(members, "members")
+    drop_since(spark, began, members)
+    return members

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .storage import materialise, small_batches
+from .storage import drop_since, mark, materialise, small_batches
 from .words import mix, shingle_hashes, word_hashes
 
 HASHES, TREES, SHORTEST, DEEPEST, CROWD = 128, 32, 4, 8, 4
@@ -227,6 +227,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     (component null, kept); rows of one doc_id are one document; extra columns are not looked at; an
     empty table gives an empty one.
     """
+    began = mark()
     table = materialise(signed(docs, width), "signed")
     known = table.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = materialise(known.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n")), "classes")
@@ -264,13 +265,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     best = either.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("n", -(F.col("b") - F.col("a")))).alias("p")).select("p.a", "p.b").distinct()
     checked = tested(best)
     links = checked.where("linked").select("a", "b")
-    labels = materialise(connected_components(links), "labels")
+    labels = connected_components(links)
     # 2. all others between components
     loose = materialise(apart(pairs.select("a", "b", "crowded"), labels).select("a", "b", "crowded"), "loose")  # what is linked stays so
     hopeful = materialise(promising(loose), "hopeful")
     more = tested(hopeful.join(checked.select("a", "b"), ["a", "b"], "left_anti"))
     links = links.unionByName(more.where("linked").select("a", "b"))
-    labels = materialise(connected_components(links), "labels")
+    labels = connected_components(links)
     # 3. the rest of every group: components that a crowded region or a promising candidate joins
     joined = apart(loose.where("crowded").select("a", "b").unionByName(hopeful), labels)
     joined = joined.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
@@ -290,7 +291,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     keys = "group", "tile", "block"
     late = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(_tile(num, den), "a long, b long")
     links = links.unionByName(materialise(late.distinct(), "late"))
-    labels = materialise(connected_components(links), "labels")
+    labels = connected_components(links)
+
+    drop_since(docs.sparkSession, began, table, classes, labels)
 
     members = known.select("doc_id", "n_shingles", "key").join(classes.select("key", "node"), "key").join(labels, "node", "left")
     # rows of one doc_id are one document, even if their texts are in different classes

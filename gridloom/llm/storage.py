@@ -2,26 +2,38 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_written: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a local folder only where it is unset (tests)."""
+    """``spark.checkpoint.dir`` of the session.
+
+    Where it is unset, a session whose executors run in this process (tests) gets a local folder; on a
+    cluster that would be a folder of one machine, so it is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         jsc = spark.sparkContext._jsc.sc()
         if jsc.getCheckpointDir().isDefined():
             return jsc.getCheckpointDir().get()
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="gridloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -39,6 +51,26 @@ def drop_table(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def mark() -> int:
+    """A point in time for :func:`drop_since`."""
+    return len(_written)
+
+
+def drop_since(spark: SparkSession, point: int, *kept: DataFrame) -> None:
+    """Delete the tables that were written since ``point``, but for those that ``kept`` read."""
+    needed = {f for df in kept for f in df.inputFiles()}
+    for path in _written[point:]:
+        name = path.rsplit("/", 1)[-1]
+        if not any(f"/{name}/" in f for f in needed):
+            drop_table(spark, path)
+            _written.remove(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables that operators have written; results that were not computed yet are lost."""
+    drop_since(spark, 0)
+
+
 TEXT_ROWS = 1024
 
 

@@ -7,7 +7,8 @@ merged into the wildcard too.  Labels are the rules' verdicts.  A template is re
 rate, smoothed towards its host's and the whole table's, is at least ``reject``.
 
 All counts are aggregated before they are shuffled; nodes are joined back on (host, template,
-segment), so a host with a third of all pages is many keys below its first levels.
+segment), so a host with a third of all pages is many keys below its first levels.  Paths of any depth
+are read to their end.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialise
+from .storage import drop_since, mark, materialise
 
 #: (verdict, rule): a host and a path prefix each.
 RULES = (
@@ -52,10 +53,12 @@ def matching_rule(rules: Sequence[tuple[str, str]] = RULES) -> tuple[Column, Col
     return pick(1), pick(2)
 
 
-def templates(urls: DataFrame, depth: int = 8, siblings: int = 16, rare: float = 4.0, z: float = 2.0) -> DataFrame:
-    """host, path, template for each distinct (host, path) of ``urls`` (host, path, verdict).
+def templates(urls: DataFrame, siblings: int = 16, rare: float = 4.0, z: float = 2.0) -> DataFrame:
+    """host, path, template and counts for each distinct (host, path) of ``urls`` (host, path, verdict).
 
-    Segments beyond ``depth`` stand as one.
+    There are as many rounds as levels that several paths share: where only one path goes on below a
+    node, all its further segments are only children, which no rule tells apart, so they are wildcards.
+    What a round joins are plain tables, so that Spark can split a host or segment with many paths.
     """
     counted = urls.groupBy("host", "path").agg(
         F.count(F.lit(1)).alias("n"),
@@ -63,41 +66,39 @@ def templates(urls: DataFrame, depth: int = 8, siblings: int = 16, rare: float =
         F.count("verdict").alias("labelled"),
     )
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    long = F.concat(F.slice(segments, 1, depth - 1), F.array(F.array_join(F.slice(segments, depth, 1 << 20), "/")))
     rows = materialise(
-        counted.withColumn("segments", F.when(F.size(segments) > depth, long).otherwise(segments))
-        .withColumn("blocked", F.coalesce("blocked", F.lit(0)))
-        .withColumn("template", F.lit("")),
+        counted.withColumn("segments", segments).withColumn("blocked", F.coalesce("blocked", F.lit(0))).withColumn("template", F.lit("")),
         "urls-0",
     )
     done = None
-    for level in range(depth):
+    level = 0
+    while True:
         finished = rows.where(F.size("segments") <= level)
         done = finished if done is None else done.unionByName(finished)
         deeper = rows.where(F.size("segments") > level).withColumn("segment", F.element_at("segments", level + 1))
-        child = deeper.groupBy("host", "template", "segment").agg(*[F.sum(c).alias(c) for c in ("n", "blocked", "labelled")])
-        node = child.groupBy("host", "template").agg(F.count(F.lit(1)).alias("_children"), *[F.sum(c).alias(f"_{c}") for c in ("n", "blocked", "labelled")])
+        sums = [F.sum(c).alias(c) for c in ("n", "blocked", "labelled")]
+        child = materialise(deeper.groupBy("host", "template", "segment").agg(*sums, F.count(F.lit(1)).alias("paths")), "children")
+        node = child.groupBy("host", "template").agg(F.count(F.lit(1)).alias("_children"), *[F.sum(c).alias(f"_{c}") for c in ("n", "blocked", "labelled", "paths")])
+        node = materialise(node, "nodes")
+        if node.isEmpty():
+            break
         rate, pooled = F.try_divide("blocked", "labelled"), F.try_divide("_blocked", "_labelled")
         deviation = F.sqrt(pooled * (1 - pooled) / F.col("labelled"))
         differs = F.coalesce((F.col("labelled") > 0) & (F.abs(rate - pooled) > z * deviation), F.lit(False))
         crowded = (F.col("_children") > siblings) & (F.col("n") < rare) & (F.col("_n") < rare * F.col("_children"))
         literal = ~F.col("segment").rlike(_IDENTIFIER) & ~crowded & differs
-        named = (
-            child.join(node, ["host", "template"])
-            .select("host", "template", "segment", F.concat("template", F.lit("/"), F.when(literal, F.col("segment")).otherwise(F.lit("*"))).alias("grown"))
-        )
-        rows = materialise(
-            deeper.join(named, ["host", "template", "segment"]).withColumn("template", F.col("grown")).drop("grown", "segment"),
-            f"urls-{level + 1}",
-        )
-        if rows.isEmpty():
-            break
-    else:
-        done = done.unionByName(rows)
+        grown = F.concat("template", F.lit("/"), F.when(literal, F.col("segment")).otherwise(F.lit("*")))
+        named = child.join(node, ["host", "template"]).select("host", "template", "segment", grown.alias("grown"), (F.col("_paths") == 1).alias("alone"))
+        named = materialise(named, "named")
+        rest = F.when(F.col("alone"), F.repeat(F.lit("/*"), F.size("segments") - level - 1)).otherwise(F.lit(""))
+        kept = F.when(F.col("alone"), F.slice("segments", 1, level + 1)).otherwise(F.col("segments"))
+        rows = deeper.join(named, ["host", "template", "segment"]).withColumns({"template": F.concat("grown", rest), "segments": kept})
+        level += 1
+        rows = materialise(rows.drop("grown", "segment", "alone"), f"urls-{level}")
     return done.select("host", "path", "template", "n", "blocked", "labelled")
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, strength: float = 4.0, reject: float = 0.5, depth: int = 8) -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, strength: float = 4.0, reject: float = 0.5) -> DataFrame:
     """``pages`` with host, path, rule, template, block_rate and verdict.
 
     The verdict is the rule's where one fits, else 'block' if the template's smoothed block rate is at
@@ -107,14 +108,17 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, strength:
     rule, label = matching_rule(rules)
     looked = host_and_path(pages.drop("rule", "verdict", "template", "block_rate")).withColumn("rule", rule)
     urls = looked.select("host", "path", label.alias("verdict"))
-    found = materialise(templates(urls, depth), "templates")
+    began = mark()
+    found = materialise(templates(urls), "templates")
     sums = [F.sum(c).alias(f"{c}") for c in ("blocked", "labelled")]
     everything = found.agg(*sums).head()
     overall = ((everything["blocked"] or 0) + 0.5) / ((everything["labelled"] or 0) + 2)
     smooth = lambda prior: (F.col("blocked") + strength * prior) / (F.col("labelled") + strength)
-    hosts = found.groupBy("host").agg(*sums).select("host", smooth(F.lit(overall)).alias("host_rate"))
-    rated = found.groupBy("host", "template").agg(*sums).join(hosts, "host").select("host", "template", smooth(F.col("host_rate")).alias("block_rate"))
+    hosts = materialise(found.groupBy("host").agg(*sums).select("host", smooth(F.lit(overall)).alias("host_rate")), "hosts")
+    rated = materialise(found.groupBy("host", "template").agg(*sums), "counts")
+    rated = rated.join(hosts, "host").select("host", "template", smooth(F.col("host_rate")).alias("block_rate"))
     rated = materialise(rated, "rates")  # a plain table to join, whose partners with a hot template can be split
+    drop_since(pages.sparkSession, began, found, rated)
     by_path = found.select("host", "path", "template").join(rated, ["host", "template"])
     verdict = F.coalesce(label, F.when(F.col("block_rate") >= reject, "block").otherwise("allow"))
     return looked.join(by_path, ["host", "path"], "left").withColumn("verdict", verdict)
