@@ -13,7 +13,7 @@ import pandas as pd
 import public_tokenizers
 import pytest
 import regex
-from gridloom.llm import bpe_replay, components, cube_mixing, cws, license_rules, lsh_forest, pu_quality, threshold_topk, url_templates, warc, words, zstd_toxicity
+from gridloom.llm import bpe_replay, components, cube_mixing, cws, license_rules, lsh_forest, pu_quality, storage, threshold_topk, url_templates, warc, words, zstd_toxicity
 from gridloom.llm import queries as q
 from pyspark.sql import functions as F
 from tests.oracle import compare
@@ -161,8 +161,20 @@ def test_quality_looks_at_no_negative_label(docs, labels):
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
-    scored = zstd_toxicity.classify(docs, labels, q._fold(5, 0))
-    assert accuracy(scored, labels, "toxicity", "toxic", q._fold(5, 0), 0.5) > 0.95
+    scored = zstd_toxicity.classify(docs, labels, q._fold(5, 0)).join(labels.select("doc_id", F.col("toxic").alias("label")), "doc_id").where(q._fold(5, 0)).collect()
+    caught = sum(r["toxic"] for r in scored if r["label"] == 1)
+    alarms = sum(r["toxic"] for r in scored if r["label"] == 0)
+    assert caught > 0.75 * sum(r["label"] for r in scored) and caught > 0.9 * (caught + alarms)
+
+
+def test_toxicity_dictionaries_are_trained_ones(spark):
+    made = random.Random(2)
+    ordinary = lambda: " ".join("".join(made.choice("aeilnorst") for _ in range(made.randrange(3, 9))) for _ in range(80))
+    toxic = lambda: ordinary() + " " + " ".join(made.choice(["wretched", "vilify", "despicable"]) for _ in range(6))
+    lists = [toxic() for _ in range(300)], [ordinary() for _ in range(300)]
+    model = zstd_toxicity.fit(*lists)
+    magic = (0xEC30A437).to_bytes(4, "little")
+    assert model.ordinary[:4] == magic and model.toxic[:4] == magic and model.toxic == zstd_toxicity.fit(*lists).toxic
 
 
 @pytest.mark.parametrize("late", ["\u6bd2\u5bb3\u8a00\u8bed", "/mischief", "_mischief"])
@@ -475,6 +487,62 @@ def test_templates_split_by_purity(spark):
     assert got["/good/55"] == "/good/*" and got["/bad/55"] == "/bad/*" and len(got) == len({(h, p) for h, p, _ in rows})
 
 
+def plain_templates(urls, siblings=16, rare=4.0, z=2.0):
+    """Level by level in dictionaries: {(host, path): template}."""
+    counts = {}
+    for host, path, verdict in urls:
+        c = counts.setdefault((host, path), [0, 0, 0])
+        counts[host, path] = [c[0] + 1, c[1] + (verdict == "block"), c[2] + (verdict is not None)]
+    cut = {k: [s for s in k[1].split("/") if s] for k in counts}
+    out, level = dict.fromkeys(counts, ""), 0
+    while going := [k for k in counts if len(cut[k]) > level]:
+        child, node = defaultdict(lambda: np.zeros(3)), defaultdict(set)
+        for k in going:
+            child[k[0], out[k], cut[k][level]] += counts[k]
+            node[k[0], out[k]].add(cut[k][level])
+        named = {}
+        for (host, template), names in node.items():
+            n, blocked, labelled = sum(child[host, template, s] for s in names)
+            for s in names:
+                c = child[host, template, s]
+                differs = c[2] > 0 and labelled > 0 and abs(c[1] / c[2] - blocked / labelled) > z * np.sqrt(blocked / labelled * (1 - blocked / labelled) / c[2])
+                crowded = len(names) > siblings and c[0] < rare and n < rare * len(names)
+                named[host, template, s] = s if differs and not crowded and not regex.search(url_templates._IDENTIFIER, s) else "*"
+        for k in going:
+            out[k] += "/" + named[k[0], out[k], cut[k][level]]
+        level += 1
+    return out
+
+
+def plain_verdicts(rows, templates):
+    """block_rate of each (host, path), smoothed towards its host's and the whole table's."""
+    seen, hosts, kinds = np.zeros(2), defaultdict(lambda: np.zeros(2)), defaultdict(lambda: np.zeros(2))
+    for host, path, verdict in rows:
+        c = np.array([verdict == "block", verdict is not None], float)
+        seen, hosts[host], kinds[host, templates[host, path]] = seen + c, hosts[host] + c, kinds[host, templates[host, path]] + c
+    over = (seen[0] + 0.5) / (seen[1] + 2)
+    smooth = lambda c, prior: (c[0] + 4 * prior) / (c[1] + 4)
+    return {k: smooth(kinds[k[0], t], smooth(hosts[k[0]], over)) for k, t in templates.items()}
+
+
+def test_templates_and_verdicts_are_those_of_a_plain_tree(spark, sf):
+    made = random.Random(7)
+    urls = [r["url"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    urls += [f"http://h{made.randrange(4)}.com/{made.choice(['fr', 'de', 'x'])}/{made.choice('abc')}/{made.randrange(40)}/{made.choice('pq')}" for _ in range(600)]
+    urls += ["http://deep.com/de/" + "/".join(str(i) + "z" for i in range(30)), "http://deep.com/de/" + "/".join(str(i) + "z" for i in range(11)) + "/other", None, "http://a.org", "http://a.org/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_templates.judge(pages).collect()
+    rule = {"block": "block", "allow": "allow"}
+    rows = [(r["host"], r["path"], rule.get(r["verdict"]) if r["rule"] else None) for r in got]
+    templates = plain_templates(rows)
+    rates = plain_verdicts(rows, templates)
+    assert len(got) == len(urls)
+    for r in got:
+        assert r["template"] == templates[r["host"], r["path"]]
+        assert r["block_rate"] == pytest.approx(rates[r["host"], r["path"]], abs=1e-12)
+        assert r["rule"] or r["verdict"] == ("block" if r["block_rate"] >= 0.5 else "allow")
+
+
 # ---------------------------------------------------------------- 10 mixing
 
 
@@ -510,6 +578,26 @@ def test_mix_meets_its_targets(docs, awkward):
     assert cube_mixing.repeat(awkward, mixed).count() == sum(r["copies"] for r in rows)
 
 
+def test_tables_are_dropped_and_a_cluster_needs_a_shared_folder(spark, docs):
+    class Cluster:
+        """A session on another machine's cluster without a shared folder."""
+
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://elsewhere:7077"
+
+            class _jsc:
+                sc = staticmethod(lambda: type("", (), {"getCheckpointDir": lambda self: type("", (), {"isDefined": lambda self: False})()})())
+
+    with pytest.raises(RuntimeError):
+        storage.shared_dir(Cluster())
+    began = storage.mark()
+    out = lsh_forest.near_duplicates(docs.select("doc_id", "text"), 5)
+    assert 0 < len(storage._written[began:]) <= 3 and out.count() == docs.count()
+
+
 def test_folds_are_those_of_zlib(spark):
     rows = spark.range(200).withColumnRenamed("id", "doc_id").select("doc_id", q._fold(4, 2).alias("f")).collect()
     assert all(r["f"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
