@@ -16,25 +16,31 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialise
+from .storage import drop_since, mark, materialise
 from .words import WORD
 
 CHUNK = 2048
 #: Documents of all lengths that the last chunk of a source leaves to the landing phase.
 LANDING = 12
 _EDGE = 1e-9
-_SCHEMA = "doc_id long, size long, source string, source_size long, target double, base long, p double"
+_SCHEMA = "doc_id long, size long, source string, row long, number long, source_size long, target double, base long, p double"
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source and the number of words of each whole text (null: 0)."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+def sizes(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, source, the number of words of each whole text (null: 0), and ``row``, a number of its own for each row."""
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "source",
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
+    )
 
 
 def numbered(table: DataFrame, *order) -> DataFrame:
@@ -135,7 +141,7 @@ def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
 def _level(landing: bool):
     def one_chunk(chunk: pd.DataFrame) -> pd.DataFrame:
         # long documents first: the undecided rest, which the landing rounds, is mostly short ones
-        chunk = chunk.sort_values(["size", "order", "doc_id"], ascending=[False, True, True], kind="stable", ignore_index=True)
+        chunk = chunk.sort_values(["size", "order"], ascending=[False, True], kind="stable", ignore_index=True)
         draws = np.random.default_rng(chunk["order"].to_numpy().view(np.uint64)[:1]).random(len(chunk))
         p, size = chunk["p"].to_numpy(float), chunk["size"].to_numpy()
         free = np.flatnonzero((p > _EDGE) & (p < 1 - _EDGE))
@@ -150,32 +156,35 @@ def _level(landing: bool):
     return one_chunk
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, chunk: int = CHUNK) -> DataFrame:
-    """doc_id, size, source, source_size, target and taken (words) of every document.
+def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, chunk: int = CHUNK, row: str | None = None) -> DataFrame:
+    """doc_id, size, source, source_size, target, taken (words) and copies of every document, and ``row`` if it is named.
 
     ``taken`` is the size times the copies that the mix takes, at most ``most`` times.  A null text
     has size 0 and takes nothing; a null source is a source of its own; repeated rows are documents
     of their own; extra columns are not looked at; an empty table gives an empty one.  The same
-    documents give the same mix, however they are partitioned.
+    documents give the same mix, however they are partitioned: chunks are dealt by a document's number
+    in the order of source, id and size, where only alike documents can change places.  ``row`` names a
+    column of unique longs to tell rows apart in the result (see :func:`repeat`).
     """
-    sized = materialise(sizes(docs), "sizes")
+    began = mark()
+    sized = materialise(sizes(docs, row), "sizes")
     targets = materialise(source_targets(sized, weights, share, most), "targets")
     rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
-    rows = sized.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).select(
-        "doc_id", "size", "source", "source_size", "target", "n_docs", F.floor(rate).alias("base"), (rate - F.floor(rate)).alias("p")
+    placed = numbered(sized, F.asc_nulls_last("source"), F.asc_nulls_last("doc_id"), "size", "row")
+    rows = placed.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).select(
+        "doc_id", "size", "source", "row", "number", "source_size", "target", "n_docs", F.floor(rate).alias("base"), (rate - F.floor(rate)).alias("p")
     )
     most_docs = targets.agg(F.max("n_docs").alias("n")).head()["n"] or 0
-    done = None
+    flights: list[DataFrame] = []
     level = 0
     while True:
         chunks = F.ceil(F.col("n_docs") / chunk)
-        order = F.xxhash64("doc_id", "size", F.lit(level))
+        order = F.xxhash64("number", F.lit(level))
         keyed = rows.withColumn("order", order).withColumn("chunk", F.pmod("order", chunks))
         last = most_docs <= chunk
         flown = materialise(keyed.groupBy("source", "chunk").applyInPandas(_level(last), _SCHEMA), f"flight-{level}")
         undecided = (F.col("p") > 0) & (F.col("p") < 1)
-        decided = flown.where(~undecided)
-        done = decided if done is None else done.unionByName(decided)
+        flights.append(flown)
         if last:
             break
         rest = flown.where(undecided)
@@ -183,14 +192,14 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
         most_docs = per_source.agg(F.max("n_docs").alias("n")).head()["n"] or 0
         rows = rest.join(per_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
         level += 1
-    return done.select("doc_id", "size", "source", "source_size", "target", (F.col("size") * (F.col("base") + F.col("p").cast("long"))).alias("taken"), (F.col("base") + F.col("p").cast("long")).alias("copies"))
+    drop_since(docs.sparkSession, began, *flights)
+    done = reduce(DataFrame.unionByName, [flown.where(~undecided) for flown in flights])
+    copies = F.col("base") + F.col("p").cast("long")
+    return done.select("doc_id", "size", "source", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"), *(["row"] if row else []))
 
 
-def repeat(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of ``docs``, each as often as ``mixed`` takes it.  Rows of one doc_id are told apart by size."""
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    nth = lambda size: F.row_number().over(Window.partitionBy("doc_id").orderBy(size))
-    taken = mixed.withColumn("_m", nth(F.col("size"))).where("copies > 0").select(F.col("doc_id").alias("_id"), "_m", "copies")
-    rows = docs.withColumn("_n", nth(size))
-    joined = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_m")))
-    return joined.withColumn("_copy", F.explode(F.expr("sequence(1, copies)"))).select(*docs.columns)
+def repeat(docs: DataFrame, mixed: DataFrame, row: str) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mixed`` takes it; both know a row by its number in ``row``."""
+    taken = mixed.where("copies > 0").select(F.col("row").alias("_row"), F.col("copies").alias("_copies"))
+    joined = docs.join(taken, F.col(row) == F.col("_row"))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[c for c in docs.columns if c != row])

@@ -231,6 +231,10 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column | None = None,
     if held_out is not None:
         known = known.where(~held_out)
     known = known.groupBy("doc_id").agg((F.min("quality") == 1).alias("_trusted"))
-    featured = materialise(with_features(docs.select("doc_id", "text", *carry)).drop("text").join(known, "doc_id", "left"), "pu-shapes")
-    model = fit(featured, F.col("_trusted"))
+    more = [c for c in carry if c not in ("doc_id", "text")]
+    featured = with_features(docs.select("doc_id", "text", *more))
+    featured = materialise(featured if "text" in carry else featured.drop("text"), "pu-shapes")
+    # rows keep their place: only shapes meet the labels
+    marked = materialise(featured.select("doc_id", "shape").join(known, "doc_id", "left").select("shape", "_trusted"), "pu-marked")
+    model = fit(marked, F.col("_trusted"))
     return score(featured, model, "quality_score").select("doc_id", "quality_score", (F.col("quality_score") >= threshold).alias("quality_ok"), *carry)
