@@ -574,8 +574,18 @@ def test_mix_meets_its_targets(docs, awkward):
     rows = cube_mixing.mix(awkward).collect()
     assert len(rows) == awkward.count() and all(r["taken"] <= 2 * r["size"] for r in rows)
     assert cube_mixing.mix(awkward.limit(0)).count() == 0
-    mixed = cube_mixing.mix(awkward)
-    assert cube_mixing.repeat(awkward, mixed).count() == sum(r["copies"] for r in rows)
+    marked = awkward.coalesce(1).withColumn("at", F.monotonically_increasing_id())
+    assert cube_mixing.repeat(marked, cube_mixing.mix(marked, row="at"), "at").count() == sum(r["copies"] for r in rows)
+
+
+def test_copies_of_one_row_fly_in_chunks_of_bounded_size(spark):
+    rows = spark.range(600).select(F.lit(7).alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"))
+    other = spark.range(300).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a b c d").alias("text"), F.lit("t").alias("source"))
+    out = cube_mixing.mix(rows.unionByName(other), chunk=32)
+    taken = {r["source"]: (r["t"], r["w"]) for r in out.groupBy("source", "target").agg(F.sum("taken").alias("t"), F.first("target").alias("w")).collect()}
+    assert out.count() == 900 and all(abs(t - w) <= 4 for t, w in taken.values())
+    numbers = cube_mixing.numbered(cube_mixing.sizes(rows), "source", "doc_id", "size", "row").select(F.pmod(F.xxhash64("number", F.lit(0)), F.lit(19)).alias("chunk")).groupBy("chunk").count().collect()
+    assert max(r["count"] for r in numbers) < 70
 
 
 def test_tables_are_dropped_and_a_cluster_needs_a_shared_folder(spark, docs):

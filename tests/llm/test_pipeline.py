@@ -43,3 +43,18 @@ def test_rows_of_null_and_repeated_ids_are_decided_by_their_texts(spark, sf):
     table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.near_dedup(spark, table, sf).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(7, texts[0]), (7, texts[2]), (9, texts[1])])
+
+
+def test_stages_on_nulls_repeats_clashing_columns_and_empty_tables(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    long = " ".join(f"word{i}" for i in range(30_000))
+    rows = [(None, None, None, None, None), (None, "", "en", "s", 0), (5, None, "en", None, None), (5, long, None, "s", 1), (5, long, None, "s", 1), (6, " \n", "en", "s", 2)]
+    odd = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    clash = odd.select("*", *[F.lit(1).alias(c) for c in ("shape", "_trusted", "toxicity", "toxic", "_at", "row", "copies", "size", "component_id", "kept", "token_ids", "_digest")])
+    for name, stage in corpus_pipeline.STAGES:
+        a, b = (stage(spark, table, sf) for table in (odd, clash))
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect())), name
+        assert stage(spark, clash.limit(0), sf).count() == 0, name
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, odd, sf).collect()]
+    assert sum(t == long for _, t in kept) == 1 and kept.count((None, None)) == kept.count((None, "")) == kept.count((5, None)) == kept.count((6, " \n")) == 1
+    assert len(corpus_pipeline.bpe(spark, odd, sf).collect()) == odd.count()
