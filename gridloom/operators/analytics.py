@@ -50,6 +50,16 @@ def ordinal_ranks(table: DataFrame, group: str, value: str, *ties: str) -> DataF
     return table.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(value, *ties)) - 1)
 
 
+def rank_changes(table: DataFrame, unit: str, value: str, months: int = 1) -> DataFrame:
+    """month_id, n, mobility (mean absolute change of rank) and correlation of the ranks of the units that
+    a month and the one ``months`` before have both."""
+    now = ordinal_ranks(table, "month_id", value, unit).select("month_id", unit, F.col("rank").alias("_now"))
+    before = now.select((F.col("month_id") + months).alias("month_id"), unit, F.col("_now").alias("_before"))
+    both = now.join(before, ["month_id", unit]).groupBy("month_id")
+    varies = (F.stddev_pop("_now") > 0) & (F.stddev_pop("_before") > 0)
+    return both.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("_now") - F.col("_before"))).alias("mobility"), F.when(varies, F.corr("_before", "_now")).alias("correlation"))
+
+
 def implausible(table: DataFrame, unit: str, value: str, months: int = 12, factor: float = 2.5, floor: float = 2000.0) -> DataFrame:
     """unit, last_month, value, median and flag of each unit's last month that is not 0, against the median
     of the ``months`` up to it; units with fewer than three months are left out."""

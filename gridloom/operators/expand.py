@@ -10,10 +10,16 @@ from pyspark.sql import functions as F
 AMOUNTS = ("best", "low", "high")
 
 
-def _months(start: Column, end: Column) -> Column:
-    """First days of the months from start to end; empty if end is before start."""
-    first, last = F.trunc(start, "MM"), F.trunc(end, "MM")
-    return F.when(last >= first, F.sequence(first, last, F.expr("interval 1 month"))).otherwise(F.array().cast("array<date>"))
+def date_accounting(events: DataFrame) -> DataFrame:
+    """One row: n_input = n_dated + n_undated + n_reversed; reversed ones end in a month before their first."""
+    start, end = F.coalesce("date_start", "date_end"), F.coalesce("date_end", "date_start")
+    back = F.trunc(end, "MM") < F.trunc(start, "MM")
+    return events.agg(
+        F.count(F.lit(1)).alias("n_input"),
+        F.count(F.when(end.isNotNull() & ~back, 1)).alias("n_dated"),
+        F.count(F.when(end.isNull(), 1)).alias("n_undated"),
+        F.count(F.when(back, 1)).alias("n_reversed"),
+    )
 
 
 def split_months(events: DataFrame, rule: str, amounts: Sequence[str] = AMOUNTS, by_source: Mapping[str, str] | None = None) -> DataFrame:
@@ -22,12 +28,12 @@ def split_months(events: DataFrame, rule: str, amounts: Sequence[str] = AMOUNTS,
     Rules: ``date_end_only`` (the end's month), ``even_split`` (date_prec 5 over all its months, in
     fractions), ``ceil_split`` and ``floor_split`` (summaries, i.e. best at least the number of months and
     that over 1, rounded up or down for each month).  ``by_source`` names a rule for each source type;
-    ``rule`` holds for the others.  Rows without any date are dropped.
+    ``rule`` holds for the others.  Rows without any date are dropped (:func:`date_accounting` counts
+    them); a row that is to be split and ends before it begins is an error when it is computed.
     """
-    end = F.coalesce("date_end", "date_start")
-    months = _months(F.coalesce("date_start", "date_end"), end)
-    span = F.size(months)
-    alone = F.array(F.trunc(end, "MM"))
+    start, end = F.coalesce("date_start", "date_end"), F.coalesce("date_end", "date_start")
+    first, last = F.trunc(start, "MM"), F.trunc(end, "MM")
+    span = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start) + 1
     rules = {
         "date_end_only": F.lit(False),
         "even_split": F.coalesce(F.col("date_prec") == 5, F.lit(False)) if "date_prec" in events.columns else F.lit(False),
@@ -44,7 +50,10 @@ def split_months(events: DataFrame, rule: str, amounts: Sequence[str] = AMOUNTS,
     split = F.lit(False)
     for each, condition in rules.items():
         split = F.when(name == each, condition).otherwise(split)
-    rows = events.where(end.isNotNull()).withColumn("_rule", name).withColumn("_n", F.when(split, span).otherwise(1)).withColumn("date_month", F.explode(F.when(split, months).otherwise(alone)))
+    rows = events.where(end.isNotNull()).withColumn("_rule", name).withColumn("_n", F.when(split, span).otherwise(1))
+    backwards = F.raise_error(F.lit("an event that is to be split ends before it begins")).cast("array<date>")
+    months = F.when(F.col("_n") < 1, backwards).when(F.col("_n") > 1, F.sequence(first, last, F.expr("interval 1 month"))).otherwise(F.array(last))
+    rows = rows.withColumn("date_month", F.explode(months))
     for a in amounts:
         share = F.col(a) / F.col("_n")
         rounded = F.when(F.col("_rule") == "ceil_split", F.ceil(share).cast("double")).when(F.col("_rule") == "floor_split", F.floor(share).cast("double")).otherwise(share)
@@ -55,14 +64,16 @@ def split_months(events: DataFrame, rule: str, amounts: Sequence[str] = AMOUNTS,
 def weight_map(events: DataFrame, polygons: DataFrame, amount: str = "best", most_precise: int = 3) -> DataFrame:
     """code, pgid and share of each polygon's amount, from well-located events.
 
-    ``polygons`` has pgid and code.  A polygon whose total is 0 has equal shares over its cells.
+    ``polygons`` has pgid and code, and level where there are several.  A polygon whose total is 0 has
+    equal shares over its cells.
     """
+    keys = [c for c in ("level", "code") if c in polygons.columns]
     totals = events.where(F.col("where_prec") <= most_precise).groupBy(F.col("priogrid_gid").alias("pgid")).agg(F.sum(amount).alias("amount"))
     cells = polygons.join(totals, "pgid", "left").withColumn("amount", F.coalesce("amount", F.lit(0)))
-    whole = Window.partitionBy("code")
+    whole = Window.partitionBy(*keys)
     total, n = F.sum("amount").over(whole), F.count(F.lit(1)).over(whole)
     share = F.when(total > 0, F.col("amount") / total).otherwise(1 / n)
-    return cells.select("code", "pgid", share.cast("double").alias("share")).where("share > 0")
+    return cells.select(*keys, "pgid", share.cast("double").alias("share")).where("share > 0")
 
 
 def allocate(rows: DataFrame, value: str, share: str, keys: Sequence[str], *order: Column) -> Column:
@@ -76,24 +87,49 @@ def allocate(rows: DataFrame, value: str, share: str, keys: Sequence[str], *orde
     return (floor + F.floor(rest / n) + F.when(rank <= F.pmod(rest, n), 1).otherwise(0)).cast("long")
 
 
-def distribute(events: DataFrame, weights: DataFrame, codes: DataFrame, amounts: Sequence[str] = AMOUNTS, least_precise: int = 4, row_id: str = "_row") -> DataFrame:
+def distribute(events: DataFrame, weights: DataFrame, codes: DataFrame, amounts: Sequence[str] = AMOUNTS, least_precise: int = 4, country_from: int = 6) -> DataFrame:
     """Imprecisely located events over their polygon's cells by weight; others, and those without polygon,
-    as they are.  ``codes`` has pgid and code.  Adds ``_spatial_distributed`` and ``_spatial_share``.
+    as they are.
+
+    ``codes`` has pgid and code, ``weights`` code, pgid and share.  Where both have ``level``, rows of a
+    where_prec from ``country_from`` on go by level 0 and the others by level 1.  Amounts are spread as
+    whole numbers (fractions are cut off, null is 0) that add up exactly: floors, and the remainder one by
+    one by descending share.  Adds ``_spatial_distributed``, ``_spatial_share``, ``_spatial_source_pgid``,
+    ``_spatial_polygon_code`` and ``_spatial_n_cells``.
+
+    A polygon's cells (at most the grid's) are one array, so an event is allocated within its row and
+    only then takes several rows: events are not shuffled.
     """
+    levels = "level" in codes.columns
+    keys = ["level", "code"] if levels else ["code"]
     vague = F.coalesce(F.col("where_prec") >= least_precise, F.lit(False)) & (F.coalesce("priogrid_gid", F.lit(0)) > 0)
-    placed = events.withColumn(row_id, F.monotonically_increasing_id()) if row_id not in events.columns else events
-    coded = placed.join(F.broadcast(codes.select(F.col("pgid").alias("_at"), F.col("code").alias("_code"))), vague & (F.col("priogrid_gid") == F.col("_at")), "left")
-    spread = coded.join(F.broadcast(weights.select(F.col("code").alias("_wcode"), F.col("pgid").alias("_to"), F.col("share").alias("_spatial_share"))), F.col("_code") == F.col("_wcode"), "left")
-    out = spread
-    for a in amounts:
-        out = out.withColumn(f"_new_{a}", F.when(F.col("_to").isNotNull(), allocate(out, a, "_spatial_share", [row_id], F.col("_to"))).otherwise(F.col(a)))
-    for a in amounts:
-        out = out.withColumn(a, F.col(f"_new_{a}")).drop(f"_new_{a}")
+    known = codes.select(F.col("pgid").alias("_at"), *[F.col(k).alias(f"_{k}") for k in keys])
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("share")).alias("order"), F.col("pgid").alias("to"), "share")))
+    arrays = weights.groupBy(*[F.col(k).alias(f"_w{k}") for k in keys]).agg(ranked.alias("_cells"))
+    at = vague & (F.col("priogrid_gid") == F.col("_at"))
+    if levels:
+        at = at & (F.col("_level") == F.when(F.col("where_prec") >= country_from, 0).otherwise(1))
+    out = events.join(known, at, "left")
+    same = F.col("_code") == F.col("_wcode")
+    out = out.join(arrays, same & (F.col("_level") == F.col("_wlevel")) if levels else same, "left")
+    whole = {a: F.coalesce(F.col(a), F.lit(0)).cast("long") for a in amounts}
+    rest = lambda v: v - F.aggregate("_cells", F.lit(0).cast("long"), lambda sum_, c: sum_ + F.floor(v * c["share"]))
+    out = out.withColumns({f"_rest_{a}": rest(v) for a, v in whole.items()} | {"_spatial_n_cells": F.when(F.col("_cells").isNotNull(), F.size("_cells"))})
+    out = out.select("*", F.posexplode_outer("_cells").alias("_i", "_cell"))
+    moved = F.col("_cell").isNotNull()
+    n, share = F.col("_spatial_n_cells"), F.col("_cell.share")
+    part = lambda a: F.floor(whole[a] * share) + F.floor(F.col(f"_rest_{a}") / n) + F.when(F.col("_i") < F.pmod(F.col(f"_rest_{a}"), n), 1).otherwise(0)
     return (
-        out.withColumn("_spatial_distributed", F.col("_to").isNotNull())
-        .withColumn("priogrid_gid", F.coalesce("_to", "priogrid_gid"))
-        .drop("_at", "_code", "_wcode", "_to")
-    )
+        out.withColumns({a: F.when(moved, part(a).cast("long")).otherwise(F.col(a)) for a in amounts})
+        .withColumns({
+            "_spatial_distributed": moved,
+            "_spatial_share": share,
+            "_spatial_source_pgid": F.when(moved, F.col("priogrid_gid")),
+            "_spatial_polygon_code": F.when(moved, F.col("_code")),
+        })
+        .withColumn("priogrid_gid", F.coalesce("_cell.to", "priogrid_gid"))
+        .drop("_at", "_cells", "_i", "_cell", *[f"_{k}" for k in keys], *[f"_w{k}" for k in keys], *[f"_rest_{a}" for a in amounts])
+    )
 
 
 def years_to_months(values: DataFrame, crosswalk: DataFrame, key: str, year: str = "year") -> DataFrame:

@@ -65,7 +65,8 @@ def load(
 ) -> DataFrame:
     """Rows of a wide table by region (a table of pgids), months and features.
 
-    The month and feature selections reach the scan; the region is a semi-join.
+    The month and feature selections reach the scan, and the years of a cube with ``year`` its
+    partitions; the region is a semi-join.
     """
     if output not in FORMATS:
         raise ValueError(f"unknown format {output!r}; there are {FORMATS}")
@@ -74,6 +75,8 @@ def load(
         raise ValueError(f"unknown or repeated features: {unknown or list(features)}")
     low, high = axes.parse_time_range(start, end, *axis)
     extra = [country] if output == "country_month" else []
+    if "year" in table.columns and "year" not in features:  # what cubes are partitioned by
+        table = table.where(F.col("year").between((low - 1) // 12 + axes.EPOCH_YEAR, (high - 1) // 12 + axes.EPOCH_YEAR))
     rows = table.where(F.col("month_id").between(low, high)).select("month_id", "pgid", *extra, *features)
     if region is not None:
         rows = rows.join(region, "pgid", "left_semi")

@@ -719,6 +719,16 @@ def rank_mobility(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.ordinal_ranks(nation_months(spark, sf), "month_id", "best", "country_id").select("month_id", "country_id", "rank")
 
 
+@registered(f"""
+{NATION_MONTH}, r AS (SELECT month_id, country_id, row_number() OVER (PARTITION BY month_id ORDER BY best, country_id) - 1 AS rank FROM nm)
+SELECT b.month_id, count(*) AS n, round(avg(abs(b.rank - a.rank)), 6) AS mobility,
+  round(CASE WHEN count(*) > 1 AND stddev_pop(a.rank) > 0 AND stddev_pop(b.rank) > 0 THEN corr(a.rank, b.rank) END, 6) AS correlation
+FROM r b JOIN r a ON a.country_id = b.country_id AND a.month_id = b.month_id - 1 GROUP BY 1
+""")
+def rank_changes(spark: SparkSession, sf: str) -> DataFrame:
+    return analytics.rank_changes(nation_months(spark, sf), "country_id", "best").select("month_id", "n", F.round("mobility", 6).alias("mobility"), F.round("correlation", 6).alias("correlation"))
+
+
 @registered(f"""
 {NATION_MONTH}, l AS (SELECT country_id, max(month_id) AS last_month FROM nm WHERE best <> 0 GROUP BY 1), w AS (
   SELECT nm.*, last_month FROM nm JOIN l USING (country_id) WHERE month_id <= last_month AND month_id > last_month - 12)
@@ -865,20 +875,77 @@ def area_majority_join(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- whole chains
 
 
-@registered()
+def _won_sql(priority: str, split: str) -> str:
+    """kept: the store without stale versions; m: survivors by month, with n months each."""
+    return f"""
+WITH {SPANS}, a AS (SELECT max(date_end) AS last FROM spread WHERE _source_type = 'annual'), s AS (
+  SELECT spread.* FROM spread, a WHERE _source_type = 'annual'
+     OR ((id IN (SELECT id FROM spread WHERE _source_type = 'annual') OR date_end > last) AND date_end IS NOT NULL)
+), kept AS (
+  SELECT * FROM s WHERE _source_type <> 'dot9' OR version_key = (SELECT max(version_key) FROM s WHERE _source_type = 'dot9')
+), won AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY {priority} DESC, version_key DESC, part, cell, date_end, best, nth) AS place FROM kept
+), x AS (SELECT *, CASE WHEN {split} THEN n_months ELSE 1 END AS n FROM won WHERE place = 1), m AS (
+  SELECT x.*, CAST(CASE WHEN n > 1 THEN date_trunc('month', date_start) + to_months(CAST(j AS INTEGER)) ELSE date_trunc('month', date_end) END AS DATE) AS date_month
+  FROM x, unnest(range(n)) t(j))"""
+
+
+@registered(f"""
+{_won_sql("CASE _source_type WHEN 'dot9' THEN 2 WHEN 'annual' THEN 1 ELSE 0 END", f"_source_type <> 'annual' AND {_SUMMARY}")}
+SELECT date_month, cell AS priogrid_gid, CAST(sum(CASE WHEN n > 1 THEN ceil(CAST(best AS DOUBLE) / n) ELSE best END) AS DOUBLE) AS best, count(*) AS n
+FROM m WHERE cell >= 1 AND type_of_violence <= 3 AND where_prec NOT IN (4, 6) GROUP BY ALL
+""")
 def viewpoint_production_parity(spark: SparkSession, sf: str) -> DataFrame:
     rows = spans(spark, sf).withColumn("priogrid_gid", F.col("cell"))
     view = registry.build_viewpoint(rows, registry.PROFILES["production_parity"], ties=TIES)
     return view.groupBy("date_month", "priogrid_gid").agg(F.sum("best").alias("best"), F.count(F.lit(1)).alias("n"))
 
 
-@registered()
+def _spread_sql(polygons: str, level: str) -> str:
+    """Monthly amounts v over the cells of polygons (level, code, pgid); the level of an event by its precision."""
+    return f"""
+{_won_sql("CASE _source_type WHEN 'annual' THEN 1 ELSE 0 END", "date_prec = 5")}, sums AS (
+  SELECT cell, sum(best) AS amount FROM kept WHERE where_prec <= 3 GROUP BY 1
+), poly AS ({polygons}), c AS (SELECT level, code, pgid, coalesce(amount, 0) AS amount FROM poly LEFT JOIN sums ON pgid = cell), t AS (
+  SELECT *, sum(amount) OVER (PARTITION BY level, code) AS total, count(*) OVER (PARTITION BY level, code) AS cells FROM c
+), weights AS (
+  SELECT level, code, pgid, CASE WHEN total > 0 THEN CAST(amount AS DOUBLE) / CAST(total AS DOUBLE) ELSE 1.0::DOUBLE / cells END AS share FROM t WHERE total = 0 OR amount > 0
+), b AS (SELECT id, date_month, cell, where_prec, CAST(best AS DOUBLE) / n AS v FROM m), p AS (
+  SELECT b.id, b.date_month, CAST(trunc(v) AS BIGINT) AS best, w.pgid, share FROM b
+  JOIN poly h ON h.pgid = cell AND h.level = {level} JOIN weights w ON w.code = h.code AND w.level = h.level WHERE where_prec >= 4 AND cell > 0
+), f AS (SELECT *, CAST(floor(best * share) AS BIGINT) AS base FROM p), g AS (
+  SELECT *, best - sum(base) OVER e AS rest, count(*) OVER e AS cnt, row_number() OVER (PARTITION BY id, date_month ORDER BY share DESC, pgid) AS q FROM f
+  WINDOW e AS (PARTITION BY id, date_month)
+), o AS (
+  SELECT date_month, pgid, CAST(base + floor(rest / cnt::DOUBLE) + CASE WHEN q <= ((rest % cnt) + cnt) % cnt THEN 1 ELSE 0 END AS DOUBLE) AS v FROM g
+  UNION ALL SELECT date_month, cell, v FROM b WHERE (id, date_month) NOT IN (SELECT (id, date_month) FROM p))
+SELECT date_month, pgid AS priogrid_gid, round(sum(v), 4) AS best, count(*) AS n FROM o GROUP BY 1, 2"""
+
+
+@registered(_spread_sql("SELECT 1 AS level, s_nationkey AS code, s_suppkey AS pgid FROM supplier", "1"))
 def viewpoint_default(spark: SparkSession, sf: str) -> DataFrame:
     rows = spans(spark, sf).withColumn("priogrid_gid", F.col("cell"))
     view = registry.build_viewpoint(rows, registry.PROFILES["default"], _polygons(spark, sf), TIES)
     return view.groupBy("date_month", "priogrid_gid").agg(F.round(F.sum("best"), 4).alias("best"), F.count(F.lit(1)).alias("n"))
 
 
+@registered(
+    _spread_sql(
+        "SELECT 1 AS level, s_nationkey AS code, s_suppkey AS pgid FROM supplier WHERE s_suppkey % 4 <> 0 UNION ALL SELECT 0, n_regionkey, s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey",
+        "CASE WHEN where_prec >= 6 THEN 0 ELSE 1 END",
+    )
+)
+def viewpoint_two_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations (without every fourth cell) for precisions 4 and 5, regions for 6 and more."""
+    rows = spans(spark, sf).withColumn("priogrid_gid", F.col("cell"))
+    nations = _polygons(spark, sf)
+    above = table(spark, sf, "nation").select(F.col("n_nationkey").alias("code"), F.col("n_regionkey").alias("_region"))
+    regions = nations.join(above, "code").select("pgid", F.col("_region").alias("code"), F.lit(0).alias("level"))
+    levels = nations.where("pgid % 4 <> 0").select("pgid", "code", F.lit(1).alias("level")).unionByName(regions)
+    view = registry.build_viewpoint(rows, registry.PROFILES["default"], levels, TIES)
+    return view.groupBy("date_month", "priogrid_gid").agg(F.round(F.sum("best"), 4).alias("best"), F.count(F.lit(1)).alias("n"))
+
+
 def feature_columns() -> T.StructType:
     """Schema of :func:`grid_month_features`, with each feature's aggregation type as metadata."""
     fields = [T.StructField("month_id", T.IntegerType()), T.StructField("pgid", T.IntegerType())]

@@ -72,13 +72,15 @@ CONFLICT_FEATURES = tuple(
 def build_viewpoint(store: DataFrame, view: Viewpoint, polygons: DataFrame | None = None, ties: tuple = ()) -> DataFrame:
     """A store to one row set: stale filter, survivors, months, cells, row filters.
 
-    Weights of cells come from all versions in the store, as well-located events of each.
+    An event is split into months first, and each month's amounts then go to cells as whole numbers.
+    Weights of cells come from all versions that the stale filter leaves, as well-located events of each.
+    ``polygons`` has pgid and code, and level (1 and 0) for two levels of them.
     """
     rows = resolve.drop_stale(store) if view.stale_filter else store
     weights = expand.weight_map(rows, polygons) if polygons is not None and view.spatial == "proportional" else None
     rows = resolve.survivors(rows, view.survivorship, ties)
+    rows = expand.split_months(rows, view.temporal, by_source=view.by_source)
     if weights is not None:
         rows = expand.distribute(rows, weights, polygons)
-    rows = expand.split_months(rows, view.temporal, by_source=view.by_source)
     distributed = F.col("_spatial_distributed") if weights is not None else None
     return rows.where(resolve.passes(view.min_pgid, view.max_violence, view.exclude_precision, distributed))

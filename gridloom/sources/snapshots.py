@@ -36,7 +36,8 @@ def read_store(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_store(table: DataFrame, path: str) -> None:
-    """Replace a store: written beside it, then renamed; the old one stays until the new is complete."""
+    """Replace a store: written beside it, then renamed; the old one stays until the new is complete, and
+    comes back if the new one cannot take its place."""
     spark = table.sparkSession
     beside = f"{path}.new-{uuid.uuid4().hex}"
     table.write.parquet(beside)
@@ -46,7 +47,15 @@ def write_store(table: DataFrame, path: str) -> None:
     replaced = fs.exists(target)
     if replaced and not fs.rename(target, old):
         raise OSError(f"{path} cannot be moved")
-    if not fs.rename(new, target):
+    try:
+        moved = fs.rename(new, target)
+    except Exception:
+        moved = False
+        raise
+    finally:
+        if not moved and replaced:
+            fs.rename(old, target)
+    if not moved:
         raise OSError(f"{path} cannot be written")
     if replaced:
         fs.delete(old, True)
@@ -92,6 +101,7 @@ def read_geojson(spark: SparkSession, path: str, properties: T.StructType) -> Da
 
 
 def write_cube(table: DataFrame, path: str) -> None:
-    """A (month_id, pgid, features) table by year, so that time ranges read their own files only."""
+    """A (month_id, pgid, features) table by year, so that time ranges read their own files only; a year
+    is written by as many tasks as its months and cells take."""
     year = F.floor((F.col("month_id") - 1) / 12).cast("int") + 1980
-    table.withColumn("year", year).repartition("year").sortWithinPartitions("month_id", "pgid").write.partitionBy("year").mode("overwrite").parquet(path)
+    table.withColumn("year", year).repartitionByRange("month_id", "pgid").sortWithinPartitions("month_id", "pgid").write.partitionBy("year").mode("overwrite").parquet(path)

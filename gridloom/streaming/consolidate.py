@@ -32,6 +32,7 @@ def start(spark: SparkSession, landing: str, schema, store_path: str, checkpoint
 
 
 def monthly_counts(stream: DataFrame, timestamp: str, key: str, late: str = "31 days") -> DataFrame:
-    """Events by calendar month, each key once, under a watermark."""
+    """month (its first day), event_type and count, each key once within the watermark; a running count, so
+    the output mode is update or complete."""
     seen = stream.withWatermark(timestamp, late).dropDuplicatesWithinWatermark([key])
-    return seen.groupBy(F.window(timestamp, "1 day"), "event_type").count().select(F.col("window.start").alias("day"), "event_type", "count")
+    return seen.groupBy(F.trunc(F.col(timestamp).cast("date"), "MM").alias("month"), "event_type").count()

@@ -154,6 +154,30 @@ def test_distribution_conserves_and_passes_through(spark):
     assert [r[0] for r in rows(out.where("_spatial_distributed").select("id").distinct(), "id")] == [4, 8]
 
 
+def test_undated_and_reversed_events_are_counted_or_refused(spark):
+    good, bad = summary(spark, 9, DAY(2024, 1, 1), DAY(2024, 3, 1)), summary(spark, 9, DAY(2024, 5, 1), DAY(2024, 3, 1))
+    with pytest.raises(Exception, match="ends before it begins"):
+        expand.split_months(bad, "even_split").collect()
+    assert rows(expand.date_accounting(good.unionByName(bad).unionByName(summary(spark, 9, None, None)))) == [(3, 1, 1, 1)]
+
+
+def test_two_levels_and_their_annotations(spark):
+    codes = spark.createDataFrame([(100, 10, 1), (101, 10, 1), (100, 1, 0), (101, 1, 0), (102, 1, 0), (103, 1, 0)], "pgid int, code int, level int")
+    s = "id int, where_prec int, priogrid_gid int, best double, low double, high double"
+    known = spark.createDataFrame([(1, 1, 100, 3.0, 0.0, 0.0), (2, 1, 103, 1.0, 0.0, 0.0)], s)
+    vague = spark.createDataFrame([(4, 5, 101, 7.9, 1.0, None), (5, 6, 101, 10.0, 0.0, 3.0), (6, 4, 102, 2.5, 2.0, 2.0), (7, 3, 100, 2.5, 2.0, 2.0)], s)
+    out = expand.distribute(vague, expand.weight_map(known, codes), codes)
+    got = rows(out.select("id", "priogrid_gid", "best", "high", "_spatial_distributed", "_spatial_source_pgid", "_spatial_polygon_code", "_spatial_n_cells"), "id", "priogrid_gid")
+    assert got == [
+        (4, 100, 7.0, 0.0, True, 101, 10, 1),
+        (5, 100, 8.0, 3.0, True, 101, 1, 2),
+        (5, 103, 2.0, 0.0, True, 101, 1, 2),
+        (6, 102, 2.5, 2.0, False, None, None, None),
+        (7, 100, 2.5, 2.0, False, None, None, None),
+    ]
+    assert set(out.columns) - set(vague.columns) == {"_spatial_distributed", "_spatial_share", "_spatial_source_pgid", "_spatial_polygon_code", "_spatial_n_cells"}
+
+
 def test_interpolation_before_between_and_after(spark):
     months = axes.months_between(spark, 241, 300)  # 2000 to 2004
     v = spark.createDataFrame([("a", 2001, 12.0), ("a", 2003, 36.0)], "key string, year int, value double")
@@ -282,6 +306,40 @@ def test_landed_formats(spark, tmp_path):
     assert quality.last_ledger_rows(led, 1).head()["outcome"] == "failed"
     snapshots.write_cube(spark.createDataFrame([(481, 1, 2.0), (492, 1, 3.0), (493, 1, 4.0)], "month_id int, pgid int, a double"), str(tmp_path / "cube"))
     assert sorted(p.name for p in (tmp_path / "cube").glob("year=*")) == ["year=2020", "year=2021"]
+    late = query.load(spark.read.parquet(str(tmp_path / "cube")), ["a"], start="2021-01")
+    assert rows(late) == [(493, 1, 4.0)]
+    assert "year" in re.search(r"PartitionFilters: \[(.*?)\]", late._jdf.queryExecution().executedPlan().toString())[1]
+
+
+def test_a_store_comes_back_if_the_new_one_cannot_be_moved(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/store"
+    snapshots.write_store(spark.range(3), path)
+    real = snapshots._path
+
+    class Broken:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            return ".new-" not in a.getName() and self.fs.rename(a, b)
+
+    monkeypatch.setattr(snapshots, "_path", lambda s, p: (real(s, p)[0], Broken(real(s, p)[1])))
+    with pytest.raises(OSError):
+        snapshots.write_store(spark.range(9), path)
+    monkeypatch.undo()
+    assert snapshots.read_store(spark, path).count() == 3
+
+
+def test_monthly_counts_are_by_month(spark, tmp_path):
+    e = spark.createDataFrame([(1, "a", "2024-01-31 10:00:00"), (2, "a", "2024-01-02 10:00:00"), (1, "a", "2024-01-31 10:00:00"), (3, "a", "2024-02-01 00:00:00")], "id int, event_type string, t string")
+    e = e.select("id", "event_type", F.to_timestamp("t").alias("ts"))
+    e.write.parquet(f"{tmp_path}/in")
+    stream = consolidate.monthly_counts(spark.readStream.schema(e.schema).parquet(f"{tmp_path}/in"), "ts", "id")
+    stream.writeStream.format("memory").queryName("months").outputMode("complete").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination(120)
+    assert rows(spark.table("months"), "month") == [(DAY(2024, 1, 1), "a", 2), (DAY(2024, 2, 1), "a", 1)]
 
 
 def test_stream_consolidates_once(spark, tmp_path):
