@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import bpe_replay, cube_mixing, lsh_forest, pu_quality, zstd_toxicity
 from gridloom.llm import queries as q
-from gridloom.llm.storage import materialise
+from gridloom.llm.storage import drop_since, mark, materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -96,6 +96,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    began = mark()
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_since(spark, began, docs)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_written: list[str] = []
+_here = threading.local()
+
+
+def _written() -> list[str]:
+    """Paths that this thread has written; queries of other threads have their own."""
+    return _here.__dict__.setdefault("paths", [])
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _written.append(path)
+    _written().append(path)
     return path
 
 
@@ -53,21 +59,21 @@ def drop_table(spark: SparkSession, path: str) -> None:
 
 def mark() -> int:
     """A point in time for :func:`drop_since`."""
-    return len(_written)
+    return len(_written())
 
 
 def drop_since(spark: SparkSession, point: int, *kept: DataFrame) -> None:
-    """Delete the tables that were written since ``point``, but for those that ``kept`` read."""
+    """Delete the tables that this thread has written since ``point``, but for those that ``kept`` read."""
     needed = {f for df in kept for f in df.inputFiles()}
-    for path in _written[point:]:
+    for path in _written()[point:]:
         name = path.rsplit("/", 1)[-1]
         if not any(f"/{name}/" in f for f in needed):
             drop_table(spark, path)
-            _written.remove(path)
+            _written().remove(path)
 
 
 def clear(spark: SparkSession) -> None:
-    """Delete all tables that operators have written; results that were not computed yet are lost."""
+    """Delete all tables that operators have written in this thread; results not computed yet are lost."""
     drop_since(spark, 0)
 
 
