@@ -605,7 +605,7 @@ def test_tables_are_dropped_and_a_cluster_needs_a_shared_folder(spark, docs):
         storage.shared_dir(Cluster())
     began = storage.mark()
     out = lsh_forest.near_duplicates(docs.select("doc_id", "text"), 5)
-    assert 0 < len(storage._written[began:]) <= 3 and out.count() == docs.count()
+    assert 0 < len(storage._written()[began:]) <= 3 and out.count() == docs.count()
 
 
 def test_folds_are_those_of_zlib(spark):
