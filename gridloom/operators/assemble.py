@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import axes
+
 KEYS = ("month_id", "pgid")
 
 
@@ -54,3 +56,28 @@ def completeness(table: DataFrame, features: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in features])
 
 
+def row_loss(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """One row: keys of the first table, and how many of them :func:`merge_indicators` loses."""
+    first = tables[0].select(*keys).distinct()
+    marked = reduce(lambda a, b: a.join(b.select(*keys).distinct().withColumn(f"_in{len(a.columns)}", F.lit(1)), list(keys), "left"), tables[1:], first)
+    lost = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in marked.columns if c.startswith("_in")], F.lit(False))
+    return marked.agg(F.count(F.lit(1)).alias("n_first"), F.count(F.when(lost, 1)).alias("n_lost"))
+
+
+def unmatched(rows: DataFrame, crosswalk: DataFrame, key: str) -> DataFrame:
+    """Keys (neither null nor empty) without an entry in the crosswalk, with their number of rows."""
+    named = rows.where(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
+    return named.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).join(crosswalk.select(key), key, "left_anti")
+
+
+def export(cells: DataFrame, features: Sequence[str], units: DataFrame | None = None, grid: axes.GridConfig = axes.GRID) -> DataFrame:
+    """month_id, priogrid_id, features with 0 for null and NaN, row and col (doubles from 1), in order.
+
+    With ``units`` (a table of pgids) the result is dense: each of them in every month that ``cells`` has,
+    and no other cell.
+    """
+    value = lambda c: F.nanvl(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(c)
+    if units is not None:
+        cells = axes.spine(cells.select("month_id").distinct(), units.select("pgid").distinct()).join(cells, list(KEYS), "left")
+    place = [(at(F.col("pgid"), grid) + 1).cast("double").alias(name) for at, name in ((axes.pgid_row, "row"), (axes.pgid_column, "col"))]
+    return cells.select("month_id", F.col("pgid").alias("priogrid_id"), *map(value, features), *place).orderBy("month_id", "priogrid_id")

@@ -75,9 +75,9 @@ def last_value_wins(rows: DataFrame, features: Sequence[str], ordinal: Column) -
     return rows.groupBy("month_id", "pgid").agg(*[F.max_by(kept(c), order(c)).alias(c) for c in features])
 
 
-def raster_blocks(pixels: DataFrame, block: int, row_offset: int = 0, column_offset: int = 0, nodata: float | None = None) -> DataFrame:
-    """(block_row, block_col, value): sums of pixels (row, col, value) in blocks; nodata and negatives as 0."""
-    value = F.when(F.col("value") < 0, 0).otherwise(F.col("value"))
+def raster_blocks(pixels: DataFrame, block: int, row_offset: int = 0, column_offset: int = 0, nodata: float | None = None, masked: bool = True) -> DataFrame:
+    """(block_row, block_col, value): sums of pixels (row, col, value) in blocks; nodata as 0, negatives too if masked."""
+    value = F.when(F.col("value") < 0, 0).otherwise(F.col("value")) if masked else F.col("value")
     if nodata is not None:
         value = F.when(F.col("value") == nodata, 0).otherwise(value)
     at = lambda c, o: F.floor((F.col(c) + o) / block).cast("int")

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Event types that the second event source knows.
+from ..functions import axes
+
+# Event types of the second event source, and grid rows (from the south) of continents.
 EVENT_TYPES = ("Battles", "Explosions/Remote violence", "Violence against civilians", "Protests", "Riots", "Strategic developments")
+CONTINENT_ROWS = {"Africa": (110, 255), "Europe": (250, 325), "Asia": (180, 340), "Americas": (70, 350)}
 
 
 def violations(rows: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -120,3 +125,151 @@ def changed_keys(old: DataFrame, new: DataFrame, key: str, digest: str) -> DataF
     joined = old.select(F.col(key).alias("_a"), F.col(digest).alias("_x")).join(new.select(F.col(key).alias("_b"), F.col(digest).alias("_y")), F.col("_a") == F.col("_b"), "full_outer")
     status = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(~F.col("_x").eqNullSafe(F.col("_y")), "changed")
     return joined.select(F.coalesce("_a", "_b").alias(key), status.alias("status")).where(F.col("status").isNotNull())
+
+
+def typed_rules() -> dict[str, Column]:
+    """What every event of the second source should meet; absent values are no violations."""
+    rule = lambda name, holds: F.col(name).isNull() | holds(F.col(name))
+    return {
+        "fatalities_not_negative": rule("fatalities", lambda c: c.cast("double") >= 0),
+        "event_type_known": rule("event_type", lambda c: c.isin(*EVENT_TYPES)),
+        "latitude_valid": rule("latitude", lambda c: c.between(-90, 90)),
+        "longitude_valid": rule("longitude", lambda c: c.between(-180, 180)),
+    }
+
+
+def assert_unique(rows: DataFrame, keys: Sequence[str]) -> None:
+    """Raise ValueError where keys repeat."""
+    double = rows.groupBy(*keys).count().where("count > 1").limit(5).collect()
+    if double:
+        raise ValueError(f"repeated {list(keys)}: {[tuple(r)[:-1] for r in double]}")
+
+
+def assert_same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
+    """Raise ValueError unless both have the same keys."""
+    for a, b, side in ((left, right, "left"), (right, left, "right")):
+        only = a.join(b, list(keys), "left_anti").select(*keys).limit(5).collect()
+        if only:
+            raise ValueError(f"only in the {side}: {[tuple(r) for r in only]}")
+
+
+def largest_revisions(old: DataFrame, new: DataFrame, key: str, value: str, k: int = 20) -> DataFrame:
+    """The k revised keys with the largest absolute change, in that order (ties by key)."""
+    revised = snapshot_diff(old, new, key, value).where("status = 'revised'").select(key, "delta")
+    return revised.orderBy(F.abs("delta").desc(), key).limit(k)
+
+
+def parity(ours: DataFrame, theirs: DataFrame, key: str, values: Sequence[str], tolerance: float = 0.01) -> DataFrame:
+    """Their rows with ``error`` (the largest absolute difference; null where a value is absent) and status:
+    matched within the tolerance, differs, or missing where we have no such key."""
+    mine = ours.select(F.col(key).alias("_key"), F.lit(True).alias("_known"), *[F.col(v).alias(f"_{v}") for v in values])
+    gaps = [F.abs(F.col(v) - F.col(f"_{v}")) for v in values]
+    absent = reduce(lambda a, b: a | b, [g.isNull() for g in gaps])
+    error = F.when(~absent, F.greatest(*gaps) if len(gaps) > 1 else gaps[0])
+    status = F.when(F.col("_known").isNull(), "missing").when(F.coalesce(F.col("error") <= tolerance, F.lit(False)), "matched").otherwise("differs")
+    joined = theirs.join(mine, F.col(key) == F.col("_key"), "left").withColumn("error", error).withColumn("status", status)
+    return joined.drop("_key", "_known", *[f"_{v}" for v in values])
+
+
+def checks(one: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """check and ok for each rule over a table of one row; null is not ok."""
+    rows = [F.struct(F.lit(name).alias("check"), F.coalesce(rule, F.lit(False)).alias("ok")) for name, rule in rules.items()]
+    return one.select(F.inline(F.array(*rows)))
+
+
+def _marked(table: DataFrame, land: DataFrame | None) -> DataFrame:
+    """Add ``_land``; without a table of land cells all are."""
+    if land is None:
+        return table.withColumn("_land", F.lit(True))
+    cells = land.select("pgid").distinct().withColumn("_land", F.lit(True))
+    return table.join(cells, "pgid", "left").withColumn("_land", F.coalesce("_land", F.lit(False)))
+
+
+def _if(condition: Column, value: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, value)), F.lit(0))
+
+
+def event_grid_checks(table: DataFrame, total: str, parts: Sequence[str], land: DataFrame | None = None, annual: tuple[int, int] = (50_000, 500_000)) -> DataFrame:
+    """Eight checks of a sparse (month_id, pgid, counts) table, by months, then years, then in one row.
+
+    Under 1 % of events off land, under 100 in the 60 southernmost rows, every year with events within
+    ``annual``, no empty month between the first and the last, events in the rows of four continents.
+    """
+    row, t = axes.pgid_row(F.col("pgid")), F.col(total)
+    every = [total, *parts]
+    bad = reduce(lambda a, b: a | b, [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in every])
+    negative = reduce(lambda a, b: a | b, [F.col(c) < 0 for c in every])
+    one = F.lit(1)
+    sums = {"_total": _if(F.lit(True), t), "_bad": _if(bad, one), "_negative": _if(negative, one), "_broken": _if(sum((F.col(p) for p in parts), F.lit(0)) != t, one)}
+    sums |= {"_ocean": _if(~F.col("_land"), t), "_south": _if(row < 60, t)}
+    sums |= {f"_{name}": _if((row >= a) & (row < b), t) for name, (a, b) in CONTINENT_ROWS.items()}
+    months = _marked(table, land).groupBy("month_id").agg(*[c.alias(n) for n, c in sums.items()])
+    active = F.when(F.col("_total") > 0, F.col("month_id"))
+    spans = [F.count(active).alias("_active"), F.min(active).alias("_first"), F.max(active).alias("_last")]
+    years = months.groupBy(F.floor((F.col("month_id") - 1) / 12).alias("_year")).agg(*[F.sum(n).alias(n) for n in sums], *spans)
+    off = F.count(F.when((F.col("_total") > 0) & ~F.col("_total").between(*annual), 1)).alias("_off")
+    whole = years.agg(*[F.sum(n).alias(n) for n in sums], F.sum("_active").alias("_active"), F.min("_first").alias("_first"), F.max("_last").alias("_last"), off)
+    c = F.col
+    return checks(
+        whole,
+        {
+            "no_nan": c("_bad") == 0,
+            "no_negatives": c("_negative") == 0,
+            "type_sum_invariant": c("_broken") == 0,
+            "ocean_events_negligible": (c("_total") == 0) | (c("_ocean") * 100 < c("_total")),
+            "no_antarctic_events": c("_south") < 100,
+            "annual_count_range": c("_off") == 0,
+            "no_empty_months": F.coalesce(c("_last") - c("_first") + 1, F.lit(0)) == c("_active"),
+            "spatial_extent": sum(((c(f"_{name}") > 0).cast("int") for name in CONTINENT_ROWS), F.lit(0)) >= 4,
+        },
+    )
+
+
+def population_checks(table: DataFrame, value: str, known: Mapping[int, float], n_land: int, land: DataFrame | None = None) -> DataFrame:
+    """Six checks of a (year, pgid, value) table; those of place look at the last year.
+
+    Under 0.5 % off land, under a million in the 60 southernmost rows, totals within 15 % of the ``known``
+    ones of their years, more than 30 % of ``n_land`` cells with a positive value.
+    """
+    v, row = F.col(value), axes.pgid_row(F.col("pgid"))
+    sums = {"_total": _if(F.lit(True), v), "_bad": _if(v.isNull() | F.isnan(v.cast("double")), F.lit(1)), "_negative": _if(v < 0, F.lit(1))}
+    sums |= {"_ocean": _if(~F.col("_land"), v), "_south": _if(row < 60, v), "_populated": _if(v > 0, F.lit(1))}
+    years = _marked(table, land).groupBy("year").agg(*[c.alias(n) for n, c in sums.items()])
+    ratio = F.lit(None).cast("double")
+    for year, total in known.items():
+        ratio = F.when(F.col("year") == year, F.col("_total") / total).otherwise(ratio)
+    last = [F.max_by(n, "year").alias(n) for n in ("_total", "_ocean", "_south", "_populated")]
+    whole = years.withColumn("_ratio", ratio).agg(*last, F.sum("_bad").alias("_bad"), F.sum("_negative").alias("_negative"), F.count(F.when(~F.col("_ratio").between(0.85, 1.15), 1)).alias("_off"))
+    c = F.col
+    return checks(
+        whole,
+        {
+            "no_nan": c("_bad") == 0,
+            "no_negatives": c("_negative") == 0,
+            "ocean_pop_negligible": (c("_total") <= 0) | (c("_ocean") * 100 < c("_total") * 0.5),
+            "no_antarctic_pop": c("_south") < 1_000_000,
+            "pop_sanity_vs_known": c("_off") == 0,
+            "spatial_coverage": c("_populated") * 100 > 30.0 * n_land,
+        },
+    )
+
+
+def index_checks(table: DataFrame, value: str, low: float = -0.01, high: float = 1.01) -> DataFrame:
+    """Three checks of a (month_id, pgid, value) index: some values, all within bounds, one value a cell and year."""
+    v = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
+    years = table.groupBy("pgid", F.floor((F.col("month_id") - 1) / 12).alias("_year")).agg(F.min(v).alias("_a"), F.max(v).alias("_b"))
+    whole = years.agg(F.count("_a").alias("_n"), F.min("_a").alias("_low"), F.max("_b").alias("_high"), F.count(F.when(F.col("_a") != F.col("_b"), 1)).alias("_moving"))
+    c = F.col
+    return checks(whole, {"has_values": c("_n") > 0, "in_range": (c("_low") >= low) & (c("_high") <= high), "constant_in_year": c("_moving") == 0})
+
+
+def composite_digest(files: DataFrame, group: str, name: str, digest: str) -> DataFrame:
+    """group and ``composite``: SHA-256 of its files' digests in the order of their names, joined by ``|``.
+    A group has as many entries as a dataset has files."""
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(name).alias("_name"), F.col(digest).alias("_digest"))))
+    return files.groupBy(group).agg(F.sha2(F.array_join(F.transform(ordered, lambda x: x["_digest"]), "|"), 256).alias("composite"))
+
+
+def schema_fingerprint(table: DataFrame) -> str:
+    """First 16 hex digits of the SHA-256 of the sorted column names, joined by commas."""
+    return hashlib.sha256(",".join(sorted(table.columns)).encode()).hexdigest()[:16]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -25,6 +26,29 @@ def region_cells(regions: DataFrame, names: Sequence[str], column: str = "region
     return regions.where(F.col(column).isin(wanted)).select("pgid").distinct()
 
 
+def resolve_region(name: str, countries: DataFrame, specials: Mapping[str, DataFrame] | None = None, macros: Mapping[str, Sequence[str]] | None = None, column: str = "country") -> DataFrame:
+    """Distinct pgids of a region: a special set (a table of pgids), else a macro region (a list of country
+    names as written; absent ones warn), else a country by exact name, else without case, else an error.
+
+    ``countries`` has pgid and the country's name.
+    """
+    specials, macros = specials or {}, macros or {}
+    if name in specials:
+        return specials[name].select("pgid").distinct()
+    if name in macros:
+        members = list(macros[name])
+        inside = countries.where(F.col(column).isin(members))
+        found = {r[0] for r in inside.select(column).distinct().collect()}  # at most the members
+        missing = [m for m in members if m not in found]
+        if missing:
+            warnings.warn(f"region {name!r}: no cells of {missing}", stacklevel=2)
+        return inside.select("pgid").distinct()
+    try:
+        return region_cells(countries, [name], column)
+    except ValueError:
+        raise ValueError(f"unknown region {name!r}; there are {sorted([*specials, *macros])} and countries") from None
+
+
 def nonzero(features: Sequence[str]) -> Column:
     """Whether any feature is not 0; NaN counts, null does not."""
     return reduce(lambda a, b: a | b, [F.coalesce(F.col(c) != 0, F.lit(False)) for c in features])

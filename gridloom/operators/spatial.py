@@ -88,8 +88,26 @@ def area_majority_join(polygons: DataFrame, grid: axes.GridConfig = axes.GRID) -
     return cut.where(F.round("area", 9) > 0).withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select("pgid", "code", "area")
 
 
-def nearest_polygon(points: DataFrame, polygons: DataFrame) -> DataFrame:
-    """Points (pgid, lat, lon) with the code of the nearest polygon centre; polygons are few and broadcast."""
+def nearest_polygon(points: DataFrame, polygons: DataFrame, square: float = 2.0) -> DataFrame:
+    """Points (pgid, lat, lon) with the code of the nearest polygon centre, ties to the smaller code.
+
+    A point looks at the centres in its square and the eight around it, which holds all within a square's
+    width; where the best is farther, or there is none, squares twice as wide come next.
+    """
     centres = with_box(polygons).select("code", ((F.col("west") + F.col("east")) / 2).alias("_x"), ((F.col("south") + F.col("north")) / 2).alias("_y"))
-    d = F.pow(F.col("lon") - F.col("_x"), 2) + F.pow(F.col("lat") - F.col("_y"), 2)
-    return points.crossJoin(F.broadcast(centres)).groupBy("pgid").agg(F.min_by("code", F.struct(d, F.col("code"))).alias("code"))
+    near = F.struct((F.pow(F.col("lon") - F.col("_x"), 2) + F.pow(F.col("lat") - F.col("_y"), 2)).alias("d"), F.col("code").alias("code"))
+    kind = dict(centres.dtypes)["code"]
+    found = points.select("pgid", "lat", "lon", F.lit(None).cast(f"struct<d:double,code:{kind}>").alias("_best"))
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    reach = 0.0
+    while reach < 360:
+        reach = max(square, 2 * reach)
+        at = lambda x, y: [F.floor((x + 180) / reach).alias("_i"), F.floor((y + 90) / reach).alias("_j")]  # noqa: B023, E731
+        open_ = F.col("_best").isNull() | (F.col("_best.d") > (reach / 2) ** 2)
+        here = found.withColumn("_step", F.explode_outer(F.when(open_, steps)))
+        i, j = at(F.col("lon"), F.col("lat"))
+        here = here.withColumns({"_i": i + F.col("_step.i"), "_j": j + F.col("_step.j")})
+        seen = here.join(centres.select("code", "_x", "_y", *at(F.col("_x"), F.col("_y"))), ["_i", "_j"], "left")
+        best = F.least(F.min("_best"), F.min(F.when(F.col("code").isNotNull(), near)))
+        found = seen.groupBy("pgid", "lat", "lon").agg(best.alias("_best"))
+    return found.groupBy("pgid").agg(F.min("_best").alias("_best")).select("pgid", F.col("_best.code").alias("code"))

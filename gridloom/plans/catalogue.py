@@ -946,6 +946,225 @@ def viewpoint_two_levels(spark: SparkSession, sf: str) -> DataFrame:
     return view.groupBy("date_month", "priogrid_gid").agg(F.round(F.sum("best"), 4).alias("best"), F.count(F.lit(1)).alias("n"))
 
 
+# ---------------------------------------------------------------- the second event source
+
+
+def typed_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with a type by their number (the seventh is unknown) and fatalities that may be negative."""
+    kinds = F.array(*map(F.lit, [*quality.EVENT_TYPES, "Other"]))
+    e = events(spark, sf).where("nth <= 7")
+    return e.withColumns({"event_type": F.element_at(kinds, F.col("nth").cast("int")), "fatalities": F.col("best") - 3, "event_date": F.col("date_end")})
+
+
+_KINDS = ", ".join(f"'{k}'" for k in (*quality.EVENT_TYPES, "Other"))
+TYPED = EV + f""", te AS (SELECT *, [{_KINDS}][nth] AS event_type, best - 3 AS fatalities, date_end AS event_date,
+  CAST(floor((latitude + 90) / 0.5::DOUBLE) * 720 + floor((longitude + 180) / 0.5::DOUBLE) + 1 AS INTEGER) AS pgid FROM ev WHERE nth <= 7)"""
+_TYPED_SUMS = ", ".join(f"count(*) FILTER (event_type = '{kind}') AS acled_{name}" for name, kind in registry.TYPES.items())
+
+
+@registered(f"""
+WITH {TYPED} SELECT date_month, event_type, count(*) AS n, CAST(sum(fatalities) AS BIGINT) AS fatalities FROM (
+  SELECT *, strftime(event_date, '%Y-%m') AS date_month FROM te WHERE event_type IN ('Battles', 'Explosions/Remote violence', 'Violence against civilians')) GROUP BY ALL
+""")
+def typed_viewpoint_violence(spark: SparkSession, sf: str) -> DataFrame:
+    view = registry.build_typed(typed_events(spark, sf), registry.TYPED_PROFILES["acled_violence_only"])
+    return view.groupBy("date_month", "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("fatalities").alias("fatalities"))
+
+
+@registered(f"WITH {TYPED} SELECT count(*) AS n_input, count(*) FILTER (nth <= 3) AS n_output, count(*) FILTER (nth > 3) AS n_filtered FROM te")
+def typed_viewpoint_accounting(spark: SparkSession, sf: str) -> DataFrame:
+    return registry.typed_accounting(typed_events(spark, sf), registry.TYPED_PROFILES["acled_violence_only"])
+
+
+@registered(f"WITH {TYPED} SELECT month_id, pgid, count(*) AS acled_count, {_TYPED_SUMS}, CAST(sum(fatalities) AS BIGINT) AS acled_fatalities FROM te WHERE month_id BETWEEN 185 AND 250 GROUP BY ALL")
+def typed_month_features(spark: SparkSession, sf: str) -> DataFrame:
+    view = registry.build_typed(typed_events(spark, sf), registry.TYPED_PROFILES["acled_all_events"])
+    placed = gridagg.place(view.drop("month_id"), 185, 250, axes.month_id(F.col("event_date")))
+    return gridagg.compile_grid(placed, registry.TYPED_FEATURES)
+
+
+@registered(f"""
+WITH {TYPED} SELECT 'fatalities_not_negative' AS rule, count(*) FILTER (fatalities < 0) AS n_violations FROM te
+UNION ALL SELECT 'event_type_known', count(*) FILTER (event_type = 'Other') FROM te
+UNION ALL SELECT 'latitude_valid', count(*) FILTER (NOT latitude BETWEEN -90 AND 90) FROM te
+UNION ALL SELECT 'longitude_valid', count(*) FILTER (NOT longitude BETWEEN -180 AND 180) FROM te
+""")
+def typed_event_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.violations(typed_events(spark, sf), quality.typed_rules())
+
+
+_ROW = "(pgid - 1) // 720"
+
+
+@registered(f"""
+WITH {TYPED}, g AS (SELECT month_id, pgid, count(*) AS total, {_TYPED_SUMS} FROM te GROUP BY ALL),
+m AS (SELECT g.*, {_ROW} AS r, pgid % 3 <> 0 AS land FROM g), y AS (SELECT (month_id - 1) // 12 AS y, sum(total) AS t FROM m GROUP BY 1)
+SELECT 'no_nan' AS "check", true AS ok
+UNION ALL SELECT 'no_negatives', true
+UNION ALL SELECT 'type_sum_invariant', count(*) FILTER ({" + ".join(f"acled_{n}" for n in registry.TYPES)} <> total) = 0 FROM m
+UNION ALL SELECT 'ocean_events_negligible', coalesce(sum(total) FILTER (NOT land), 0) * 100 < sum(total) FROM m
+UNION ALL SELECT 'no_antarctic_events', coalesce(sum(total) FILTER (r < 60), 0) < 100 FROM m
+UNION ALL SELECT 'annual_count_range', count(*) FILTER (NOT t BETWEEN 100 AND 1000000) = 0 FROM y
+UNION ALL SELECT 'no_empty_months', max(month_id) - min(month_id) + 1 = count(DISTINCT month_id) FROM m
+UNION ALL SELECT 'spatial_extent', (count(*) FILTER (r >= 110 AND r < 255) > 0) AND (count(*) FILTER (r >= 250 AND r < 325) > 0) AND (count(*) FILTER (r >= 180 AND r < 340) > 0) AND (count(*) FILTER (r >= 70 AND r < 350) > 0) FROM m
+""")
+def typed_grid_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells whose number three does not divide stand for land."""
+    view = registry.build_typed(typed_events(spark, sf), registry.TYPED_PROFILES["acled_all_events"])
+    grid = gridagg.compile_grid(gridagg.place(view.drop("month_id"), 1, 1200, axes.month_id(F.col("event_date"))), registry.TYPED_FEATURES)
+    land = axes.cells(spark).where("pgid % 3 <> 0").select("pgid")
+    return quality.event_grid_checks(grid, "acled_count", [f"acled_{n}" for n in registry.TYPES], land, (100, 1_000_000))
+
+
+# ---------------------------------------------------------------- checks of covariates, exports, revisions
+
+POPULATION = """
+pop AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_suppkey * 997 % 259200 + 1 AS INTEGER) AS pgid, CAST(sum(l_quantity) AS DOUBLE) AS value FROM lineitem GROUP BY ALL)"""
+
+
+def _population(spark: SparkSession, sf: str) -> DataFrame:
+    cell = (F.col("l_suppkey") * 997 % 259200 + 1).cast("int").alias("pgid")
+    return table(spark, sf, "lineitem").groupBy(F.year("l_shipdate").alias("year"), cell).agg(F.sum("l_quantity").cast("double").alias("value"))
+
+
+@registered(f"""
+WITH {POPULATION}, y AS (SELECT year, sum(value) AS t FROM pop GROUP BY 1), l AS (SELECT * FROM pop WHERE year = (SELECT max(year) FROM pop))
+SELECT 'no_nan' AS "check", count(*) FILTER (value IS NULL) = 0 AS ok FROM pop
+UNION ALL SELECT 'no_negatives', count(*) FILTER (value < 0) = 0 FROM pop
+UNION ALL SELECT 'ocean_pop_negligible', coalesce(sum(value) FILTER (pgid % 5 = 0), 0) * 100 < sum(value) * 0.5::DOUBLE FROM l
+UNION ALL SELECT 'no_antarctic_pop', coalesce(sum(value) FILTER ({_ROW} < 60), 0) < 1000000 FROM l
+UNION ALL SELECT 'pop_sanity_vs_known', count(*) FILTER (NOT t / 25000.0::DOUBLE BETWEEN 0.85::DOUBLE AND 1.15::DOUBLE) = 0 FROM y WHERE year IN (1994, 1996)
+UNION ALL SELECT 'spatial_coverage', count(*) FILTER (value > 0) * 100 > 30 * 20 FROM l
+""")
+def population_grid_checks(spark: SparkSession, sf: str) -> DataFrame:
+    land = axes.cells(spark).where("pgid % 5 <> 0").select("pgid")
+    return quality.population_checks(_population(spark, sf), "value", {1994: 25000.0, 1996: 25000.0}, 20, land)
+
+
+@registered(f"""
+WITH {YEARLY}, i AS (SELECT key, year, value / (SELECT max(value) FROM yearly) * 1.02::DOUBLE AS v FROM yearly)
+SELECT 'has_values' AS "check", count(v) > 0 AS ok FROM i UNION ALL SELECT 'in_range', min(v) >= -0.01::DOUBLE AND max(v) <= 1.01::DOUBLE FROM i UNION ALL SELECT 'constant_in_year', true
+""")
+def index_grid_checks(spark: SparkSession, sf: str) -> DataFrame:
+    rows = yearly(spark, sf)
+    top = rows.agg(F.max("value").alias("top"))
+    index = rows.crossJoin(top).select(F.col("key").alias("pgid"), (F.col("value") / F.col("top") * 1.02).alias("v"), F.explode(F.sequence((F.col("year") - 1980) * 12 + 1, (F.col("year") - 1980) * 12 + 12)).alias("month_id"))
+    return quality.index_checks(index, "v")
+
+
+@registered(f"""
+{_won_sql("CASE _source_type WHEN 'annual' THEN 1 ELSE 0 END", "date_prec = 5")}
+SELECT (SELECT count(*) FROM spread) AS n_store, (SELECT count(*) FROM spread) - (SELECT count(*) FROM kept) AS n_stale,
+  (SELECT count(*) FROM kept) - (SELECT count(*) FROM x) AS n_superseded, (SELECT count(*) FROM x) AS n_survivors,
+  (SELECT CAST(sum(best) AS DOUBLE) FROM x) AS amount, (SELECT round(sum(CAST(best AS DOUBLE) / n), 4) FROM m) AS amount_by_month
+""")
+def viewpoint_accounting(spark: SparkSession, sf: str) -> DataFrame:
+    out = registry.viewpoint_accounting(spans(spark, sf), registry.PROFILES["default"], TIES)
+    return out.withColumn("amount_by_month", F.round("amount_by_month", 4))
+
+
+@registered(f"""
+WITH {EV}, {CELL} SELECT month_id, pgid + 1 AS priogrid_id, CASE WHEN best % 4 = 0 THEN 0.0::DOUBLE ELSE CAST(best AS DOUBLE) END AS best, CAST(n AS DOUBLE) AS n,
+  CAST(pgid // 720 + 1 AS DOUBLE) AS "row", CAST(pgid % 720 + 1 AS DOUBLE) AS col FROM cells
+""")
+def consumer_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers count from 0, cells from 1."""
+    rows = cell_months(spark, sf).withColumns({"best": F.when(F.col("best") % 4 != 0, F.col("best")), "pgid": F.col("pgid") + 1})
+    return assemble.export(rows, ["best", "n"])
+
+
+@registered(f"""
+WITH {EV}, {CELL}, s AS (SELECT m.month_id, s_suppkey AS pgid FROM (SELECT DISTINCT month_id FROM cells WHERE month_id < 200) m, supplier WHERE s_suppkey % 2 = 0)
+SELECT s.month_id, s.pgid + 1 AS priogrid_id, coalesce(CAST(best AS DOUBLE), 0) AS best, CAST(s.pgid // 720 + 1 AS DOUBLE) AS "row", CAST(s.pgid % 720 + 1 AS DOUBLE) AS col
+FROM s LEFT JOIN cells ON s.month_id = cells.month_id AND s.pgid = cells.pgid
+""")
+def consumer_export_dense(spark: SparkSession, sf: str) -> DataFrame:
+    units = table(spark, sf, "supplier").where("s_suppkey % 2 = 0").select((F.col("s_suppkey") + 1).alias("pgid"))
+    return assemble.export(cell_months(spark, sf).where("month_id < 200").withColumn("pgid", F.col("pgid") + 1), ["best"], units)
+
+
+@registered("SELECT DISTINCT s_suppkey AS pgid FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name IN (SELECT n_name FROM nation ORDER BY n_name LIMIT 3)")
+def macro_region_cells(spark: SparkSession, sf: str) -> DataFrame:
+    names = [r[0] for r in table(spark, sf, "nation").orderBy("n_name").limit(3).select("n_name").collect()]
+    countries = cell_regions(spark, sf).select("pgid", F.col("nation").alias("country"))
+    return query.resolve_region("north", countries, {"grid": axes.cells(spark)}, {"north": names})
+
+
+@registered("""
+WITH t AS (SELECT s_suppkey, CAST(s_suppkey * 997 % 300000 + 1 AS INTEGER) AS pgid FROM supplier), r AS (
+  SELECT *, (pgid - 1) // 720 * 0.5::DOUBLE - 89.75::DOUBLE + s_suppkey % 3 * 0.008::DOUBLE AS lat, (pgid - 1) % 720 * 0.5::DOUBLE - 179.75::DOUBLE AS lon FROM t)
+SELECT s_suppkey, pgid, CASE WHEN pgid <= 259200 THEN round(s_suppkey % 3 * 0.008::DOUBLE, 6) END AS error,
+  CASE WHEN pgid > 259200 THEN 'missing' WHEN s_suppkey % 3 = 2 THEN 'differs' ELSE 'matched' END AS status FROM r
+""")
+def grid_parity(spark: SparkSession, sf: str) -> DataFrame:
+    """Centres of cells against a table of theirs, some moved and some off the grid."""
+    s = table(spark, sf, "supplier").select("s_suppkey", (F.col("s_suppkey") * 997 % 300000 + 1).cast("int").alias("pgid"))
+    theirs = s.withColumns({"lat": axes.pgid_row(F.col("pgid")) * 0.5 - 89.75 + F.col("s_suppkey") % 3 * 0.008, "lon": axes.pgid_column(F.col("pgid")) * 0.5 - 179.75})
+    out = quality.parity(axes.cells(spark), theirs, "pgid", ["lat", "lon"])
+    return out.select("s_suppkey", "pgid", F.round("error", 6).alias("error"), "status")
+
+
+_SIDE = "SELECT o_custkey AS k, CAST(sum(o_orderkey) AS BIGINT) AS v FROM orders WHERE o_orderkey % {} <> 0 GROUP BY 1"
+
+
+@registered(f"WITH a AS ({_SIDE.format(3)}), b AS ({_SIDE.format(4)}) SELECT k, b.v - a.v AS delta FROM a JOIN b USING (k) WHERE a.v <> b.v ORDER BY abs(b.v - a.v) DESC, k LIMIT 20")
+def largest_revisions(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders")
+    side = lambda n: o.where(F.col("o_orderkey") % n != 0).groupBy(F.col("o_custkey").alias("k")).agg(F.sum("o_orderkey").alias("v"))
+    return quality.largest_revisions(side(3), side(4), "k", "v")
+
+
+@registered("""
+SELECT CAST(floor((p_partkey // 60) / 10.0) AS INTEGER) AS block_row, CAST(floor((p_partkey % 60) / 10.0) AS INTEGER) AS block_col, CAST(sum(p_size - 10) AS DOUBLE) AS value FROM part GROUP BY ALL
+""")
+def raster_block_sum_unmasked(spark: SparkSession, sf: str) -> DataFrame:
+    pixels = table(spark, sf, "part").select(F.expr("p_partkey div 60").alias("row"), (F.col("p_partkey") % 60).alias("col"), (F.col("p_size") - 10).alias("value"))
+    return gridagg.raster_blocks(pixels, 10, masked=False)
+
+
+@registered("""
+WITH a AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 3 = 0), b AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 4 = 0)
+SELECT count(*) AS n_first, count(*) FILTER (b.o_custkey IS NULL) AS n_lost FROM a LEFT JOIN b USING (o_custkey)
+""")
+def indicator_row_loss(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders")
+    return assemble.row_loss([o.where("o_orderkey % 3 = 0"), o.where("o_orderkey % 4 = 0")], ["o_custkey"])
+
+
+@registered("SELECT c_nationkey AS k, count(*) AS n_rows FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 2 = 0) GROUP BY 1")
+def unmatched_keys(spark: SparkSession, sf: str) -> DataFrame:
+    crosswalk = table(spark, sf, "supplier").where("s_suppkey % 2 = 0").select(F.col("s_nationkey").alias("k"))
+    return assemble.unmatched(table(spark, sf, "customer").select(F.col("c_nationkey").alias("k")), crosswalk, "k")
+
+
+@registered("SELECT s_nationkey, sha256(string_agg(sha256(CAST(s_suppkey AS VARCHAR)), '|' ORDER BY s_suppkey)) AS composite FROM supplier GROUP BY 1")
+def composite_digests(spark: SparkSession, sf: str) -> DataFrame:
+    files = table(spark, sf, "supplier").withColumn("digest", F.sha2(F.col("s_suppkey").cast("string"), 256))
+    return quality.composite_digest(files, "s_nationkey", "s_suppkey", "digest")
+
+
+@registered("SELECT substr(sha256(string_agg(column_name, ',' ORDER BY column_name)), 1, 16) AS fingerprint FROM (DESCRIBE supplier)")
+def schema_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.createDataFrame([(quality.schema_fingerprint(table(spark, sf, "supplier")),)], "fingerprint string")
+
+
+@registered(f"""
+WITH {BOXES}, p AS (SELECT s_suppkey AS pgid, CAST(s_suppkey * 37 % 160 - 80 AS DOUBLE) AS lat, CAST(s_suppkey * 53 % 340 - 170 AS DOUBLE) AS lon FROM supplier),
+d AS (SELECT pgid, code, round(pow(lon - (west + east) / 2, 2) + pow(lat - (south + north) / 2, 2), 9) AS d FROM p, k), m AS (SELECT *, min(d) OVER (PARTITION BY pgid) AS least FROM d)
+SELECT pgid, round(least, 4) AS d FROM m WHERE d = least GROUP BY ALL
+""")
+def nearest_polygon(spark: SparkSession, sf: str) -> DataFrame:
+    """Squared distance of the nearest polygon's centre."""
+    at = lambda f, m, o: (F.col("s_suppkey") * f % m - o).cast("double")
+    points = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("pgid"), at(37, 160, 80).alias("lat"), at(53, 340, 170).alias("lon"))
+    boxes = _boxes(spark, sf)
+    west, south = F.col("ring")[0]["x"], F.col("ring")[0]["y"]
+    centre = boxes.select("code", (west + 1.15).alias("x"), (south + 0.8).alias("y"))
+    found = spatial.nearest_polygon(points, boxes).join(points, "pgid").join(centre, "code")
+    d = F.pow(F.col("lon") - F.col("x"), 2) + F.pow(F.col("lat") - F.col("y"), 2)
+    return found.select("pgid", F.round(d, 4).alias("d"))
+
+
 def feature_columns() -> T.StructType:
     """Schema of :func:`grid_month_features`, with each feature's aggregation type as metadata."""
     fields = [T.StructField("month_id", T.IntegerType()), T.StructField("pgid", T.IntegerType())]

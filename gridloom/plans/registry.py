@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import expand, resolve
 from ..operators.gridagg import FeatureSpec
+from ..operators.quality import EVENT_TYPES
 
 
 class Registry[T]:
@@ -58,7 +59,18 @@ PROFILES.register(
     Viewpoint("dot9_wins", "ceil_split", "passthrough", {"annual": "date_end_only"}, True, 1, 3, (4, 6)),
 )
 
-SOURCES: Registry[Callable[..., DataFrame]] = Registry("source")
+
+@dataclass(frozen=True)
+class TypedViewpoint:
+    """Which event types of the second source stay: all where there are none named."""
+
+    event_types: tuple[str, ...] | None = None
+
+
+# Profiles of the second source.
+TYPED_PROFILES: Registry[TypedViewpoint] = Registry("typed profile")
+TYPED_PROFILES.register("acled_all_events", TypedViewpoint())
+TYPED_PROFILES.register("acled_violence_only", TypedViewpoint(("Battles", "Explosions/Remote violence", "Violence against civilians")))
 
 # Violence types 1, 2, 3 and the event types of the second source, with their features.
 VIOLENCE = (("sb", 1), ("ns", 2), ("os", 3))
@@ -67,6 +79,12 @@ CONFLICT_FEATURES = tuple(
     for name, code in VIOLENCE
     for what, aggregation in (("count", "count"), ("best", "sum_field"))
 )
+TYPES = dict(zip(("battles", "explosions", "vac", "protests", "riots", "strategic"), EVENT_TYPES, strict=True))
+TYPED_FEATURES = (
+    FeatureSpec("acled_count"),
+    *(FeatureSpec(f"acled_{name}", filter={"event_type": kind}) for name, kind in TYPES.items()),
+    FeatureSpec("acled_fatalities", "sum_field", "fatalities"),
+)
 
 
 def build_viewpoint(store: DataFrame, view: Viewpoint, polygons: DataFrame | None = None, ties: tuple = ()) -> DataFrame:
@@ -84,3 +102,31 @@ def build_viewpoint(store: DataFrame, view: Viewpoint, polygons: DataFrame | Non
         rows = expand.distribute(rows, weights, polygons)
     distributed = F.col("_spatial_distributed") if weights is not None else None
     return rows.where(resolve.passes(view.min_pgid, view.max_violence, view.exclude_precision, distributed))
+
+
+def build_typed(store: DataFrame, view: TypedViewpoint) -> DataFrame:
+    """The second source's events of the wanted types (null is none), with ``date_month`` (YYYY-MM)."""
+    return store.where(_wanted(view)).withColumn("date_month", F.substring(F.col("event_date").cast("string"), 1, 7))
+
+
+def _wanted(view: TypedViewpoint):
+    return F.lit(True) if view.event_types is None else F.coalesce(F.col("event_type").isin(*view.event_types), F.lit(False))
+
+
+def typed_accounting(store: DataFrame, view: TypedViewpoint) -> DataFrame:
+    """One row: n_input = n_output + n_filtered, the last counted on their own."""
+    kept = _wanted(view)
+    return store.agg(F.count(F.lit(1)).alias("n_input"), F.count(F.when(kept, 1)).alias("n_output"), F.count(F.when(~kept, 1)).alias("n_filtered"))
+
+
+def viewpoint_accounting(store: DataFrame, view: Viewpoint, ties: tuple = ()) -> DataFrame:
+    """One row: n_store = n_stale + n_superseded + n_survivors, and the survivors' amount before and after
+    the split into months (equal under ``even_split``)."""
+    kept = resolve.drop_stale(store) if view.stale_filter else store
+    won = resolve.survivors(kept, view.survivorship, ties)
+    months = expand.split_months(won, view.temporal, by_source=view.by_source)
+    n = F.count(F.lit(1))
+    amount = lambda rows, name: rows.agg(F.sum("best").cast("double").alias(name))
+    one = store.agg(n.alias("n_store")).crossJoin(kept.agg(n.alias("_kept"))).crossJoin(won.agg(n.alias("n_survivors"), F.sum("best").cast("double").alias("amount")))
+    one = one.crossJoin(amount(months, "amount_by_month"))  # rows of one each
+    return one.select("n_store", (F.col("n_store") - F.col("_kept")).alias("n_stale"), (F.col("_kept") - F.col("n_survivors")).alias("n_superseded"), "n_survivors", "amount", "amount_by_month")

@@ -364,3 +364,57 @@ def test_nothing_outside_imports_the_training_data_part():
     for path in root.rglob("*.py"):
         if "llm" not in path.relative_to(root).parts:
             assert not re.search(r"^\s*(from|import)\s.*\bllm\b", path.read_text(), re.M), path
+
+
+def test_region_order(spark):
+    countries = spark.createDataFrame([(1, "Mali"), (2, "MALI"), (3, "Chad"), (4, "land")], "pgid int, country string")
+    specials = {"land": spark.createDataFrame([(9,)], "pgid int")}
+    find = lambda name, **more: rows(query.resolve_region(name, countries, specials, **more), "pgid")
+    assert find("land") == [(9,)]  # a special set comes before a country of its name
+    assert find("Mali") == [(1,)] and find("mali") == [(1,), (2,)] and find("chad") == [(3,)]
+    with pytest.warns(UserWarning, match="Atlantis"):
+        assert find("sahel", macros={"sahel": ["Chad", "Atlantis", "mali"]}) == [(3,)]
+    with pytest.raises(ValueError, match="land"):
+        find("nowhere")
+
+
+def test_keys_that_must_hold(spark):
+    a, b = spark.range(3), spark.range(1, 4)
+    with pytest.raises(ValueError, match="left"):
+        quality.assert_same_keys(a, b, ["id"])
+    quality.assert_same_keys(a, spark.range(3), ["id"])
+    with pytest.raises(ValueError, match="repeated"):
+        quality.assert_unique(a.union(b), ["id"])
+    quality.assert_unique(a, ["id"])
+
+
+def test_export_fills_and_counts_from_one(spark):
+    cells = spark.createDataFrame([(2, 721, float("nan")), (1, 5, 2.0), (1, 720, None)], "month_id int, pgid int, a double")
+    assert rows(assemble.export(cells, ["a"])) == [(1, 5, 2.0, 1.0, 5.0), (1, 720, 0.0, 1.0, 720.0), (2, 721, 0.0, 2.0, 1.0)]
+    units = spark.createDataFrame([(5,), (6,)], "pgid int")
+    assert [r[:3] for r in rows(assemble.export(cells, ["a"], units))] == [(1, 5, 2.0), (1, 6, 0.0), (2, 5, 0.0), (2, 6, 0.0)]
+
+
+def test_checks_notice_faults(spark):
+    ok = lambda df: {r["check"]: r["ok"] for r in df.collect()}
+    at = lambda row: row * 720 + 1
+    good = [(1, at(120), 50.0, 50.0), (2, at(260), 50.0, 50.0), (3, at(200), 50.0, 50.0)]
+    schema = "month_id int, pgid int, n double, a double"
+    found = ok(quality.event_grid_checks(spark.createDataFrame(good, schema), "n", ["a"], annual=(100, 200)))
+    assert all(found.values()), found
+    bad = [(1, at(10), 500.0, 50.0), (3, at(200), -1.0, -1.0), (4, at(300), None, 1.0), (6, at(10), 300.0, 50.0)]
+    found = ok(quality.event_grid_checks(spark.createDataFrame(bad, schema), "n", ["a"], spark.createDataFrame([(at(200),)], "pgid int"), (100, 200)))
+    assert not any(found.values()), found
+    none = ok(quality.event_grid_checks(spark.createDataFrame([], schema), "n", ["a"]))
+    assert set(none) == set(found)
+    index = spark.createDataFrame([(1, 1, 0.5), (2, 1, 0.6), (1, 2, float("nan"))], "month_id int, pgid int, v double")
+    assert ok(quality.index_checks(index, "v")) == {"has_values": True, "in_range": True, "constant_in_year": False}
+    assert not ok(quality.index_checks(index.withColumn("v", F.col("v") + 1), "v"))["in_range"]
+
+
+def test_nearest_polygon_far_away(spark):
+    ring = lambda x, y: [{"x": x, "y": y}, {"x": x + 1, "y": y}, {"x": x + 1, "y": y + 1}]
+    shapes = spark.createDataFrame([(1, ring(-170.0, -80.0)), (2, ring(170.0, 80.0)), (3, ring(2.0, 2.0))], "code int, ring array<struct<x:double,y:double>>")
+    points = spark.createDataFrame([(1, -89.0, -179.0), (2, 60.0, 179.0), (3, 4.1, 0.5), (4, -40.0, -40.0)], "pgid int, lat double, lon double")
+    assert rows(spatial.nearest_polygon(points, shapes), "pgid") == [(1, 1), (2, 2), (3, 3), (4, 3)]
+
