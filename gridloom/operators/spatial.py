@@ -2,7 +2,7 @@
 
 A polygon's bounding box is turned into the cells it may meet, so both joins are equi-joins on the cell
 and only the cells near a polygon are looked at in detail.  Rings are arrays of (x, y); a polygon is
-its outer ring.
+its outer ``ring`` less those in ``holes`` (an array of rings), where it has that column.
 """
 
 from __future__ import annotations
@@ -30,18 +30,29 @@ def with_box(polygons: DataFrame, ring: str = "ring") -> DataFrame:
     return polygons.withColumns({"west": F.array_min(x), "south": F.array_min(y), "east": F.array_max(x), "north": F.array_max(y)})
 
 
+def _with_holes(polygons: DataFrame) -> DataFrame:
+    none = F.array().cast("array<array<struct<x:double,y:double>>>")
+    return polygons.withColumn("holes", F.coalesce("holes", none) if "holes" in polygons.columns else none)
+
+
+def _points(ring) -> np.ndarray:
+    return np.array([(q["x"], q["y"]) for q in ring], float).reshape(-1, 2)
+
+
+def _crossings(p: np.ndarray, px: float, py: float) -> int:
+    """Edges of a ring east of a point, on its parallel."""
+    a, b = p, np.roll(p, -1, axis=0)
+    crosses = (a[:, 1] > py) != (b[:, 1] > py)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        at = a[:, 0] + (py - a[:, 1]) * (b[:, 0] - a[:, 0]) / (b[:, 1] - a[:, 1])
+    return int((crosses & (px < at)).sum())
+
+
 @F.pandas_udf(T.BooleanType())
-def _inside(x: pd.Series, y: pd.Series, ring: pd.Series) -> pd.Series:
-    """Even-odd rule."""
-    out = []
-    for px, py, points in zip(x, y, ring, strict=True):
-        p = np.array([(q["x"], q["y"]) for q in points])
-        a, b = p, np.roll(p, -1, axis=0)
-        crosses = (a[:, 1] > py) != (b[:, 1] > py)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            at = a[:, 0] + (py - a[:, 1]) * (b[:, 0] - a[:, 0]) / (b[:, 1] - a[:, 1])
-        out.append(bool((crosses & (px < at)).sum() % 2))
-    return pd.Series(out)
+def _inside(x: pd.Series, y: pd.Series, ring: pd.Series, holes: pd.Series) -> pd.Series:
+    """Even-odd rule over all rings."""
+    rows = zip(x, y, ring, holes, strict=True)
+    return pd.Series([sum(_crossings(_points(r), px, py) for r in (outer, *inner)) % 2 == 1 for px, py, outer, inner in rows], dtype=bool)
 
 
 def _clip(points: np.ndarray, axis: int, bound: float, keep_below: bool) -> np.ndarray:
@@ -59,31 +70,36 @@ def _clip(points: np.ndarray, axis: int, bound: float, keep_below: bool) -> np.n
     return np.array(out)
 
 
+def _area_in(p: np.ndarray, w: float, s: float, e: float, n: float) -> float:
+    """Area of a ring's part in a box."""
+    for axis, bound, below in ((0, w, False), (0, e, True), (1, s, False), (1, n, True)):
+        p = _clip(p, axis, bound, below)
+    q = np.roll(p, -1, axis=0) if len(p) else p
+    return abs(float((p[:, 0] * q[:, 1] - q[:, 0] * p[:, 1]).sum())) / 2 if len(p) > 2 else 0.0
+
+
 @F.pandas_udf(T.DoubleType())
-def _overlap(ring: pd.Series, west: pd.Series, south: pd.Series, east: pd.Series, north: pd.Series) -> pd.Series:
+def _overlap(ring: pd.Series, holes: pd.Series, west: pd.Series, south: pd.Series, east: pd.Series, north: pd.Series) -> pd.Series:
+    """Area of the outer ring in the box, less that of the holes."""
     out = []
-    for points, w, s, e, n in zip(ring, west, south, east, north, strict=True):
-        p = np.array([(q["x"], q["y"]) for q in points], float)
-        for axis, bound, below in ((0, w, False), (0, e, True), (1, s, False), (1, n, True)):
-            p = _clip(p, axis, bound, below)
-        q = np.roll(p, -1, axis=0) if len(p) else p
-        out.append(abs(float((p[:, 0] * q[:, 1] - q[:, 0] * p[:, 1]).sum())) / 2 if len(p) > 2 else 0.0)
-    return pd.Series(out)
+    for outer, inner, *box in zip(ring, holes, west, south, east, north, strict=True):
+        out.append(_area_in(_points(outer), *box) - sum(_area_in(_points(h), *box) for h in inner))
+    return pd.Series(out, dtype=float)
 
 
 def centroid_join(polygons: DataFrame, grid: axes.GridConfig = axes.GRID) -> DataFrame:
     """pgid and the smallest code of the polygons (code, ring) that hold the cell's centre."""
-    near = box_cells(with_box(polygons), grid)
+    near = box_cells(with_box(_with_holes(polygons)), grid)
     x, y = axes.pgid_to_lon(F.col("pgid"), grid), axes.pgid_to_lat(F.col("pgid"), grid)
-    return near.where(_inside(x, y, F.col("ring"))).groupBy("pgid").agg(F.min("code").alias("code"))
+    return near.where(_inside(x, y, F.col("ring"), F.col("holes"))).groupBy("pgid").agg(F.min("code").alias("code"))
 
 
 def area_majority_join(polygons: DataFrame, grid: axes.GridConfig = axes.GRID) -> DataFrame:
     """pgid, code and area (in square degrees) of the polygon with the largest overlap, ties to the
     smaller code."""
-    near = box_cells(with_box(polygons), grid)
+    near = box_cells(with_box(_with_holes(polygons)), grid)
     box = axes.bounding_box(F.col("pgid"), grid)
-    cut = near.withColumn("_box", box).withColumn("area", _overlap("ring", "_box.west", "_box.south", "_box.east", "_box.north"))
+    cut = near.withColumn("_box", box).withColumn("area", _overlap("ring", "holes", "_box.west", "_box.south", "_box.east", "_box.north"))
     order = Window.partitionBy("pgid").orderBy(F.round("area", 9).desc(), "code")  # areas that differ by rounding tie
     return cut.where(F.round("area", 9) > 0).withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select("pgid", "code", "area")
 

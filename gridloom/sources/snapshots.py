@@ -88,7 +88,7 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFram
 
 
 def read_geojson(spark: SparkSession, path: str, properties: T.StructType) -> DataFrame:
-    """Outer rings of polygons and multipolygons as (properties..., ring of x, y)."""
+    """Polygons and multipolygons as (properties..., outer ring of x and y, holes as such rings)."""
     shape = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
     feature = T.StructType([T.StructField("properties", properties), T.StructField("geometry", shape)])
     features = spark.read.schema(T.StructType([T.StructField("features", T.ArrayType(feature))])).json(path, multiLine=True).select(F.inline("features"))
@@ -96,8 +96,9 @@ def read_geojson(spark: SparkSession, path: str, properties: T.StructType) -> Da
     many = F.from_json("geometry.coordinates", "array<array<array<array<double>>>>")
     polygons = F.when(F.col("geometry.type") == "Polygon", F.array(one)).when(F.col("geometry.type") == "MultiPolygon", many)
     outer = features.where(polygons.isNotNull()).select("properties.*", F.explode(polygons).alias("_p"))
-    ring = F.transform(F.element_at("_p", 1), lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
-    return outer.withColumn("ring", ring).drop("_p")
+    ring = lambda r: F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+    holes = F.transform(F.slice("_p", F.lit(2), F.size("_p")), ring)
+    return outer.withColumns({"ring": ring(F.element_at("_p", 1)), "holes": holes}).drop("_p")
 
 
 def write_cube(table: DataFrame, path: str) -> None:

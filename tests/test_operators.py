@@ -418,3 +418,16 @@ def test_nearest_polygon_far_away(spark):
     points = spark.createDataFrame([(1, -89.0, -179.0), (2, 60.0, 179.0), (3, 4.1, 0.5), (4, -40.0, -40.0)], "pgid int, lat double, lon double")
     assert rows(spatial.nearest_polygon(points, shapes), "pgid") == [(1, 1), (2, 2), (3, 3), (4, 3)]
 
+
+def test_polygon_holes(spark, tmp_path):
+    square = lambda a, b: [[a, a], [b, a], [b, b], [a, b], [a, a]]
+    shapes = {"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"code": 7}, "geometry": {"type": "Polygon", "coordinates": [square(0, 2), square(0.5, 1.0)]}}]}
+    path = tmp_path / "holes.geojson"
+    path.write_text(json.dumps(shapes))
+    polygons = snapshots.read_geojson(spark, str(path), T.StructType([T.StructField("code", T.IntegerType())]))
+    hole = 181 * 720 + 361 + 1  # the cell from (0.5, 0.5)
+    inside = {r["pgid"] for r in spatial.centroid_join(polygons).collect()}
+    assert len(inside) == 15 and hole not in inside
+    areas = {r["pgid"]: round(r["area"], 6) for r in spatial.area_majority_join(polygons).collect()}
+    assert len(areas) == 15 and hole not in areas and set(areas.values()) == {0.25}
+
