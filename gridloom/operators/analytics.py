@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -60,6 +62,15 @@ def rank_changes(table: DataFrame, unit: str, value: str, months: int = 1) -> Da
     return both.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("_now") - F.col("_before"))).alias("mobility"), F.when(varies, F.corr("_before", "_now")).alias("correlation"))
 
 
+def rank_correlation(table: DataFrame, group: str, unit: str, x: str, y: str, least: int = 5) -> DataFrame:
+    """group, n and rho: correlation of the ranks by x and by y (ties by unit) of the units of a group that
+    have both, where there are at least ``least``."""
+    both = table.where(F.col(x).isNotNull() & ~F.isnan(F.col(x).cast("double")) & F.col(y).isNotNull() & ~F.isnan(F.col(y).cast("double")))
+    place = lambda c: F.row_number().over(Window.partitionBy(group).orderBy(c, unit))
+    out = both.select(group, place(x).alias("_x"), place(y).alias("_y")).groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.corr("_x", "_y").alias("rho"))
+    return out.where(F.col("n") >= least)
+
+
 def implausible(table: DataFrame, unit: str, value: str, months: int = 12, factor: float = 2.5, floor: float = 2000.0) -> DataFrame:
     """unit, last_month, value, median and flag of each unit's last month that is not 0, against the median
     of the ``months`` up to it; units with fewer than three months are left out."""
@@ -108,3 +119,28 @@ def moments(table: DataFrame, group: str, value: str) -> DataFrame:
     """n, mean, deviation, median and skewness 3 (mean - median) / deviation of each group."""
     out = table.groupBy(group).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.percentile(value, 0.5).alias("median"))
     return out.withColumn("skew", F.try_divide(3 * (F.col("mean") - F.col("median")), F.col("std")))
+
+
+def quantiles(table: DataFrame, group: str, value: str, at: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95), accuracy: int | None = None) -> DataFrame:
+    """Variance and interpolated percentiles (p5, p25, ...) of each group; with ``accuracy``, approximate
+    ones from bounded sketches, for groups of any size."""
+    share = [F.lit(float(p)) for p in at]
+    many = F.percentile(value, F.array(*share)) if accuracy is None else F.percentile_approx(value, F.array(*share), accuracy)
+    out = table.groupBy(group).agg(F.count(value).alias("n"), F.var_pop(value).alias("variance"), many.alias("_p"))
+    return out.select(group, "n", "variance", *[F.col("_p")[i].alias(f"p{100 * p:g}") for i, p in enumerate(at)])
+
+
+def log_scaled(value: Column, low: float, high: float) -> Column:
+    """log(1 + value) of a value held between two bounds; null stays null."""
+    held = F.when(value.isNotNull(), F.least(F.greatest(value.cast("double"), F.lit(float(low))), F.lit(float(high))))
+    return F.log1p(held)
+
+
+def place_label(lat: Column, lon: Column, regions: Mapping[str, tuple[float, float, float, float]] | None = None) -> Column:
+    """The first region (south, north, west, east) that holds a point, else whole degrees with N or S and E
+    or W."""
+    degrees = lambda v, positive, negative: F.concat(F.format_string("%.0f", F.rint(F.abs(v))), F.lit("\u00b0"), F.when(v >= 0, positive).otherwise(negative))
+    out = F.concat(degrees(lat, "N", "S"), F.lit(", "), degrees(lon, "E", "W"))
+    for name, (south, north, west, east) in reversed((regions or {}).items()):
+        out = F.when(lat.between(south, north) & lon.between(west, east), F.lit(name)).otherwise(out)
+    return out

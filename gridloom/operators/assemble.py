@@ -64,6 +64,14 @@ def row_loss(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return marked.agg(F.count(F.lit(1)).alias("n_first"), F.count(F.when(lost, 1)).alias("n_lost"))
 
 
+def of_level(table: DataFrame, column: str = "Level", level: str = "Subnat") -> DataFrame:
+    """Rows of one administrative level; none at all is an error when the rows are read."""
+    some = table.agg(F.count(F.when(F.col(column) == level, 1)).alias("_n"))
+    counted = table.where(F.col(column) == level).unionByName(some.where("_n = 0"), allowMissingColumns=True)
+    fault = F.raise_error(F.lit(f"no rows with {column} {level}")).cast("boolean")
+    return counted.where(F.when(F.col("_n").isNull(), True).otherwise(fault)).drop("_n")
+
+
 def unmatched(rows: DataFrame, crosswalk: DataFrame, key: str) -> DataFrame:
     """Keys (neither null nor empty) without an entry in the crosswalk, with their number of rows."""
     named = rows.where(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))

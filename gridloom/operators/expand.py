@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import interp
+
 AMOUNTS = ("best", "low", "high")
 
 
@@ -132,6 +134,32 @@ def distribute(events: DataFrame, weights: DataFrame, codes: DataFrame, amounts:
     )
 
 
+def last_of_year(values: DataFrame, key: str, value: str, order: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """(key, year, value): the value that comes last by ``order`` where a key has a year more than once;
+    years outside ``first`` to ``last`` and null values are left out."""
+    rows = values.where(F.col(value).isNotNull())
+    rows = rows if first is None else rows.where(F.col("year") >= first)
+    rows = rows if last is None else rows.where(F.col("year") <= last)
+    return rows.groupBy(key, "year").agg(F.max_by(value, order).alias(value))
+
+
+def years_to_cells(values: DataFrame, months: DataFrame, crosswalk: DataFrame, key: str, value: str, how: str = "linear") -> DataFrame:
+    """(pgid, month_id, value) for the months from each key's first year to its last, in all its cells;
+    years between that a key lacks are filled by ``how`` ("linear" or "step")."""
+    if how not in ("linear", "step"):
+        raise ValueError(f"no interpolation {how!r}; there are ['linear', 'step']")
+    at = values.where(F.col(value).isNotNull())
+    january = ((F.col("year") - 1980) * 12 + 1).cast("int")
+    if how == "linear":
+        filled = interp.linear(at, months, key, value)
+    else:
+        filled = interp.step(at.select(key, january.alias("month_id"), value), months, key, value)
+    spans = at.groupBy(key).agg(F.min(january).alias("_a"), (F.max(january) + 11).alias("_b"))
+    inside = filled.join(spans, key).where(F.col("month_id").between(F.col("_a"), F.col("_b")))
+    cells = crosswalk.where(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
+    return inside.join(cells, key).select("pgid", "month_id", value)
+
+
 def years_to_months(values: DataFrame, crosswalk: DataFrame, key: str, year: str = "year") -> DataFrame:
     """Rows (key, year, values...) as (pgid, month_id, values...) for the twelve months and all cells of a
     key.  ``crosswalk`` has pgid and the key, without null or empty ones."""

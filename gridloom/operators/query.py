@@ -70,6 +70,16 @@ def country_month(cells: DataFrame, features: Sequence[str], types: Mapping[str,
     return inside.groupBy("month_id", country).agg(*[F.sum(value(f)).alias(f) for f in summed])
 
 
+def excluded(cells: DataFrame, features: Sequence[str], country: str = "country_id") -> DataFrame:
+    """One row on the cell months without country (null, 0 or less) that :func:`country_month` leaves out:
+    n_excluded, n_with_mass (those whose features add up to more than 0) and each feature's sum."""
+    value = lambda c: F.nanvl(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0))
+    outside = cells.where(F.col(country).isNull() if dict(cells.dtypes)[country] == "string" else F.coalesce(F.col(country), F.lit(0)) <= 0)
+    mass = reduce(lambda a, b: a + b, [value(f) for f in features], F.lit(0.0))
+    sums = [F.coalesce(F.sum(value(f)), F.lit(0.0)).alias(f) for f in features]
+    return outside.agg(F.count(F.lit(1)).alias("n_excluded"), F.count(F.when(mass > 0, 1)).alias("n_with_mass"), *sums)
+
+
 def feature_frame(cells: DataFrame, features: Sequence[str]) -> DataFrame:
     """time, unit and the features as one array of floats."""
     return cells.select(F.col("month_id").cast("int").alias("time"), F.col("pgid").cast("int").alias("unit"), F.array(*[F.col(c).cast("float") for c in features]).alias("features"))

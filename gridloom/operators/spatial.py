@@ -1,4 +1,4 @@
-"""Cells to polygons: by centre, and by largest overlap.
+"""Cells to polygons, by centre and by largest overlap, and polygons to polygons, by the area they share.
 
 A polygon's bounding box is turned into the cells it may meet, so both joins are equi-joins on the cell
 and only the cells near a polygon are looked at in detail.  Rings are arrays of (x, y); a polygon is
@@ -70,10 +70,16 @@ def _clip(points: np.ndarray, axis: int, bound: float, keep_below: bool) -> np.n
     return np.array(out)
 
 
-def _area_in(p: np.ndarray, w: float, s: float, e: float, n: float) -> float:
-    """Area of a ring's part in a box."""
+def _clipped(p: np.ndarray, w: float, s: float, e: float, n: float) -> np.ndarray:
+    """A ring's part in a box."""
     for axis, bound, below in ((0, w, False), (0, e, True), (1, s, False), (1, n, True)):
         p = _clip(p, axis, bound, below)
+    return p
+
+
+def _area_in(p: np.ndarray, w: float, s: float, e: float, n: float) -> float:
+    """Area of a ring's part in a box."""
+    p = _clipped(p, w, s, e, n)
     q = np.roll(p, -1, axis=0) if len(p) else p
     return abs(float((p[:, 0] * q[:, 1] - q[:, 0] * p[:, 1]).sum())) / 2 if len(p) > 2 else 0.0
 
@@ -104,6 +110,91 @@ def area_majority_join(polygons: DataFrame, grid: axes.GridConfig = axes.GRID) -
     return cut.where(F.round("area", 9) > 0).withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select("pgid", "code", "area")
 
 
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+def _pieces(ring: pd.Series, holes: pd.Series, west: pd.Series, south: pd.Series, east: pd.Series, north: pd.Series) -> pd.Series:
+    """The rings of a polygon in a box, each as x, y, x, y, ...."""
+    out = []
+    for outer, inner, *box in zip(ring, holes, west, south, east, north, strict=True):
+        parts = [_clipped(_points(r), *box) for r in (outer, *inner)]
+        out.append([p.ravel().tolist() for p in parts if len(p) > 2])
+    return pd.Series(out, dtype=object)
+
+
+def _edges(rings) -> np.ndarray:
+    """Edges x0, y0, x1, y1 that are not level, of rings as x, y, x, y, ...."""
+    both = [np.hstack([p, np.roll(p, -1, axis=0)]) for p in (np.asarray(r, float).reshape(-1, 2) for r in rings)]
+    edges = np.vstack(both) if both else np.empty((0, 4))
+    return edges[edges[:, 1] != edges[:, 3]]
+
+
+def _heights_of_crossings(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """y where an edge of one set crosses one of the other."""
+    d, f = a[:, None, 2:] - a[:, None, :2], b[None, :, 2:] - b[None, :, :2]
+    g = b[None, :, :2] - a[:, None, :2]
+    turn = d[..., 0] * f[..., 1] - d[..., 1] * f[..., 0]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = (g[..., 0] * f[..., 1] - g[..., 1] * f[..., 0]) / turn
+        u = (g[..., 0] * d[..., 1] - g[..., 1] * d[..., 0]) / turn
+    meet = (turn != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+    return (a[:, None, 1] + t * d[..., 1])[meet]
+
+
+def _spans(edges: np.ndarray, y: float) -> np.ndarray:
+    """Starts and ends, in turn, of what is inside on a parallel (even-odd rule)."""
+    cut = edges[(edges[:, 1] > y) != (edges[:, 3] > y)]
+    return np.sort(cut[:, 0] + (y - cut[:, 1]) * (cut[:, 2] - cut[:, 0]) / (cut[:, 3] - cut[:, 1]))
+
+
+def _common_area(one, other) -> float:
+    """Area inside both of two sets of rings.  Between two heights where edges end or cross, the common
+    width is linear in y, so its value in the middle counts for the whole strip."""
+    a, b = _edges(one), _edges(other)
+    if not len(a) or not len(b):
+        return 0.0
+    y = np.unique(np.concatenate([a[:, [1, 3]].ravel(), b[:, [1, 3]].ravel(), _heights_of_crossings(a, b)]))
+    area = 0.0
+    for low, high in zip(y[:-1], y[1:], strict=True):
+        p, q = _spans(a, (low + high) / 2), _spans(b, (low + high) / 2)
+        if len(p) and len(q):
+            wide = np.minimum(p[1::2, None], q[None, 1::2]) - np.maximum(p[::2, None], q[None, ::2])
+            area += (high - low) * float(np.maximum(wide, 0).sum())
+    return area
+
+
+@F.pandas_udf(T.DoubleType())
+def _common(one: pd.Series, other: pd.Series) -> pd.Series:
+    return pd.Series([_common_area(a, b) for a, b in zip(one, other, strict=True)], dtype=float)
+
+
+@F.pandas_udf(T.DoubleType())
+def _area(ring: pd.Series, holes: pd.Series) -> pd.Series:
+    size = lambda r: _area_in(_points(r), -np.inf, -np.inf, np.inf, np.inf)
+    return pd.Series([size(outer) - sum(map(size, inner)) for outer, inner in zip(ring, holes, strict=True)], dtype=float)
+
+
+def coverage(supplements: DataFrame, polygons: DataFrame, grid: axes.GridConfig = axes.GRID) -> DataFrame:
+    """code, covered: the largest share of each supplement's area that one polygon covers.
+
+    Both (code, ring) are cut by cell first, so the join is on the cell and carries pieces of rings.
+    """
+
+    def cut(shapes: DataFrame, code: str, piece: str) -> DataFrame:
+        near = box_cells(with_box(_with_holes(shapes)), grid).withColumn("_box", axes.bounding_box(F.col("pgid"), grid))
+        parts = near.select("pgid", F.col("code").alias(code), _pieces("ring", "holes", "_box.west", "_box.south", "_box.east", "_box.north").alias(piece))
+        return parts.where(F.size(piece) > 0)
+
+    both = cut(supplements, "code", "_a").join(cut(polygons, "_by", "_b"), "pgid")
+    shared = both.groupBy("code", "_by").agg(F.sum(_common("_a", "_b")).alias("_shared")).groupBy("code").agg(F.max("_shared").alias("_shared"))
+    sizes = _with_holes(supplements).select("code", _area("ring", "holes").alias("_size")).groupBy("code").agg(F.sum("_size").alias("_size"))
+    return sizes.join(shared, "code", "left").select("code", F.coalesce(F.try_divide("_shared", "_size"), F.lit(0.0)).alias("covered"))
+
+
+def uncovered(supplements: DataFrame, polygons: DataFrame, threshold: float = 0.5, grid: axes.GridConfig = axes.GRID) -> DataFrame:
+    """Supplements of which no polygon covers more than ``threshold``."""
+    taken = coverage(supplements, polygons, grid).where(F.col("covered") > threshold)
+    return supplements.join(taken.select("code"), "code", "left_anti")
+
+
 def nearest_polygon(points: DataFrame, polygons: DataFrame, square: float = 2.0) -> DataFrame:
     """Points (pgid, lat, lon) with the code of the nearest polygon centre, ties to the smaller code.
 

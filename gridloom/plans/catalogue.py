@@ -1165,6 +1165,79 @@ def nearest_polygon(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("pgid", F.round(d, 4).alias("d"))
 
 
+@registered(f"""
+WITH {BOXES}, o AS (SELECT s.code, max(greatest(least(s.west + 0.9, k.east) - greatest(s.west + 0.4, k.west), 0) * greatest(least(s.south + 2.1, k.north) - greatest(s.south + 1.1, k.south), 0)) AS shared
+  FROM k s, k GROUP BY 1)
+SELECT code, round(shared / 0.5, 6) AS covered FROM o
+""")
+def supplement_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Smaller rectangles that stand out of each nation's box, and how much of them one box covers."""
+    boxes = _boxes(spark, sf)
+    west, south = F.col("ring")[0]["x"], F.col("ring")[0]["y"]
+    point = lambda x, y: F.struct((west + x).alias("x"), (south + y).alias("y"))
+    supplements = boxes.select("code", F.array(point(0.4, 1.1), point(0.9, 1.1), point(0.9, 2.1), point(0.4, 2.1)).alias("ring"))
+    return spatial.coverage(supplements, boxes).withColumn("covered", F.round("covered", 6))
+
+
+@registered(f"""
+WITH {EV}, {CELL} SELECT count(*) AS n_excluded, count(*) FILTER (best + n > 0) AS n_with_mass, CAST(sum(best) AS DOUBLE) AS best, CAST(sum(n) AS DOUBLE) AS n FROM cells WHERE country_id < 4
+""")
+def excluded_mass(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations below 4 stand for the sea."""
+    return query.excluded(cell_months(spark, sf).withColumn("country_id", F.col("country_id") - 3), ["best", "n"])
+
+
+@registered(f"""
+WITH {EV}, {CELL}, r AS (SELECT month_id, row_number() OVER (PARTITION BY month_id ORDER BY best, pgid) AS x, row_number() OVER (PARTITION BY month_id ORDER BY n, pgid) AS y FROM cells)
+SELECT month_id, count(*) AS n, round(corr(x, y), 6) AS rho FROM r GROUP BY 1 HAVING count(*) >= 5
+""")
+def rank_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    return analytics.rank_correlation(cell_months(spark, sf), "month_id", "pgid", "best", "n").withColumn("rho", F.round("rho", 6))
+
+
+@registered("""
+SELECT s_nationkey, count(*) AS n, round(var_pop(s_acctbal), 3) AS variance, round(quantile_cont(s_acctbal, 0.05), 4) AS p5, round(quantile_cont(s_acctbal, 0.5), 4) AS p50, round(quantile_cont(s_acctbal, 0.95), 4) AS p95
+FROM supplier GROUP BY 1
+""")
+def distribution_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    out = analytics.quantiles(table(spark, sf, "supplier"), "s_nationkey", "s_acctbal", (0.05, 0.5, 0.95))
+    return out.select("s_nationkey", "n", F.round("variance", 3).alias("variance"), *[F.round(c, 4).alias(c) for c in ("p5", "p50", "p95")])
+
+
+@registered("""
+WITH p AS (SELECT s_suppkey, s_acctbal, s_suppkey * 37 % 179 - 89 AS lat, s_suppkey * 53 % 359 - 179 AS lon FROM supplier)
+SELECT s_suppkey, round(ln(1 + least(greatest(CAST(s_acctbal AS DOUBLE), 0), 5000)), 6) AS scaled,
+  CASE WHEN lat BETWEEN -35 AND 37 AND lon BETWEEN -18 AND 52 THEN 'Africa'
+  ELSE concat(abs(lat), chr(176), CASE WHEN lat >= 0 THEN 'N' ELSE 'S' END, ', ', abs(lon), chr(176), CASE WHEN lon >= 0 THEN 'E' ELSE 'W' END) END AS label
+FROM p
+""")
+def scaled_labels(spark: SparkSession, sf: str) -> DataFrame:
+    lat, lon = F.col("s_suppkey") * 37 % 179 - 89, F.col("s_suppkey") * 53 % 359 - 179
+    label = analytics.place_label(lat, lon, {"Africa": (-35, 37, -18, 52)})
+    return table(spark, sf, "supplier").select("s_suppkey", F.round(analytics.log_scaled(F.col("s_acctbal"), 0, 5000), 6).alias("scaled"), label.alias("label"))
+
+
+@registered(f"""
+WITH {YEARLY}, l AS (SELECT key, year, value FROM yearly WHERE year <> 1995 AND year BETWEEN 1993 AND 1997), s AS (SELECT key, min(year) AS y0, max(year) AS y1 FROM l GROUP BY 1),
+m AS (SELECT s.key, month_id, CAST(floor((month_id - 1) / 12.0) AS INTEGER) + 1980 AS y FROM s, months WHERE month_id BETWEEN (y0 - 1980) * 12 + 1 AND (y1 - 1980) * 12 + 12)
+SELECT s_suppkey AS pgid, m.month_id, round(max_by(l.value, l.year), 2) AS value FROM m JOIN l ON l.key = m.key AND l.year <= m.y JOIN supplier ON s_nationkey = m.key GROUP BY ALL
+""")
+def years_to_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Each year twice, of which the later counts; 1995 is a gap."""
+    one = yearly(spark, sf).where("year <> 1995")
+    twice = one.withColumn("at", F.lit(2)).unionByName(one.withColumns({"value": F.col("value") * 2, "at": F.lit(1)}))
+    values = expand.last_of_year(twice, "key", "value", "at", 1993, 1997)
+    cells = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("pgid"), F.col("s_nationkey").alias("key"))
+    return expand.years_to_cells(values, _axis(spark), cells, "key", "value", "step").withColumn("value", F.round("value", 2))
+
+
+@registered("SELECT p_partkey, p_size FROM part WHERE p_brand = (SELECT min(p_brand) FROM part)")
+def rows_of_level(spark: SparkSession, sf: str) -> DataFrame:
+    parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_brand")
+    least = parts.agg(F.min("p_brand")).head()[0]
+    return assemble.of_level(parts, "p_brand", least).select("p_partkey", "p_size")
+
+
 def feature_columns() -> T.StructType:
     """Schema of :func:`grid_month_features`, with each feature's aggregation type as metadata."""
     fields = [T.StructField("month_id", T.IntegerType()), T.StructField("pgid", T.IntegerType())]

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import uuid
-from collections.abc import Sequence
+import zipfile
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +66,15 @@ def write_store(table: DataFrame, path: str) -> None:
         fs.delete(old, True)
 
 
+def write_events(batches: Sequence[DataFrame], path: str) -> None:
+    """A snapshot of all batches' events with all their fields, sorted by name, null where a batch lacks one;
+    no events at all is an error, and leaves what was there."""
+    if not batches or all(b.isEmpty() for b in batches):
+        raise ValueError("no events to save")
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
+    write_store(every.select(*sorted(every.columns)), path)
+
+
 def archive(spark: SparkSession, path: str, stamp: str) -> str:
     """Move a snapshot to archive/<name>_<stamp> beside it."""
     target, fs = _path(spark, path)
@@ -87,6 +101,50 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFram
     return table.select(*columns)
 
 
+def read_zipped_csv(spark: SparkSession, path: str, schema: T.StructType, member: str = ".csv") -> DataFrame:
+    """The schema's columns of the CSV members (names ending in ``member``) of landed ZIP files; a file
+    without such a member, or a member without one of the columns, is an error.  A task streams a file's
+    members, so only the packed bytes are held."""
+    names = schema.fieldNames()
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at, content in zip(batch["path"], batch["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as packed:
+                    found = sorted(n for n in packed.namelist() if n.lower().endswith(member.lower()))
+                    if not found:
+                        raise ValueError(f"{at} has no member {member}")
+                    for name in found:
+                        with packed.open(name) as raw:
+                            lines = csv.DictReader(io.TextIOWrapper(raw, "utf-8-sig", newline=""))
+                            missing = sorted(set(names) - set(lines.fieldnames or ()))
+                            if missing:
+                                raise ValueError(f"{name} in {at} lacks columns: {missing}")
+                            held = []
+                            for line in lines:
+                                held.append([line[n] or None for n in names])
+                                if len(held) == 10_000:
+                                    yield pd.DataFrame(held, columns=names, dtype=object)
+                                    held = []
+                            if held:
+                                yield pd.DataFrame(held, columns=names, dtype=object)
+
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    spread = files.repartition("path").mapInPandas(rows, texts)
+    return spread.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def read_static(spark: SparkSession, path: str, value: str, cell: str = "gid") -> DataFrame:
+    """(pgid, value) of a landed static covariate, a JSON array of objects with a cell and a value; a cell
+    that is there twice is an error when the rows are read."""
+    schema = T.StructType([T.StructField(cell, T.LongType()), T.StructField("value", T.DoubleType())])
+    one = spark.read.schema(schema).json(path, multiLine=True).where(F.col(cell).isNotNull())
+    cells = one.groupBy(F.col(cell).cast("int").alias("pgid")).agg(F.max("value").alias(value), F.count(F.lit(1)).alias("_n"))
+    fault = F.raise_error(F.concat(F.lit("cell is there twice: "), F.col("pgid").cast("string"))).cast("boolean")
+    return cells.where(F.when(F.col("_n") == 1, True).otherwise(fault)).drop("_n")
+
+
 def read_geojson(spark: SparkSession, path: str, properties: T.StructType) -> DataFrame:
     """Polygons and multipolygons as (properties..., outer ring of x and y, holes as such rings)."""
     shape = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])

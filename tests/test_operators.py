@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
+import zipfile
 from pathlib import Path
 
+import numpy as np
 import pytest
 from gridloom.functions import axes, versions
 from gridloom.operators import analytics, assemble, conserve, expand, gridagg, interp, quality, query, resolve, spatial, store
@@ -431,3 +433,69 @@ def test_polygon_holes(spark, tmp_path):
     areas = {r["pgid"]: round(r["area"], 6) for r in spatial.area_majority_join(polygons).collect()}
     assert len(areas) == 15 and hole not in areas and set(areas.values()) == {0.25}
 
+
+def test_coverage_of_polygons_that_are_not_convex(spark):
+    ring = lambda *points: [{"x": float(x), "y": float(y)} for x, y in points]
+    kind = "code int, ring array<struct<x:double,y:double>>, holes array<array<struct<x:double,y:double>>>"
+    square = ring((0, 0), (4, 0), (4, 4), (0, 4))
+    el = ring((0, 0), (4, 0), (4, 1), (1, 1), (1, 4), (0, 4))  # 7 of the square's 16
+    tilted = ring((2, 0), (4, 2), (2, 4), (0, 2))  # 8 of it
+    far = ring((90, 9), (91, 9), (90, 10))
+    extra = spark.createDataFrame([(1, square, []), (2, el, []), (3, tilted, []), (4, far, []), (5, square, [tilted])], kind)
+    base = spark.createDataFrame([(1, el, []), (2, tilted, []), (3, square, [ring((1, 1), (3, 1), (3, 3), (1, 3))])], kind)
+    got = {r["code"]: round(r["covered"], 9) for r in spatial.coverage(extra, base).collect()}
+    # the last one is the square's corners, which the hole does not reach
+    assert got == {1: 0.75, 2: 1.0, 3: 1.0, 4: 0.0, 5: 1.0}
+    assert sorted(r["code"] for r in spatial.uncovered(extra, base.where("code = 1"), 0.5).collect()) == [1, 3, 4]  # of the corners the first covers 5 of 8
+
+
+def test_common_area_is_that_of_many_points():
+    rng = np.random.default_rng(5)
+    for _ in range(6):
+        angles = [np.sort(rng.uniform(0, 2 * np.pi, 9)) for _ in range(2)]
+        one, other = ((np.c_[np.cos(a), np.sin(a)] * rng.uniform(0.2, 1, (9, 1)) + rng.uniform(-0.3, 0.3, 2)) for a in angles)
+        x = np.linspace(-1.4, 1.4, 57)
+        inside = lambda p: np.array([spatial._crossings(p, u, v) % 2 for v in x for u in x])  # noqa: B023, E731
+        wanted = float((inside(one) * inside(other)).mean()) * 2.85**2
+        assert spatial._common_area([one.ravel()], [other.ravel()]) == pytest.approx(wanted, abs=0.06)
+
+
+def test_landed_archives_static_covariates_and_snapshots(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("notes.txt", "x")
+        z.writestr("in/table.csv", 'code,year,v,other\nAA,1990,0.5,"x\ny"\nBB,1991,,z\n')
+    schema = T.StructType([T.StructField("code", T.StringType()), T.StructField("year", T.IntegerType()), T.StructField("v", T.DoubleType())])
+    assert rows(snapshots.read_zipped_csv(spark, str(tmp_path / "a.zip"), schema), "code") == [("AA", 1990, 0.5), ("BB", 1991, None)]
+    with pytest.raises(Exception, match="has no member"):
+        snapshots.read_zipped_csv(spark, str(tmp_path / "a.zip"), schema, ".tif").collect()
+    with pytest.raises(Exception, match="lacks columns"):
+        snapshots.read_zipped_csv(spark, str(tmp_path / "a.zip"), schema.add("absent", T.StringType())).collect()
+    (tmp_path / "s.json").write_text(json.dumps([{"gid": 5, "value": 1.5}, {"gid": 7, "value": None}]))
+    assert rows(snapshots.read_static(spark, str(tmp_path / "s.json"), "slope"), "pgid") == [(5, 1.5), (7, None)]
+    (tmp_path / "t.json").write_text(json.dumps([{"gid": 5, "value": 1.5}, {"gid": 5, "value": 1.5}]))
+    with pytest.raises(Exception, match="there twice"):
+        snapshots.read_static(spark, str(tmp_path / "t.json"), "slope").collect()
+    path = f"file://{tmp_path}/events"
+    snapshots.write_events([spark.createDataFrame([(1, "x")], "id int, b string"), spark.createDataFrame([(2, 3)], "id int, a int")], path)
+    kept = spark.read.parquet(path)
+    assert kept.columns == ["a", "b", "id"] and rows(kept, "id") == [(None, "x", 1), (3, None, 2)]
+    with pytest.raises(ValueError):
+        snapshots.write_events([kept.where("false")], path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_levels_labels_and_years(spark):
+    table = spark.createDataFrame([("Subnat", 1), ("National", 2)], "Level string, v int")
+    assert rows(assemble.of_level(table)) == [("Subnat", 1)]
+    with pytest.raises(Exception, match="no rows with Level Other"):
+        assemble.of_level(table, level="Other").collect()
+    label = analytics.place_label(F.col("lat"), F.col("lon"), {"A": (0.0, 9.0, 0.0, 9.0), "B": (5.0, 20.0, 5.0, 20.0)})
+    points = spark.createDataFrame([(6.0, 6.0), (15.0, 15.0), (-30.25, -60.6)], "lat double, lon double")
+    assert [r[0] for r in points.select(label).collect()] == ["A", "B", "30\u00b0S, 61\u00b0W"]
+    values = spark.createDataFrame([("k", 1990, 1.0, 1), ("k", 1990, 2.0, 2), ("k", 1992, 6.0, 1), ("k", 1993, None, 1)], "key string, year int, v double, at int")
+    one = expand.last_of_year(values, "key", "v", "at")
+    cells = spark.createDataFrame([(1, "k"), (2, None), (3, "")], "pgid int, key string")
+    got = {r["month_id"]: r["v"] for r in expand.years_to_cells(one, axes.months_between(spark, 1, 200), cells, "key", "v").collect()}
+    assert (min(got), max(got), got[121], got[133], got[156]) == (121, 156, 2.0, 4.0, 6.0)
+    seas = spark.createDataFrame([(1, 1.0), (0, 2.0), (None, 0.0), (-1, float("nan"))], "country_id int, f double")
+    assert rows(query.excluded(seas, ["f"])) == [(3, 1, 2.0)]
