@@ -43,6 +43,21 @@ SENTENCES: dict[str, str] = {
     "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution": "bsd-binary",
     "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-names",
     "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": "0bsd-grant",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation": "gpl-2-only-grant",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version": "lgpl-3-grant",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version": "agpl-3-grant",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version": "lgpl-2.1-grant",
+    "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY": "lgpl-warranty",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0": "mpl-2-name",
+    "This is free and unencumbered software released into the public domain": "unlicense-name",
+    "Distributed under the Boost Software License, Version 1.0": "bsl-1-name",
+    "This software is provided 'as-is', without any express or implied warranty": "zlib-warranty",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions": "zlib-grant",
+    "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed": "wtfpl-grant",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa-4-name",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc-4-name",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License": "cc-by-nd-4-name",
 }
 
 # Licences and the identifier sequences that stand for them, in their order in a text.
@@ -60,8 +75,24 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("ISC", ("isc-grant",)),
+    ("0BSD", ("0bsd-grant",)),
+    ("GPL-2.0-only", ("gpl-2-only-grant",)),
+    ("LGPL-3.0-or-later", ("lgpl-3-grant", "gpl-warranty")),
+    ("AGPL-3.0-or-later", ("agpl-3-grant", "gpl-warranty")),
+    ("LGPL-2.1-or-later", ("lgpl-2.1-grant", "lgpl-warranty")),
+    ("MPL-2.0", ("mpl-2-name",)),
+    ("Unlicense", ("unlicense-name",)),
+    ("BSL-1.0", ("bsl-1-name",)),
+    ("Zlib", ("zlib-warranty", "zlib-grant")),
+    ("WTFPL", ("wtfpl-grant",)),
+    ("CC-BY-ND-4.0", ("cc-by-nd-4-name",)),
 )
 
+#: Each licence's tag line is a sentence, and a rule, of its own.
+TAGGED = tuple(dict.fromkeys([name for name, _ in RULES] + ["EPL-2.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "AGPL-3.0-only"]))
+SENTENCES |= {f"SPDX-License-Identifier: {name}": f"spdx-{name.lower()}" for name in TAGGED}
+RULES += tuple((name, (f"spdx-{name.lower()}",)) for name in TAGGED)
+
 #: Sentences may end at a mark before white space, and at a line end that is followed by a blank line, a capital, a digit or a bullet.
 _SENTENCE_END = r"(?<=[.!?;:])\s+|\n\s*\n|\n(?=\s*[\p{Lu}0-9*-])"
 #: What comment lines begin with ('*' and '-' are bullets too, and normalised away).

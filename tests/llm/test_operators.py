@@ -321,6 +321,10 @@ def test_licence_rules(spark, awkward):
         (4, "Licensed under the Apache License, Version 2.0. Licensed under CC BY-NC 4.0.", ["Apache-2.0", "CC-BY-NC-4.0"]),
         (5, "Licenced under the  APACHE licence version 2.0", ["Apache-2.0"]),
         (6, "We like the MIT License very much.", []),
+        (7, "/* SPDX-License-Identifier: GPL-2.0-or-later */\n", ["GPL-2.0-or-later"]),
+        (8, "// SPDX-License-Identifier: MPL-2.0\nfn main() {}\n", []),
+        (9, "# SPDX-License-Identifier: MPL-2.0\n\nimport os\n", ["MPL-2.0"]),
+        (10, "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.", ["0BSD"]),
     ]
     out = license_rules.scan(spark.createDataFrame(rows, "doc_id long, text string, wanted array<string>")).collect()
     assert [(r["doc_id"], r["licenses"]) for r in out] == [(r[0], r[2]) for r in rows]
