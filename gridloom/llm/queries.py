@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_replay, cube_mixing, cws, license_rules, lsh_forest, pu_quality, threshold_topk, url_templates, warc, zstd_toxicity
+from . import bpe_replay, conversation_repair, cube_mixing, cws, license_rules, lsh_forest, pu_quality, threshold_topk, url_templates, warc, zstd_toxicity
 from .storage import fresh_path
 
 
@@ -93,6 +93,22 @@ def op10_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube_mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """Conversations with a fifth of their turns damaged in five ways, told by a checksum of conv_id and
+    turn; a dropped turn stays as a row that is ``absent``."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), text("role").alias("role"), text("text").alias("text"))
+    way = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    rows = rows.withColumn("way", way).withColumn("times", F.explode(F.array_repeat(F.lit(1), F.when(F.col("way") == 3, 2).otherwise(1))))
+    spoilt = F.when(F.col("way") == 1, "").when(F.col("way") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    return rows.select("conv_id", "turn", F.when(F.col("way") == 4, "user").otherwise(F.col("role")).alias("role"), spoilt.alias("text"), (F.col("way") == 0).alias("absent"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = damaged_turns(_table(spark, sf_dir, "conversations"))
+    return conversation_repair.digests(conversation_repair.repair(turns, absent=F.col("absent")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lsh_forest": op1_lsh_forest,
@@ -105,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_segments": op8_warc_segments,
         "op9_url_templates": op9_url_templates,
         "op10_cube_mixing": op10_cube_mixing,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
