@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_replay, conversation_repair, cube_mixing, cws, license_rules, lsh_forest, pu_quality, threshold_topk, url_templates, warc, zstd_toxicity
+from . import bpe_replay, conversation_repair, cube_mixing, cws, license_rules, lsh_forest, pu_quality, string_kernel, threshold_topk, url_templates, warc, zstd_toxicity
 from .storage import fresh_path
 
 
@@ -93,6 +93,13 @@ def op10_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube_mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _fold(4, 2)
+    found = string_kernel.identify(docs.select("doc_id", "text"), string_kernel.fit(docs, held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def damaged_turns(turns: DataFrame) -> DataFrame:
     """Conversations with a fifth of their turns damaged in five ways, told by a checksum of conv_id and
     turn; a dropped turn stays as a row that is ``absent``."""
@@ -121,6 +128,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_segments": op8_warc_segments,
         "op9_url_templates": op9_url_templates,
         "op10_cube_mixing": op10_cube_mixing,
+        "op12_string_kernel": op12_string_kernel,
         "op13_conversation_repair": op13_conversation_repair,
     }
 
