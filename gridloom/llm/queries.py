@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_replay, conversation_repair, cube_mixing, cws, license_rules, lsh_forest, pu_quality, string_kernel, threshold_topk, url_templates, warc, zstd_toxicity
+from . import bpe_replay, conversation_repair, cube_mixing, cws, license_rules, lsh_forest, pu_quality, string_kernel, threshold_topk, url_templates, vantage_tree, warc, zstd_toxicity
 from .storage import fresh_path
 
 
@@ -93,6 +93,12 @@ def op10_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube_mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_vantage_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vantage_tree.labelled(_table(spark, sf_dir, "embeddings"))
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return vantage_tree.hard_negatives(rows, rows.where(F.col("vec_id") % 50 == 0), positives=5, k=3, low=50, high=95)
+
+
 def op12_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = _fold(4, 2)
@@ -128,6 +134,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_segments": op8_warc_segments,
         "op9_url_templates": op9_url_templates,
         "op10_cube_mixing": op10_cube_mixing,
+        "op11_vantage_tree": op11_vantage_tree,
         "op12_string_kernel": op12_string_kernel,
         "op13_conversation_repair": op13_conversation_repair,
     }
@@ -151,6 +158,29 @@ def oracle_sql() -> dict[str, str]:
             )
             SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
         """,
+        "op11_vantage_tree": """
+            WITH v AS (
+                SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+                       list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS v
+                FROM embeddings
+                WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+            ), pairs AS (
+                SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                       CAST(coalesce(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+                FROM v a JOIN v c ON a.vec_id <> c.vec_id
+                WHERE a.vec_id % 50 = 0
+            ), positives AS (
+                SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+                QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+            ), negatives AS (
+                SELECT p.*, n.vec_id AS negative_id, n.score AS negative_score,
+                       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+                FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same
+                 AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+            )
+            SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3
+        """,
         "op8_warc_segments": """
             WITH p AS (
                 SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages

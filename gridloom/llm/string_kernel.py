@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import materialise, small_batches
+from .storage import drop_since, mark, materialise, small_batches
 
 #: n-grams of these lengths, hashed into so many bins.
 ORDERS = (1, 2, 3, 4)
@@ -172,6 +172,7 @@ def fit(docs: DataFrame, held_out: Column, landmarks: int = LANDMARKS, teachers:
     at most ``teachers`` texts a language of at most ``chars`` characters, of which the first are the
     landmarks (``landmarks`` together).  Without such rows the model knows no language.
     """
+    began = mark()
     learn = docs.where(~held_out & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
     chosen, languages = _teachers(learn, teachers, chars)
     if not languages:
@@ -183,6 +184,7 @@ def fit(docs: DataFrame, held_out: Column, landmarks: int = LANDMARKS, teachers:
     weight = F.lit(1.0) / F.count(F.lit(1)).over(Window.partitionBy("lang"))
     taught = small_batches(chosen).select("lang", "text", weight.alias("weight"))
     gathered = taught.mapInPandas(_moments(bins, rows, tuple(languages)), "square binary, sums binary").collect()
+    drop_since(docs.sparkSession, began)
     m = len(rows)
     square = sum(np.frombuffer(r["square"]).reshape(m, m) for r in gathered)
     sums = sum(np.frombuffer(r["sums"]).reshape(m, len(languages)) for r in gathered)
