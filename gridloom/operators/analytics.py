@@ -72,16 +72,26 @@ def rank_correlation(table: DataFrame, group: str, unit: str, x: str, y: str, le
 
 
 def implausible(table: DataFrame, unit: str, value: str, months: int = 12, factor: float = 2.5, floor: float = 2000.0) -> DataFrame:
-    """unit, last_month, value, median and flag of each unit's last month that is not 0, against the median
-    of the ``months`` up to it; units with fewer than three months are left out."""
-    last = table.where(F.col(value) != 0).groupBy(unit).agg(F.max("month_id").alias("last_month"))
-    near = table.join(last, unit).where((F.col("month_id") <= F.col("last_month")) & (F.col("month_id") > F.col("last_month") - months))
-    out = near.groupBy(unit, "last_month").agg(
-        F.max(F.when(F.col("month_id") == F.col("last_month"), F.col(value))).alias("value"),
-        F.percentile(value, 0.5).alias("median"),
-        F.count(F.lit(1)).alias("n_months"),
+    """unit, month_id, value, median and flag of the last ``months`` rows of each unit up to its last that is
+    not 0: flagged where a value is more than ``factor`` times the window's median (or ``floor``).  Units
+    with fewer than three such months are left out."""
+    last = F.max(F.when(F.col(value) != 0, F.col("month_id"))).over(Window.partitionBy(unit))
+    place = F.row_number().over(Window.partitionBy(unit).orderBy(F.desc("month_id")))
+    near = table.withColumn("_last", last).where(F.col("month_id") <= F.col("_last")).withColumn("_place", place).where(F.col("_place") <= months)
+    window = Window.partitionBy(unit)
+    near = near.withColumns({"median": F.percentile(value, 0.5).over(window), "_n": F.count(F.lit(1)).over(window)})
+    return near.where("_n >= 3").select(unit, "month_id", value, "median", (F.col(value) > factor * F.greatest("median", F.lit(floor))).alias("flag"))
+
+
+def contract_failures(table: DataFrame, unit: str, value: str, today: int, window: int = 12, slo_months: int = 3) -> DataFrame:
+    """unit, last_month (with a value other than 0), age, and whether the unit is absent (all 0 in the last
+    ``window`` months) or stale (older than ``slo_months``)."""
+    out = table.groupBy(unit).agg(
+        F.max(F.when(F.col(value) != 0, F.col("month_id"))).alias("last_month"),
+        (F.count(F.when((F.col("month_id") > today - window) & (F.col(value) != 0), 1)) == 0).alias("absent"),
     )
-    return out.where("n_months >= 3").withColumn("flag", F.col("value") > factor * F.greatest("median", F.lit(floor)))
+    age = F.lit(today) - F.col("last_month")
+    return out.select(unit, "last_month", age.alias("age"), "absent", F.coalesce(age > slo_months, F.lit(True)).alias("stale"))
 
 
 def largest_jump(table: DataFrame, unit: str, value: str) -> DataFrame:

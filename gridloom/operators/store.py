@@ -47,16 +47,20 @@ def latest_per_key(rows: DataFrame, key: str, timestamp: str, *ties: Column) ->
 def upsert_latest(store: DataFrame, batch: DataFrame, key: str, timestamp: str) -> DataFrame:
     """The store with rows of the batch that are new or strictly later.
 
-    A null timestamp is earliest.  Both sides have one row a key (see :func:`latest_per_key`).
+    A null timestamp is earliest.  Both sides have one row a key (see :func:`latest_per_key`); a key that is
+    there twice on a side is an error when the rows are computed.  Null keys are one key.
     """
-    old = store.select(F.col(key).alias("_key"), F.col(timestamp).alias("_old"), F.lit(True).alias("_known"))
-    fresh = batch.join(old, batch[key].eqNullSafe(old["_key"]), "left").where(
-        F.col("_known").isNull() | (F.col(timestamp) > F.col("_old")) | (F.col("_old").isNull() & F.col(timestamp).isNotNull())
-    )
-    fresh = fresh.drop("_key", "_old", "_known")
-    replaced = fresh.select(F.col(key).alias("_key"))
-    kept = store.join(replaced, store[key].eqNullSafe(replaced["_key"]), "left_anti")
-    return kept.unionByName(fresh, allowMissingColumns=True)
+    held = lambda df, name: F.struct(*[F.col(c) for c in df.columns]).alias(name)
+    one = lambda df, name: df.groupBy(F.col(key).alias("_key")).agg(F.first(held(df, name)).alias(name), F.count(F.lit(1)).alias(f"{name}_n"))
+    both = one(store, "_old").join(one(batch, "_new").withColumnRenamed("_key", "_key2"), F.col("_key").eqNullSafe(F.col("_key2")), "full_outer")
+    twice = F.greatest(F.coalesce("_old_n", F.lit(1)), F.coalesce("_new_n", F.lit(1))) > 1
+    fault = F.raise_error(F.concat(F.lit(f"{key} is there twice: "), F.coalesce(F.col("_key").cast("string"), F.col("_key2").cast("string"), F.lit("null")))).cast("boolean")
+    new, old = F.col(f"_new.{timestamp}"), F.col(f"_old.{timestamp}")
+    later = F.when(twice, fault).otherwise(F.col("_new_n").isNotNull() & (F.col("_old_n").isNull() | F.coalesce(new > old, F.lit(False)) | (old.isNull() & new.isNotNull())))
+    types = dict(batch.dtypes)
+    pick = lambda c: F.when(F.col("_later"), F.col(f"_new.{c}") if c in types else F.lit(None)).otherwise(F.col(f"_old.{c}") if c in store.columns else F.lit(None))
+    columns = [*store.columns, *[c for c in batch.columns if c not in store.columns]]
+    return both.withColumn("_later", later).select(*[pick(c).alias(c) for c in columns])
 
 
 def harvest_index(ledger: DataFrame) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import expand, resolve
 from ..operators.gridagg import FeatureSpec
 from ..operators.quality import EVENT_TYPES
+from ..sources import snapshots
 
 
 class Registry[T]:
@@ -87,26 +88,106 @@ TYPED_FEATURES = (
 )
 
 
-def build_viewpoint(store: DataFrame, view: Viewpoint, polygons: DataFrame | None = None, ties: tuple = ()) -> DataFrame:
-    """A store to one row set: stale filter, survivors, months, cells, row filters.
+class NotConserved(ValueError):
+    """Rows were lost or multiplied on the way."""
+
+
+@dataclass(frozen=True)
+class Build:
+    """Rows that are still to be computed, and what is counted while they are.
+
+    ``seen`` are observations: the pass that makes the rows fills them, so counting costs no pass of its own.
+    ``equations`` are sums that must hold; ``recount`` counts again in passes of their own, for tasks that ran
+    twice (lost executors) are observed twice.
+    """
+
+    rows: DataFrame
+    seen: tuple[Observation, ...]
+    equations: tuple[tuple[str, tuple[str, ...]], ...]
+    recount: Callable[[], dict[str, object]]
+
+    def run(self) -> dict[str, object]:
+        """Compute the rows for the counts alone."""
+        self.rows.write.format("noop").mode("overwrite").save()
+        return self.check()
+
+    def check(self) -> dict[str, object]:
+        """The counts, after an action that has computed all rows; raise :class:`NotConserved` where one does
+        not equal the sum of its parts."""
+        counts = {k: v for one in self.seen for k, v in one.get.items()}
+        if self._broken(counts):
+            counts = self.recount()
+        if broken := self._broken(counts):
+            raise NotConserved("; ".join(broken))
+        return counts
+
+    def _broken(self, counts: dict[str, object]) -> list[str]:
+        n = lambda name: counts[name] or 0
+        return [f"{whole} {n(whole)} is not {' + '.join(f'{p} {n(p)}' for p in parts)}" for whole, parts in self.equations if n(whole) != sum(map(n, parts))]
+
+    def write(self, path: str) -> dict[str, object]:
+        """Replace the store at ``path``, unless the counts do not add up: then it stays as it was."""
+        counts: dict[str, object] = {}
+        snapshots.write_store(self.rows, path, check=lambda: counts.update(self.check()))
+        return counts
+
+
+def _count(condition, name: str):
+    return F.count(F.when(condition, 1)).alias(name)
+
+
+def viewpoint(store: DataFrame, view: Viewpoint, polygons: DataFrame | None = None, ties: tuple = ()) -> Build:
+    """A store to one row set, with its accounting: stale filter, survivors, months, cells, row filters.
 
     An event is split into months first, and each month's amounts then go to cells as whole numbers.
     Weights of cells come from all versions that the stale filter leaves, as well-located events of each.
     ``polygons`` has pgid and code, and level (1 and 0) for two levels of them.
+
+    Counted: n_store (rows read) = n_stale + n_superseded + n_survivors (rows decided), n_months = n_kept +
+    n_filtered, and ``amount`` of the survivors before, ``amount_by_month`` after the split into months (equal
+    under ``even_split``).
     """
-    rows = resolve.drop_stale(store) if view.stale_filter else store
-    weights = expand.weight_map(rows, polygons) if polygons is not None and view.spatial == "proportional" else None
-    rows = resolve.survivors(rows, view.survivorship, ties)
-    rows = expand.split_months(rows, view.temporal, by_source=view.by_source)
-    if weights is not None:
-        rows = expand.distribute(rows, weights, polygons)
-    distributed = F.col("_spatial_distributed") if weights is not None else None
-    return rows.where(resolve.passes(view.min_pgid, view.max_violence, view.exclude_precision, distributed))
+    read, decided, split, filtered = (Observation() for _ in range(4))
+    n, amount = F.count(F.lit(1)), F.sum("best").cast("double")
+    is_ = lambda name: F.col("_status") == name
+    rows = resolve.with_status(store.observe(read, n.alias("n_store")), view.stale_filter, view.survivorship, ties)
+    rows = rows.observe(
+        decided,
+        _count(is_("stale"), "n_stale"),
+        _count(is_("superseded"), "n_superseded"),
+        _count(is_("survivor"), "n_survivors"),
+        F.sum(F.when(is_("survivor"), F.col("best"))).cast("double").alias("amount"),
+    )
+    rows = expand.split_months(rows.where(is_("survivor")).drop("_status"), view.temporal, by_source=view.by_source)
+    rows = rows.observe(split, n.alias("n_months"), amount.alias("amount_by_month"))
+    distributed = None
+    if polygons is not None and view.spatial == "proportional":
+        current = resolve.drop_stale(store) if view.stale_filter else store
+        rows = expand.distribute(rows, expand.weight_map(current, polygons), polygons)
+        distributed = F.col("_spatial_distributed")
+    passes = resolve.passes(view.min_pgid, view.max_violence, view.exclude_precision, distributed)
+    rows = rows.observe(filtered, n.alias("n_rows"), _count(passes, "n_kept"), _count(~passes | passes.isNull(), "n_filtered"))
+    equations = (("n_store", ("n_stale", "n_superseded", "n_survivors")), ("n_rows", ("n_kept", "n_filtered")))
+    return Build(rows.where(passes), (read, decided, split, filtered), equations, lambda: viewpoint_accounting(store, view, ties).head().asDict() | {"n_rows": 0, "n_kept": 0, "n_filtered": 0})
+
+
+def build_viewpoint(store: DataFrame, view: Viewpoint, polygons: DataFrame | None = None, ties: tuple = ()) -> DataFrame:
+    """The rows of :func:`viewpoint`."""
+    return viewpoint(store, view, polygons, ties).rows
+
+
+def typed(store: DataFrame, view: TypedViewpoint) -> Build:
+    """The second source's events of the wanted types (null is none), with ``date_month`` (YYYY-MM), and
+    n_input = n_output + n_filtered."""
+    seen, kept = Observation(), _wanted(view)
+    rows = store.observe(seen, F.count(F.lit(1)).alias("n_input"), _count(kept, "n_output"), _count(~kept, "n_filtered"))
+    rows = rows.where(kept).withColumn("date_month", F.substring(F.col("event_date").cast("string"), 1, 7))
+    return Build(rows, (seen,), (("n_input", ("n_output", "n_filtered")),), lambda: typed_accounting(store, view).head().asDict())
 
 
 def build_typed(store: DataFrame, view: TypedViewpoint) -> DataFrame:
-    """The second source's events of the wanted types (null is none), with ``date_month`` (YYYY-MM)."""
-    return store.where(_wanted(view)).withColumn("date_month", F.substring(F.col("event_date").cast("string"), 1, 7))
+    """The rows of :func:`typed`."""
+    return typed(store, view).rows
 
 
 def _wanted(view: TypedViewpoint):
@@ -116,17 +197,19 @@ def _wanted(view: TypedViewpoint):
 def typed_accounting(store: DataFrame, view: TypedViewpoint) -> DataFrame:
     """One row: n_input = n_output + n_filtered, the last counted on their own."""
     kept = _wanted(view)
-    return store.agg(F.count(F.lit(1)).alias("n_input"), F.count(F.when(kept, 1)).alias("n_output"), F.count(F.when(~kept, 1)).alias("n_filtered"))
+    return store.agg(F.count(F.lit(1)).alias("n_input"), _count(kept, "n_output"), _count(~kept, "n_filtered"))
 
 
 def viewpoint_accounting(store: DataFrame, view: Viewpoint, ties: tuple = ()) -> DataFrame:
-    """One row: n_store = n_stale + n_superseded + n_survivors, and the survivors' amount before and after
-    the split into months (equal under ``even_split``)."""
-    kept = resolve.drop_stale(store) if view.stale_filter else store
-    won = resolve.survivors(kept, view.survivorship, ties)
-    months = expand.split_months(won, view.temporal, by_source=view.by_source)
-    n = F.count(F.lit(1))
-    amount = lambda rows, name: rows.agg(F.sum("best").cast("double").alias(name))
-    one = store.agg(n.alias("n_store")).crossJoin(kept.agg(n.alias("_kept"))).crossJoin(won.agg(n.alias("n_survivors"), F.sum("best").cast("double").alias("amount")))
-    one = one.crossJoin(amount(months, "amount_by_month"))  # rows of one each
-    return one.select("n_store", (F.col("n_store") - F.col("_kept")).alias("n_stale"), (F.col("_kept") - F.col("n_survivors")).alias("n_superseded"), "n_survivors", "amount", "amount_by_month")
+    """One row: the counts of :func:`viewpoint` up to the split into months, in passes of their own."""
+    rows = resolve.with_status(store, view.stale_filter, view.survivorship, ties)
+    is_ = lambda name: F.col("_status") == name
+    months = expand.split_months(rows.where(is_("survivor")), view.temporal, by_source=view.by_source)
+    decided = rows.agg(
+        _count(is_("stale"), "n_stale"),
+        _count(is_("superseded"), "n_superseded"),
+        _count(is_("survivor"), "n_survivors"),
+        F.sum(F.when(is_("survivor"), F.col("best"))).cast("double").alias("amount"),
+    )
+    by_month = months.agg(F.count(F.lit(1)).alias("n_months"), F.sum("best").cast("double").alias("amount_by_month"))
+    return store.agg(F.count(F.lit(1)).alias("n_store")).crossJoin(decided).crossJoin(by_month)  # rows of one each

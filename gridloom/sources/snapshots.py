@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import csv
 import io
+import re
+import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -40,13 +42,18 @@ def read_store(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if exists(spark, path) else None
 
 
-def write_store(table: DataFrame, path: str) -> None:
-    """Replace a store: written beside it, then renamed; the old one stays until the new is complete, and
-    comes back if the new one cannot take its place."""
-    spark = table.sparkSession
+def replace(spark: SparkSession, path: str, write: Callable[[str], None], check: Callable[[], object] | None = None) -> None:
+    """Replace what is at ``path``: ``write`` puts the new beside it, then it is renamed.  The old one stays
+    until the new is complete and ``check`` has passed, and comes back if the new one cannot take its place."""
     beside = f"{path}.new-{uuid.uuid4().hex}"
-    table.write.parquet(beside)
     new, fs = _path(spark, beside)
+    try:
+        write(beside)
+        if check is not None:
+            check()
+    except Exception:
+        fs.delete(new, True)
+        raise
     target, _ = _path(spark, path)
     old, _ = _path(spark, f"{path}.old-{uuid.uuid4().hex}")
     replaced = fs.exists(target)
@@ -66,6 +73,11 @@ def write_store(table: DataFrame, path: str) -> None:
         fs.delete(old, True)
 
 
+def write_store(table: DataFrame, path: str, check: Callable[[], object] | None = None) -> None:
+    """Replace a store (see :func:`replace`)."""
+    replace(table.sparkSession, path, table.write.parquet, check)
+
+
 def write_events(batches: Sequence[DataFrame], path: str) -> None:
     """A snapshot of all batches' events with all their fields, sorted by name, null where a batch lacks one;
     no events at all is an error, and leaves what was there."""
@@ -159,8 +171,41 @@ def read_geojson(spark: SparkSession, path: str, properties: T.StructType) -> Da
     return outer.withColumns({"ring": ring(F.element_at("_p", 1)), "holes": holes}).drop("_p")
 
 
-def write_cube(table: DataFrame, path: str) -> None:
-    """A (month_id, pgid, features) table by year, so that time ranges read their own files only; a year
-    is written by as many tasks as its months and cells take."""
+def by_year(table: DataFrame) -> DataFrame:
+    """A (month_id, pgid, features) table with its year, dealt so that a year is written by as many tasks as its
+    months and cells take."""
     year = F.floor((F.col("month_id") - 1) / 12).cast("int") + 1980
-    table.withColumn("year", year).repartitionByRange("month_id", "pgid").sortWithinPartitions("month_id", "pgid").write.partitionBy("year").mode("overwrite").parquet(path)
+    return table.withColumn("year", year).repartitionByRange("month_id", "pgid").sortWithinPartitions("month_id", "pgid")
+
+
+def write_cube(table: DataFrame, path: str) -> None:
+    """A (month_id, pgid, features) table by year, so that time ranges read their own files only; replaced
+    whole (see :func:`replace`)."""
+    replace(table.sparkSession, path, by_year(table).write.partitionBy("year").parquet)
+
+
+def write_years(table: DataFrame, path: str, years: Sequence[int], gone: Sequence[int] = ()) -> None:
+    """Replace these years of a cube and remove those that are ``gone``; files of other years are not touched."""
+    rows = by_year(table).where(F.col("year").isin(list(years)))
+    rows.write.partitionBy("year").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    for year in gone:
+        folder, fs = _path(table.sparkSession, f"{path}/year={year}")
+        fs.delete(folder, True)
+
+
+def files(spark: SparkSession, path: str) -> DataFrame:
+    """file (below ``path``) and bytes of the parquet files in a folder; their contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    return found.select(F.regexp_replace("path", ".*/" + re.escape(path.rstrip("/").rsplit("/", 1)[-1]) + "/", "").alias("file"), F.col("length").alias("bytes"))
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share, ``spark.checkpoint.dir``; a local session
+    without that setting gets a folder of its own, a cluster an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="gridloom-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
