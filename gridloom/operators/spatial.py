@@ -1,7 +1,7 @@
 """Cells to polygons, by centre and by largest overlap, and polygons to polygons, by the area they share.
 
-A polygon's bounding box is turned into the cells it may meet, so both joins are equi-joins on the cell
-and only the cells near a polygon are looked at in detail.  Rings are arrays of (x, y); a polygon is
+Cells come from the quadtree of :mod:`cover`, so polygons meet on cells and only pieces of rings are
+looked at in detail.  Rings are arrays of (x, y); a polygon is
 its outer ``ring`` less those in ``holes`` (an array of rings), where it has that column.
 """
 
@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import axes
+from ..functions import axes, rings
+from . import cover
 
 
 def box_cells(polygons: DataFrame, grid: axes.GridConfig = axes.GRID) -> DataFrame:
@@ -39,75 +41,15 @@ def _points(ring) -> np.ndarray:
     return np.array([(q["x"], q["y"]) for q in ring], float).reshape(-1, 2)
 
 
-def _crossings(p: np.ndarray, px: float, py: float) -> int:
-    """Edges of a ring east of a point, on its parallel."""
-    a, b = p, np.roll(p, -1, axis=0)
-    crosses = (a[:, 1] > py) != (b[:, 1] > py)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        at = a[:, 0] + (py - a[:, 1]) * (b[:, 0] - a[:, 0]) / (b[:, 1] - a[:, 1])
-    return int((crosses & (px < at)).sum())
-
-
-@F.pandas_udf(T.BooleanType())
-def _inside(x: pd.Series, y: pd.Series, ring: pd.Series, holes: pd.Series) -> pd.Series:
-    """Even-odd rule over all rings."""
-    rows = zip(x, y, ring, holes, strict=True)
-    return pd.Series([sum(_crossings(_points(r), px, py) for r in (outer, *inner)) % 2 == 1 for px, py, outer, inner in rows], dtype=bool)
-
-
-def _clip(points: np.ndarray, axis: int, bound: float, keep_below: bool) -> np.ndarray:
-    """A ring's part on one side of a line."""
-    if not len(points):
-        return points
-    inside = points[:, axis] <= bound if keep_below else points[:, axis] >= bound
-    out = []
-    for i in range(len(points)):
-        p, q = points[i - 1], points[i]
-        if inside[i] != inside[i - 1]:
-            out.append(p + (bound - p[axis]) / (q[axis] - p[axis]) * (q - p))
-        if inside[i]:
-            out.append(q)
-    return np.array(out)
-
-
-def _clipped(p: np.ndarray, w: float, s: float, e: float, n: float) -> np.ndarray:
-    """A ring's part in a box."""
-    for axis, bound, below in ((0, w, False), (0, e, True), (1, s, False), (1, n, True)):
-        p = _clip(p, axis, bound, below)
-    return p
-
-
-def _area_in(p: np.ndarray, w: float, s: float, e: float, n: float) -> float:
-    """Area of a ring's part in a box."""
-    p = _clipped(p, w, s, e, n)
-    q = np.roll(p, -1, axis=0) if len(p) else p
-    return abs(float((p[:, 0] * q[:, 1] - q[:, 0] * p[:, 1]).sum())) / 2 if len(p) > 2 else 0.0
-
-
-@F.pandas_udf(T.DoubleType())
-def _overlap(ring: pd.Series, holes: pd.Series, west: pd.Series, south: pd.Series, east: pd.Series, north: pd.Series) -> pd.Series:
-    """Area of the outer ring in the box, less that of the holes."""
-    out = []
-    for outer, inner, *box in zip(ring, holes, west, south, east, north, strict=True):
-        out.append(_area_in(_points(outer), *box) - sum(_area_in(_points(h), *box) for h in inner))
-    return pd.Series(out, dtype=float)
-
-
 def centroid_join(polygons: DataFrame, grid: axes.GridConfig = axes.GRID) -> DataFrame:
     """pgid and the smallest code of the polygons (code, ring) that hold the cell's centre."""
-    near = box_cells(with_box(_with_holes(polygons)), grid)
-    x, y = axes.pgid_to_lon(F.col("pgid"), grid), axes.pgid_to_lat(F.col("pgid"), grid)
-    return near.where(_inside(x, y, F.col("ring"), F.col("holes"))).groupBy("pgid").agg(F.min("code").alias("code"))
+    return cover.cover(polygons, grid).where("centre").groupBy("pgid").agg(F.min("code").alias("code"))
 
 
 def area_majority_join(polygons: DataFrame, grid: axes.GridConfig = axes.GRID) -> DataFrame:
     """pgid, code and area (in square degrees) of the polygon with the largest overlap, ties to the
     smaller code."""
-    near = box_cells(with_box(_with_holes(polygons)), grid)
-    box = axes.bounding_box(F.col("pgid"), grid)
-    cut = near.withColumn("_box", box).withColumn("area", _overlap("ring", "holes", "_box.west", "_box.south", "_box.east", "_box.north"))
-    order = Window.partitionBy("pgid").orderBy(F.round("area", 9).desc(), "code")  # areas that differ by rounding tie
-    return cut.where(F.round("area", 9) > 0).withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select("pgid", "code", "area")
+    return cover.majority(cover.cover(polygons, grid))
 
 
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
@@ -115,7 +57,7 @@ def _pieces(ring: pd.Series, holes: pd.Series, west: pd.Series, south: pd.Series
     """The rings of a polygon in a box, each as x, y, x, y, ...."""
     out = []
     for outer, inner, *box in zip(ring, holes, west, south, east, north, strict=True):
-        parts = [_clipped(_points(r), *box) for r in (outer, *inner)]
+        parts = [rings.clip_to_box(_points(r), *box) for r in (outer, *inner)]
         out.append([p.ravel().tolist() for p in parts if len(p) > 2])
     return pd.Series(out, dtype=object)
 
@@ -168,8 +110,7 @@ def _common(one: pd.Series, other: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def _area(ring: pd.Series, holes: pd.Series) -> pd.Series:
-    size = lambda r: _area_in(_points(r), -np.inf, -np.inf, np.inf, np.inf)
-    return pd.Series([size(outer) - sum(map(size, inner)) for outer, inner in zip(ring, holes, strict=True)], dtype=float)
+    return pd.Series([rings.shape_area([_points(r) for r in (outer, *inner)]) for outer, inner in zip(ring, holes, strict=True)], dtype=float)
 
 
 def coverage(supplements: DataFrame, polygons: DataFrame, grid: axes.GridConfig = axes.GRID) -> DataFrame:
@@ -195,26 +136,63 @@ def uncovered(supplements: DataFrame, polygons: DataFrame, threshold: float = 0.
     return supplements.join(taken.select("code"), "code", "left_anti")
 
 
-def nearest_polygon(points: DataFrame, polygons: DataFrame, square: float = 2.0) -> DataFrame:
-    """Points (pgid, lat, lon) with the code of the nearest polygon centre, ties to the smaller code.
+@F.pandas_udf(T.DoubleType())
+def _distance(x: pd.Series, y: pd.Series, piece: pd.Series) -> pd.Series:
+    return pd.Series([rings.distance([np.asarray(r, float).reshape(-1, 2) for r in parts], a, b) for a, b, parts in zip(x, y, piece, strict=True)], dtype=float)
+
+
+def _box_ring(grid: axes.GridConfig) -> Column:
+    west, south = F.col("col") * grid.resolution - 180, F.col("row") * grid.resolution - 90
+    east, north = west + F.col("size") * grid.resolution, south + F.col("size") * grid.resolution
+    return F.array(F.array(west, south, east, south, east, north, west, north))
+
+
+def nearest_polygon(points: DataFrame, polygons: DataFrame, square: float = 2.0, measure: str = "centre", grid: axes.GridConfig = axes.GRID) -> DataFrame:
+    """Points (pgid, lat, lon) with the code of the nearest polygon, ties to the smaller code, and its distance
+    in degrees: of the centre of its box, or with ``measure="edge"`` of the polygon itself (0 inside).
 
-    A point looks at the centres in its square and the eight around it, which holds all within a square's
-    width; where the best is farther, or there is none, squares twice as wide come next.
+    A point looks at what lies in its square and the eight around it, which holds all within a square's
+    width; where the best is farther, or there is none, squares twice as wide come next, for such points
+    only, until none is left.  Polygons are looked at as their pieces in single cells, which no square cuts.
     """
-    centres = with_box(polygons).select("code", ((F.col("west") + F.col("east")) / 2).alias("_x"), ((F.col("south") + F.col("north")) / 2).alias("_y"))
-    near = F.struct((F.pow(F.col("lon") - F.col("_x"), 2) + F.pow(F.col("lat") - F.col("_y"), 2)).alias("d"), F.col("code").alias("code"))
-    kind = dict(centres.dtypes)["code"]
-    found = points.select("pgid", "lat", "lon", F.lit(None).cast(f"struct<d:double,code:{kind}>").alias("_best"))
+    if measure == "centre":
+        mid = lambda a, b: (F.col(a) + F.col(b)) / 2
+        targets = with_box(polygons).select("code", mid("west", "east").alias("_x"), mid("south", "north").alias("_y"))
+        away = F.sqrt(F.pow(F.col("lon") - F.col("_x"), 2) + F.pow(F.col("lat") - F.col("_y"), 2))
+    elif measure == "edge":
+        met = cover.squares(polygons.select("code", *[c for c in ("ring", "holes") if c in polygons.columns]), 1, grid)
+        steps = F.when(F.col("whole"), F.sequence(F.lit(0), F.col("size") - 1)).otherwise(F.array(F.lit(0)))
+        cells = met.select("*", F.explode(steps).alias("_r")).select("*", F.explode(steps).alias("_c"))
+        cells = cells.withColumns({"row": F.col("row") + F.col("_r"), "col": F.col("col") + F.col("_c"), "size": F.lit(1)})
+        centre = lambda c, o: (F.col(c) + 0.5) * grid.resolution - o
+        piece = F.when(F.col("whole"), _box_ring(grid)).otherwise(F.col("rings"))
+        targets = cells.select("key.code", centre("col", 180).alias("_x"), centre("row", 90).alias("_y"), piece.alias("_piece"))
+        away = _distance("lon", "lat", "_piece")
+    else:
+        raise ValueError(f"no measure {measure!r}; there are ['centre', 'edge']")
+    targets = targets.persist(StorageLevel.DISK_ONLY)
+    kind = dict(targets.dtypes)["code"]
+    open_ = points.select("pgid", "lat", "lon").where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    done: list[DataFrame] = []
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    reach = 0.0
-    while reach < 360:
-        reach = max(square, 2 * reach)
+    reach = square
+    while True:
         at = lambda x, y: [F.floor((x + 180) / reach).alias("_i"), F.floor((y + 90) / reach).alias("_j")]  # noqa: B023, E731
-        open_ = F.col("_best").isNull() | (F.col("_best.d") > (reach / 2) ** 2)
-        here = found.withColumn("_step", F.explode_outer(F.when(open_, steps)))
         i, j = at(F.col("lon"), F.col("lat"))
-        here = here.withColumns({"_i": i + F.col("_step.i"), "_j": j + F.col("_step.j")})
-        seen = here.join(centres.select("code", "_x", "_y", *at(F.col("_x"), F.col("_y"))), ["_i", "_j"], "left")
-        best = F.least(F.min("_best"), F.min(F.when(F.col("code").isNotNull(), near)))
-        found = seen.groupBy("pgid", "lat", "lon").agg(best.alias("_best"))
-    return found.groupBy("pgid").agg(F.min("_best").alias("_best")).select("pgid", F.col("_best.code").alias("code"))
+        here = open_.withColumn("_step", F.explode(steps))
+        here = here.withColumns({"_i": i + F.col("_step.i"), "_j": j + F.col("_step.j")}).drop("_step")
+        seen = here.join(targets.select("*", *at(F.col("_x"), F.col("_y"))), ["_i", "_j"])
+        best = seen.groupBy("pgid", "lat", "lon").agg(F.min(F.struct(away.alias("distance"), F.col("code").alias("code"))).alias("_best"))
+        looked = open_.join(best, ["pgid", "lat", "lon"], "left").persist(StorageLevel.DISK_ONLY)
+        near = F.coalesce(F.col("_best.distance") <= reach, F.lit(False))
+        last = reach >= 360
+        done.append(looked.where(F.col("_best").isNotNull() if last else near))
+        open_ = looked.where(~near).drop("_best")
+        if last or open_.isEmpty():
+            break
+        reach *= 2
+    found = done[0]
+    for more in done[1:]:
+        found = found.unionByName(more)
+    found = found.select("pgid", F.col("_best").cast(f"struct<distance:double,code:{kind}>").alias("_best"))
+    return found.groupBy("pgid").agg(F.min("_best").alias("_best")).select("pgid", "_best.code", "_best.distance")

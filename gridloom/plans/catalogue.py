@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import axes, versions
-from ..operators import analytics, assemble, conserve, expand, gridagg, interp, quality, query, resolve, spatial, store
+from ..operators import analytics, assemble, conserve, cover, expand, gridagg, interp, quality, query, resolve, spatial, store
 from ..sources import snapshots
 from . import incremental, registry
 
@@ -884,6 +884,67 @@ def area_majority_join(spark: SparkSession, sf: str) -> DataFrame:
     return spatial.area_majority_join(_boxes(spark, sf)).withColumn("area", F.round("area", 6))
 
 
+_AREA = "(least(lo_x + 0.5, east) - greatest(lo_x, west)) * (least(lo_y + 0.5, north) - greatest(lo_y, south))"
+
+
+def _level_sql(won: str) -> str:
+    """Codes of two levels (nations' boxes, and those around a region's nations) in a part of the grid."""
+    return f"""
+WITH {BOXES}, l AS (SELECT 'nation' AS level, * FROM k UNION ALL
+  SELECT 'region', n_regionkey, min(west), min(south), max(east), max(north) FROM k JOIN nation ON code = n_nationkey GROUP BY ALL), o AS (
+  SELECT pgid, level, code, lo_x, lo_y, west, south, east, north, {_AREA} AS area FROM c JOIN l ON lo_x < east AND lo_x + 0.5 > west AND lo_y < north AND lo_y + 0.5 > south
+), r AS ({won}), w AS (SELECT c.pgid, max(CASE WHEN level = 'nation' THEN code END) AS nation, max(CASE WHEN level = 'region' THEN code END) AS region FROM c LEFT JOIN r USING (pgid) GROUP BY 1)
+SELECT pgid, CAST(coalesce(nation, -1) AS INTEGER) AS nation, CAST(coalesce(region, -1) AS INTEGER) AS region FROM w"""
+
+
+def _levels(spark: SparkSession, sf: str, by: str) -> DataFrame:
+    boxes = spatial.with_box(_boxes(spark, sf))
+    nations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("code"), "n_regionkey")
+    edge = boxes.join(nations, "code").groupBy(F.col("n_regionkey").alias("code")).agg(*[f(c).alias(c) for f, c in ((F.min, "west"), (F.min, "south"), (F.max, "east"), (F.max, "north"))])
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    around = F.array(corner("west", "south"), corner("east", "south"), corner("east", "north"), corner("west", "north"))
+    both = boxes.select(F.lit("nation").alias("level"), "code", "ring").unionByName(edge.select(F.lit("region").alias("level"), "code", around.alias("ring")))
+    part = axes.pgid_row(F.col("pgid")).between(150, 210) & axes.pgid_column(F.col("pgid")).between(300, 460)
+    return cover.level_codes(both, ["nation", "region"], by=by).where(part)
+
+
+@registered(_level_sql("SELECT pgid, level, code FROM o WHERE round(area, 9) > 0 QUALIFY row_number() OVER (PARTITION BY pgid, level ORDER BY round(area, 9) DESC, code) = 1"))
+def admin_levels_by_area(spark: SparkSession, sf: str) -> DataFrame:
+    return _levels(spark, sf, "area")
+
+
+@registered(_level_sql("SELECT pgid, level, min(code) AS code FROM o WHERE lo_x + 0.25 BETWEEN west AND east AND lo_y + 0.25 BETWEEN south AND north GROUP BY ALL"))
+def admin_levels_by_centre(spark: SparkSession, sf: str) -> DataFrame:
+    return _levels(spark, sf, "centre")
+
+
+@registered(f"""
+WITH {BOXES}, h AS (SELECT code, west + 0.4::DOUBLE AS hw, south + 0.3::DOUBLE AS hs, west + 1.7::DOUBLE AS he, south + 1.1::DOUBLE AS hn FROM k), o AS (
+  SELECT pgid, code, {_AREA} - greatest(least(lo_x + 0.5, he) - greatest(lo_x, hw), 0) * greatest(least(lo_y + 0.5, hn) - greatest(lo_y, hs), 0) AS area
+  FROM c JOIN k ON lo_x < east AND lo_x + 0.5 > west AND lo_y < north AND lo_y + 0.5 > south JOIN h USING (code))
+SELECT code, count(*) AS n_cells, round(sum(area), 6) AS area FROM o WHERE round(area, 9) > 0 GROUP BY 1
+""")
+def polygon_cover(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells and area of each nation's box with a hole in it."""
+    boxes = _boxes(spark, sf)
+    west, south = F.col("ring")[0]["x"], F.col("ring")[0]["y"]
+    point = lambda x, y: F.struct((west + x).alias("x"), (south + y).alias("y"))
+    holed = boxes.withColumn("holes", F.array(F.array(point(0.4, 0.3), point(1.7, 0.3), point(1.7, 1.1), point(0.4, 1.1))))
+    met = cover.cover(holed).where(F.round("area", 9) > 0)
+    return met.groupBy("code").agg(F.count(F.lit(1)).alias("n_cells"), F.round(F.sum("area"), 6).alias("area"))
+
+
+@registered(f"""
+WITH {BOXES}, p AS (SELECT s_suppkey AS pgid, CAST(s_suppkey * 37 % 160 - 80 AS DOUBLE) AS lat, CAST(s_suppkey * 53 % 340 - 170 AS DOUBLE) AS lon FROM supplier),
+d AS (SELECT pgid, round(sqrt(pow(greatest(west - lon, 0, lon - east), 2) + pow(greatest(south - lat, 0, lat - north), 2)), 4) AS distance FROM p, k)
+SELECT pgid, min(distance) AS distance FROM d GROUP BY 1
+""")
+def nearest_polygon_edge(spark: SparkSession, sf: str) -> DataFrame:
+    at = lambda f, m, o: (F.col("s_suppkey") * f % m - o).cast("double")
+    points = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("pgid"), at(37, 160, 80).alias("lat"), at(53, 340, 170).alias("lon"))
+    return spatial.nearest_polygon(points, _boxes(spark, sf), measure="edge").select("pgid", F.round("distance", 4).alias("distance"))
+
+
 # ---------------------------------------------------------------- whole chains
 
 

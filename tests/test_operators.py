@@ -273,7 +273,7 @@ def test_polygons(spark):
     inside = {r["pgid"] for r in spatial.centroid_join(shapes.where("code = 3")).collect()}
     assert len(inside) == 6 and (200 * 720 + 380 + 1) in inside
     points = spark.createDataFrame([(1, 0.4, 0.4), (2, 11.0, 11.0)], "pgid int, lat double, lon double")
-    assert rows(spatial.nearest_polygon(points, shapes), "pgid") == [(1, 2), (2, 3)]
+    assert rows(spatial.nearest_polygon(points, shapes).select("pgid", "code"), "pgid") == [(1, 2), (2, 3)]
 
 
 # ---------------------------------------------------------------- sources, streams, registries
@@ -418,7 +418,7 @@ def test_nearest_polygon_far_away(spark):
     ring = lambda x, y: [{"x": x, "y": y}, {"x": x + 1, "y": y}, {"x": x + 1, "y": y + 1}]
     shapes = spark.createDataFrame([(1, ring(-170.0, -80.0)), (2, ring(170.0, 80.0)), (3, ring(2.0, 2.0))], "code int, ring array<struct<x:double,y:double>>")
     points = spark.createDataFrame([(1, -89.0, -179.0), (2, 60.0, 179.0), (3, 4.1, 0.5), (4, -40.0, -40.0)], "pgid int, lat double, lon double")
-    assert rows(spatial.nearest_polygon(points, shapes), "pgid") == [(1, 1), (2, 2), (3, 3), (4, 3)]
+    assert rows(spatial.nearest_polygon(points, shapes).select("pgid", "code"), "pgid") == [(1, 1), (2, 2), (3, 3), (4, 3)]
 
 
 def test_polygon_holes(spark, tmp_path):
