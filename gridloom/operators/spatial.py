@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import axes, rings
+from ..sources import snapshots
 from . import cover
 
 
@@ -153,7 +153,7 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, square: float = 2.0,
 
     A point looks at what lies in its square and the eight around it, which holds all within a square's
     width; where the best is farther, or there is none, squares twice as wide come next, for such points
-    only, until none is left.  Polygons are looked at as their pieces in single cells, which no square cuts.
+    only, until none is left; each round is written to the shared folder.  Polygons are looked at as their pieces in single cells, which no square cuts.
     """
     if measure == "centre":
         mid = lambda a, b: (F.col(a) + F.col(b)) / 2
@@ -170,7 +170,7 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, square: float = 2.0,
         away = _distance("lon", "lat", "_piece")
     else:
         raise ValueError(f"no measure {measure!r}; there are ['centre', 'edge']")
-    targets = targets.persist(StorageLevel.DISK_ONLY)
+    targets = snapshots.written(targets, "targets")
     kind = dict(targets.dtypes)["code"]
     open_ = points.select("pgid", "lat", "lon").where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     done: list[DataFrame] = []
@@ -183,7 +183,7 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, square: float = 2.0,
         here = here.withColumns({"_i": i + F.col("_step.i"), "_j": j + F.col("_step.j")}).drop("_step")
         seen = here.join(targets.select("*", *at(F.col("_x"), F.col("_y"))), ["_i", "_j"])
         best = seen.groupBy("pgid", "lat", "lon").agg(F.min(F.struct(away.alias("distance"), F.col("code").alias("code"))).alias("_best"))
-        looked = open_.join(best, ["pgid", "lat", "lon"], "left").persist(StorageLevel.DISK_ONLY)
+        looked = snapshots.written(open_.join(best, ["pgid", "lat", "lon"], "left"), "looked")
         near = F.coalesce(F.col("_best.distance") <= reach, F.lit(False))
         last = reach >= 360
         done.append(looked.where(F.col("_best").isNotNull() if last else near))

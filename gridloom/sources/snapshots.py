@@ -209,3 +209,11 @@ def scratch(spark: SparkSession, name: str) -> str:
         folder = "file://" + tempfile.mkdtemp(prefix="gridloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(table: DataFrame, name: str) -> DataFrame:
+    """The table as files in the shared folder: its lineage ends there."""
+    spark = table.sparkSession
+    path = scratch(spark, name)
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
