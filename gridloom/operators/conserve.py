@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+def observed(seen: Observation) -> dict[str, object] | None:
+    """What an observation has counted after an action; None where the plan was known to be empty, so that
+    nothing ran and nothing was counted."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return None
+
+
 def totals(rows: DataFrame, features: Sequence[str], inside: Column) -> DataFrame:
     """One row: for each feature its total over all rows, over those inside and over those outside."""
     out = []

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import axes, versions
 from ..operators import analytics, assemble, conserve, cover, expand, gridagg, interp, quality, query, resolve, spatial, store
-from ..sources import snapshots
+from ..sources import cube, snapshots
 from . import incremental, registry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1159,6 +1159,44 @@ def incremental_cube(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).select("month_id", "pgid", "n", "best")
 
 
+def _blocks(spark: SparkSession, sf: str) -> cube.Cube:
+    """Suppliers' months as a cube of blocks, 17 cells apart so that they lie in several tiles."""
+    path = snapshots.scratch(spark, "blocks")
+    cells = cell_months(spark, sf).withColumn("pgid", (F.col("pgid") * 17 % 259200 + 1).cast("int"))
+    cube.write(cells.select("month_id", "pgid", "best", "n"), path, ["best", "n"], {"best": "extensive", "n": "extensive"})
+    return cube.Cube(spark, path)
+
+
+@registered(f"""
+WITH {EV}, {CELL} SELECT month_id, CAST(pgid * 17 % 259200 + 1 AS INTEGER) AS pgid, CAST(best AS FLOAT) AS best FROM cells
+WHERE month_id BETWEEN 193 AND 210 AND country_id < 4 AND n > 1
+""")
+def cube_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of some months and nations, with more than one event."""
+    region = cell_regions(spark, sf).where("s_nationkey < 4").select((F.col("pgid") * 17 % 259200 + 1).cast("int").alias("pgid"))
+    return _blocks(spark, sf).load(["best"], region, 193, 210, above={"n": 1})
+
+
+@registered(f"""
+WITH {EV}, {CELL} SELECT 'best' AS feature, count(*) AS n, CAST(sum(best) AS DOUBLE) AS total, CAST(min(best) AS FLOAT) AS least, CAST(max(best) AS FLOAT) AS greatest FROM cells
+UNION ALL SELECT 'n', count(*), CAST(sum(n) AS DOUBLE), CAST(min(n) AS FLOAT), CAST(max(n) AS FLOAT) FROM cells
+""")
+def cube_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """From the zones, without opening a block."""
+    return _blocks(spark, sf).totals()
+
+
+@registered(f"""
+WITH {EV}, {CELL} SELECT count(*) AS n_rows, count(*) FILTER (month_id BETWEEN 190 AND 250 AND pgid > 9) AS n_placed,
+  CAST(sum(best) FILTER (month_id BETWEEN 190 AND 250 AND pgid > 9) AS DOUBLE) AS best FROM cells
+""")
+def frame_to_grid(spark: SparkSession, sf: str) -> DataFrame:
+    frame = query.feature_frame(cell_months(spark, sf).withColumn("pgid", F.when(F.col("pgid") > 9, F.col("pgid")).otherwise(-F.col("pgid"))), ["best", "n"])
+    back = cube.from_feature_frame(frame, ["best", "n"], 190, 250)
+    placed = F.when(F.col("placed"), F.col("best").cast("double"))
+    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.count(placed).alias("n_placed"), F.sum(placed).alias("best"))
+
+
 @registered(f"""
 WITH {EV}, {CELL} SELECT month_id, pgid + 1 AS priogrid_id, CASE WHEN best % 4 = 0 THEN 0.0::DOUBLE ELSE CAST(best AS DOUBLE) END AS best, CAST(n AS DOUBLE) AS n,
   CAST(pgid // 720 + 1 AS DOUBLE) AS "row", CAST(pgid % 720 + 1 AS DOUBLE) AS col FROM cells

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators import expand, resolve
+from ..operators import conserve, expand, resolve
 from ..operators.gridagg import FeatureSpec
 from ..operators.quality import EVENT_TYPES
 from ..sources import snapshots
@@ -114,8 +114,9 @@ class Build:
     def check(self) -> dict[str, object]:
         """The counts, after an action that has computed all rows; raise :class:`NotConserved` where one does
         not equal the sum of its parts."""
-        counts = {k: v for one in self.seen for k, v in one.get.items()}
-        if self._broken(counts):
+        seen = [conserve.observed(one) for one in self.seen]
+        counts = None if None in seen else {k: v for one in seen for k, v in one.items()}
+        if counts is None or self._broken(counts):
             counts = self.recount()
         if broken := self._broken(counts):
             raise NotConserved("; ".join(broken))

@@ -44,6 +44,8 @@ def test_a_build_that_loses_or_multiplies_rows_raises_and_leaves_the_store(spark
         with pytest.raises(registry.NotConserved, match="n_store"):
             registry.viewpoint(store, view, ties=catalogue.TIES).write(path)
         assert sorted(os.listdir(path)) == before and os.listdir(tmp_path) == ["view"]
+    none = registry.viewpoint(store.limit(0), view, ties=catalogue.TIES).run()
+    assert none["n_store"] == none["n_survivors"] == 0
     typed = spark.createDataFrame([("Battles", "2024-01-02"), (None, "2024-02-02"), ("Riots", None)], "event_type string, event_date string")
     assert registry.typed(typed, registry.TYPED_PROFILES["acled_violence_only"]).run() == {"n_input": 3, "n_output": 1, "n_filtered": 2}
 
