@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import snapshots
+
 
 def change(table: DataFrame, unit: str, value: str, out: str = "change") -> DataFrame:
     """Add the difference to the unit's row before; null for its first."""
@@ -41,14 +43,45 @@ def lorenz(table: DataFrame, group: str, unit: str, value: str) -> DataFrame:
     return table.withColumn("share", running / F.sum(value).over(Window.partitionBy(group)))
 
 
-def gini(table: DataFrame, group: str, unit: str, value: str) -> DataFrame:
-    """1 - 2 (sum of c - (first + last) / 2) / n over the cumulative shares c of each group."""
-    c = lorenz(table, group, unit, value).groupBy(group).agg(F.sum("share").alias("s"), F.min("share").alias("a"), F.max("share").alias("b"), F.count(F.lit(1)).alias("n"))
+def gini(table: DataFrame, group: str, unit: str, value: str, spread: bool = False) -> DataFrame:
+    """1 - 2 (sum of c - (first + last) / 2) / n over the cumulative shares c of each group; with ``spread``, by
+    :func:`running`."""
+    rows = lorenz_spread(table, group, unit, value) if spread else lorenz(table, group, unit, value)
+    c = rows.groupBy(group).agg(F.sum("share").alias("s"), F.min("share").alias("a"), F.max("share").alias("b"), F.count(F.lit(1)).alias("n"))
     return c.select(group, (1 - 2 * (F.col("s") - (F.col("a") + F.col("b")) / 2) / F.col("n")).alias("gini"))
 
 
-def ordinal_ranks(table: DataFrame, group: str, value: str, *ties: str) -> DataFrame:
-    """Add ``rank`` from 0 within each group by value, ties by the given columns."""
+def running(table: DataFrame, group: str, value: str, *order: str) -> DataFrame:
+    """Add ``place`` (from 1) and ``running`` (the sum so far of ``value``; null counts as 0), by ``order`` within each
+    group, for groups of any size: rows are sorted by range into many tasks, each adds up its own, and what the
+    tasks before hold of the group is added.  The sorted rows are written to the shared folder.  Equal rows by
+    ``order`` may come in any order."""
+    spark = table.sparkSession
+    kept = table.columns
+    amount = F.coalesce(F.col(value), F.lit(0))
+    ranged = table.repartitionByRange(F.col(group), *order).sortWithinPartitions(group, *order)
+    ranged = snapshots.written(ranged.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "ranged")
+    parts = ranged.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_s"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a task
+    offsets = parts.select(F.col(group).alias("_group"), F.col("_part").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"), F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s"))
+    own = Window.partitionBy("_part", group).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = ranged.withColumns({"_place": F.count(F.lit(1)).over(own), "_sum": F.sum(amount).over(own)})
+    rows = rows.join(offsets, rows[group].eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_of")))
+    return rows.select(*kept, (F.col("_place") + F.col("_n")).cast("long").alias("place"), (F.col("_sum") + F.col("_s")).alias("running"))
+
+
+def lorenz_spread(table: DataFrame, group: str, unit: str, value: str) -> DataFrame:
+    """As :func:`lorenz`, for groups of any size."""
+    rows = running(table, group, value, value, unit)
+    whole = table.groupBy(F.col(group).alias("_g")).agg(F.sum(value).alias("_whole"))
+    return rows.join(whole, rows[group].eqNullSafe(F.col("_g"))).withColumn("share", F.col("running") / F.col("_whole")).drop("place", "running", "_g", "_whole")
+
+
+def ordinal_ranks(table: DataFrame, group: str, value: str, *ties: str, spread: bool = False) -> DataFrame:
+    """Add ``rank`` from 0 within each group by value, ties by the given columns; with ``spread``, by
+    :func:`running`, for groups of any size."""
+    if spread:
+        return running(table, group, value, value, *ties).withColumn("rank", (F.col("place") - 1).cast("int")).drop("place", "running")
     return table.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(value, *ties)) - 1)
 
 
@@ -140,6 +173,29 @@ def quantiles(table: DataFrame, group: str, value: str, at: Sequence[float] = (0
     return out.select(group, "n", "variance", *[F.col("_p")[i].alias(f"p{100 * p:g}") for i, p in enumerate(at)])
 
 
+def sketches(table: DataFrame, keys: Sequence[str], feature: str, unit: str, lg_k: int = 12, k: int = 400) -> DataFrame:
+    """keys, feature, n, and two sketches of the rows of each of ``keys`` that can be stored and merged: of the
+    distinct units with a value other than 0 (``cells``), and of the values' distribution (``spread``)."""
+    value = F.when(~F.isnan(F.col(feature).cast("double")), F.col(feature).cast("double"))
+    return table.groupBy(*keys).agg(
+        F.lit(feature).alias("feature"),
+        F.count(value).alias("n"),
+        F.hll_sketch_agg(F.when(value != 0, F.col(unit)), lg_k).alias("cells"),
+        F.kll_sketch_agg_double(value, k).alias("spread"),
+    )
+
+
+def merged(stored: DataFrame, keys: Sequence[str] = (), at: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95)) -> DataFrame:
+    """keys, feature, n, n_cells and percentiles (p5, p25, ...) of stored sketches put together: no row is read again.
+
+    With the default sizes n_cells is within 5 % of the exact number and a percentile's rank within 1.5 % of
+    its own, nearly always (three standard errors).
+    """
+    out = stored.groupBy(*keys, "feature").agg(F.sum("n").alias("n"), F.hll_union_agg("cells").alias("_cells"), F.kll_merge_agg_double("spread").alias("_spread"))
+    share = lambda p: F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("_spread", F.lit(float(p)))).alias(f"p{100 * p:g}")
+    return out.select(*keys, "feature", "n", F.hll_sketch_estimate("_cells").alias("n_cells"), *[share(p) for p in at])
+
+
 def log_scaled(value: Column, low: float, high: float) -> Column:
     """log(1 + value) of a value held between two bounds; null stays null."""
     held = F.when(value.isNotNull(), F.least(F.greatest(value.cast("double"), F.lit(float(low))), F.lit(float(high))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +12,17 @@ from . import interp
 AMOUNTS = ("best", "low", "high")
 
 
+#: Temporal rules as expressions: (events, months of the span) to whether a row is split, and how shares are rounded.
+TEMPORAL: dict[str, tuple[Callable[[DataFrame, Column], Column], Callable[[Column], Column] | None]] = {
+    "date_end_only": (lambda events, span: F.lit(False), None),
+    "even_split": (lambda events, span: F.col("date_prec") == 5 if "date_prec" in events.columns else F.lit(False), None),
+    "ceil_split": (lambda events, span: (F.col("best") > 0) & (span > 1) & (F.col("best") >= span), F.ceil),
+    "floor_split": (lambda events, span: (F.col("best") > 0) & (span > 1) & (F.col("best") >= span), F.floor),
+}
+#: Temporal rules as table functions of events, partitioned by id.
+TABLE_RULES: dict[str, object] = {}
+
+
 def date_accounting(events: DataFrame) -> DataFrame:
     """One row: n_input = n_dated + n_undated + n_reversed; reversed ones end in a month before their first."""
     start, end = F.coalesce("date_start", "date_end"), F.coalesce("date_end", "date_start")
@@ -36,31 +47,37 @@ def split_months(events: DataFrame, rule: str, amounts: Sequence[str] = AMOUNTS,
     start, end = F.coalesce("date_start", "date_end"), F.coalesce("date_end", "date_start")
     first, last = F.trunc(start, "MM"), F.trunc(end, "MM")
     span = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start) + 1
-    rules = {
-        "date_end_only": F.lit(False),
-        "even_split": F.coalesce(F.col("date_prec") == 5, F.lit(False)) if "date_prec" in events.columns else F.lit(False),
-        "ceil_split": F.coalesce((F.col("best") > 0) & (span > 1) & (F.col("best") >= span), F.lit(False)),
-    }
-    rules["floor_split"] = rules["ceil_split"]
-    if rule not in rules:
-        raise KeyError(f"unknown rule {rule!r}; there are {sorted(rules)}")
+    rules = {n: F.coalesce(condition(events, span), F.lit(False)) for n, (condition, _) in TEMPORAL.items()}
+    known = sorted({*rules, *TABLE_RULES})
+    if rule not in known:
+        raise KeyError(f"unknown rule {rule!r}; there are {known}")
     name = F.lit(rule)
     for source, other in (by_source or {}).items():
-        if other not in rules:
-            raise KeyError(f"unknown rule {other!r}; there are {sorted(rules)}")
+        if other not in known:
+            raise KeyError(f"unknown rule {other!r}; there are {known}")
         name = F.when(F.col("_source_type") == source, other).otherwise(name)
     split = F.lit(False)
     for each, condition in rules.items():
         split = F.when(name == each, condition).otherwise(split)
-    rows = events.where(end.isNotNull()).withColumn("_rule", name).withColumn("_n", F.when(split, span).otherwise(1))
+    dated = events.where(end.isNotNull()).withColumn("_rule", name)
+    functions = sorted({rule, *(by_source or {}).values()} & TABLE_RULES.keys())
+    rows = dated.where(~F.col("_rule").isin(functions)) if functions else dated
+    rows = rows.withColumn("_n", F.when(split, span).otherwise(1))
     backwards = F.raise_error(F.lit("an event that is to be split ends before it begins")).cast("array<date>")
     months = F.when(F.col("_n") < 1, backwards).when(F.col("_n") > 1, F.sequence(first, last, F.expr("interval 1 month"))).otherwise(F.array(last))
     rows = rows.withColumn("date_month", F.explode(months))
     for a in amounts:
         share = F.col(a) / F.col("_n")
-        rounded = F.when(F.col("_rule") == "ceil_split", F.ceil(share).cast("double")).when(F.col("_rule") == "floor_split", F.floor(share).cast("double")).otherwise(share)
+        rounded = share
+        for n, (_, whole) in TEMPORAL.items():
+            rounded = F.when(F.col("_rule") == n, whole(share).cast("double")).otherwise(rounded) if whole else rounded
         rows = rows.withColumn(a, F.when(F.col("_n") > 1, rounded).otherwise(F.col(a).cast("double")))
-    return rows.drop("_rule", "_n")
+    rows = rows.drop("_rule", "_n")
+    for function in functions:
+        own = dated.where(F.col("_rule") == function).drop("_rule")
+        split_rows = TABLE_RULES[function](own.asTable().partitionBy("id"))
+        rows = rows.unionByName(split_rows.select(*[F.col(c).cast(t) for c, t in rows.dtypes]))
+    return rows
 
 
 def weight_map(events: DataFrame, polygons: DataFrame, amount: str = "best", most_precise: int = 3) -> DataFrame:
@@ -166,3 +183,10 @@ def years_to_months(values: DataFrame, crosswalk: DataFrame, key: str, year: str
     cells = crosswalk.where(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
     months = values.withColumn("month_id", F.explode(F.sequence(((F.col(year) - 1980) * 12 + 1).cast("int"), ((F.col(year) - 1980) * 12 + 12).cast("int"))))
     return months.join(cells, key).drop(key, year)
+
+
+#: Spatial rules: (rows by month, current rows of the store, polygons or None) to rows.
+SPATIAL: dict[str, Callable[[DataFrame, DataFrame, DataFrame | None], DataFrame]] = {
+    "passthrough": lambda rows, current, polygons: rows,
+    "proportional": lambda rows, current, polygons: rows if polygons is None else distribute(rows, weight_map(current, polygons), polygons),
+}

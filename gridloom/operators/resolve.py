@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,8 +58,9 @@ def drop_stale(store: DataFrame, kleene: bool = False) -> DataFrame:
     return with_stale(store, kleene).where("not _stale").drop("_stale")
 
 
-#: Priority of source types under each survivorship rule; types not named share the priority 0.
-SURVIVORSHIP = {
+#: Priority of source types under each survivorship rule, by name (types not named share the priority 0) or as a
+#: function of the column.
+SURVIVORSHIP: dict[str, Mapping[str, int] | Callable[[Column], Column]] = {
     "annual_wins": {"annual": 1},
     "dot9_wins": {"dot9": 2, "annual": 1},
 }
@@ -68,9 +69,13 @@ SURVIVORSHIP = {
 def _order(rule: str, ties: Sequence[Column | str]) -> list[Column | str]:
     if rule not in SURVIVORSHIP:
         raise KeyError(f"unknown rule {rule!r}; there are {sorted(SURVIVORSHIP)}")
-    priority = F.lit(0)
-    for kind, value in SURVIVORSHIP[rule].items():
-        priority = F.when(F.col("_source_type") == kind, value).otherwise(priority)
+    priorities, kind = SURVIVORSHIP[rule], F.col("_source_type")
+    if callable(priorities):
+        priority = priorities(kind)
+    else:
+        priority = F.lit(0)
+        for name, value in priorities.items():
+            priority = F.when(kind == name, value).otherwise(priority)
     return [priority.desc(), version_key(F.col("_source_version")).desc(), *ties]
 
 

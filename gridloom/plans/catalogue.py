@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import axes, versions
 from ..operators import analytics, assemble, conserve, cover, expand, gridagg, interp, quality, query, resolve, spatial, store
-from ..sources import cube, snapshots
+from ..sources import cube, difftree, snapshots
 from . import incremental, registry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -596,18 +596,30 @@ def hierarchy_rollup(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- validation and comparison
 
 
-@registered("""
+_DIFF = """
 WITH o AS (SELECT o_orderkey AS k, CAST(floor(o_totalprice) AS BIGINT) AS v FROM orders WHERE o_orderkey % 7 <> 0),
 n AS (SELECT o_orderkey AS k, CAST(floor(o_totalprice) AS BIGINT) + CASE WHEN o_orderkey % 5 = 0 THEN 3 ELSE 0 END AS v FROM orders WHERE o_orderkey % 11 <> 0)
 SELECT coalesce(o.k, n.k) AS k, CASE WHEN o.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' ELSE 'revised' END AS status, coalesce(n.v, 0) - coalesce(o.v, 0) AS delta
 FROM o FULL JOIN n ON o.k = n.k WHERE o.k IS NULL OR n.k IS NULL OR o.v <> n.v
-""")
+"""
+
+
+@registered(_DIFF)
 def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.floor("o_totalprice").alias("v"))
     new = o.where("k % 11 <> 0").withColumn("v", F.col("v") + F.when(F.col("k") % 5 == 0, 3).otherwise(0))
     return quality.snapshot_diff(o.where("k % 7 <> 0"), new, "k", "v")
 
 
+@registered(_DIFF)
+def snapshot_diff_by_tree(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.floor("o_totalprice").alias("v"))
+    old, new = snapshots.scratch(spark, "old"), snapshots.scratch(spark, "new")
+    difftree.write(o.where("k % 7 <> 0"), old, "k")
+    difftree.write(o.where("k % 11 <> 0").withColumn("v", F.col("v") + F.when(F.col("k") % 5 == 0, 3).otherwise(0)), new, "k")
+    return difftree.diff(spark, old, new, "k", "v")
+
+
 @registered(f"""
 WITH {SPANS} SELECT * FROM (
   SELECT 'amounts_ordered' AS rule, count(*) FILTER (NOT (low <= best AND best <= high)) AS n_violations FROM spans
@@ -715,6 +727,41 @@ def lorenz_gini(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.gini(sums, "country_id", "pgid", "v").withColumn("gini", F.round("gini", 6))
 
 
+@registered(f"""
+WITH {EV}, {CELL}, t AS (SELECT pgid, sum(best) AS v FROM cells GROUP BY ALL), c AS (
+  SELECT CAST(sum(v) OVER (ORDER BY v, pgid ROWS UNBOUNDED PRECEDING) AS DOUBLE) / CAST(sum(v) OVER () AS DOUBLE) AS c FROM t)
+SELECT 0 AS everywhere, round(1 - 2 * (sum(c) - (min(c) + max(c)) / 2) / count(*), 6) AS gini FROM c
+""")
+def lorenz_gini_global(spark: SparkSession, sf: str) -> DataFrame:
+    """One group of all cells, in many tasks."""
+    sums = cell_months(spark, sf).groupBy("pgid").agg(F.sum("best").alias("v")).withColumn("everywhere", F.lit(0))
+    return analytics.gini(sums, "everywhere", "pgid", "v", spread=True).withColumn("gini", F.round("gini", 6))
+
+
+@registered(f"""
+WITH {EV}, {CELL} SELECT month_id, pgid, CAST(row_number() OVER (ORDER BY best, month_id, pgid) - 1 AS INTEGER) AS rank,
+  CAST(sum(best) OVER (ORDER BY best, month_id, pgid ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running FROM cells
+""")
+def global_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    rows = cell_months(spark, sf).withColumn("everywhere", F.lit(0))
+    out = analytics.running(rows, "everywhere", "best", "best", "month_id", "pgid")
+    return out.select("month_id", "pgid", (F.col("place") - 1).cast("int").alias("rank"), "running")
+
+
+@registered(f"""
+WITH {EV}, {CELL}, y AS (SELECT (month_id - 1) // 12 + 1980 AS year, * FROM cells), q AS (
+  SELECT year, count(*) AS n, count(DISTINCT pgid) FILTER (best <> 0) AS exact FROM y GROUP BY 1)
+SELECT CAST(year AS INTEGER) AS year, n, true AS cells_close, true AS median_close FROM q
+""")
+def yearly_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Years from monthly sketches, and whether they are as close to the exact values as stated."""
+    rows = cell_months(spark, sf).withColumn("year", (F.floor((F.col("month_id") - 1) / 12) + 1980).cast("int"))
+    years = analytics.merged(analytics.sketches(rows, ["year", "month_id"], "best", "pgid"), ["year"], [0.5])
+    exact = rows.groupBy("year").agg(F.countDistinct(F.when(F.col("best") != 0, F.col("pgid"))).alias("exact"), F.percentile("best", F.array(F.lit(0.485), F.lit(0.515))).alias("near"))
+    both = years.join(exact, "year")
+    return both.select("year", "n", (F.abs(F.col("n_cells") - F.col("exact")) <= 0.05 * F.col("exact")).alias("cells_close"), F.col("p50").between(F.floor(F.col("near")[0]), F.ceil(F.col("near")[1])).alias("median_close"))
+
+
 @registered(f"{NATION_MONTH} SELECT month_id, country_id, CAST(row_number() OVER (PARTITION BY month_id ORDER BY best, country_id) - 1 AS INTEGER) AS rank FROM nm")
 def rank_mobility(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.ordinal_ranks(nation_months(spark, sf), "month_id", "best", "country_id").select("month_id", "country_id", "rank")

@@ -161,11 +161,10 @@ def viewpoint(store: DataFrame, view: Viewpoint, polygons: DataFrame | None = No
     )
     rows = expand.split_months(rows.where(is_("survivor")).drop("_status"), view.temporal, by_source=view.by_source)
     rows = rows.observe(split, n.alias("n_months"), amount.alias("amount_by_month"))
-    distributed = None
-    if polygons is not None and view.spatial == "proportional":
-        current = resolve.drop_stale(store) if view.stale_filter else store
-        rows = expand.distribute(rows, expand.weight_map(current, polygons), polygons)
-        distributed = F.col("_spatial_distributed")
+    if view.spatial not in expand.SPATIAL:
+        raise KeyError(f"no spatial rule {view.spatial!r}; there are {sorted(expand.SPATIAL)}")
+    rows = expand.SPATIAL[view.spatial](rows, resolve.drop_stale(store) if view.stale_filter else store, polygons)
+    distributed = F.col("_spatial_distributed") if "_spatial_distributed" in rows.columns else None
     passes = resolve.passes(view.min_pgid, view.max_violence, view.exclude_precision, distributed)
     rows = rows.observe(filtered, n.alias("n_rows"), _count(passes, "n_kept"), _count(~passes | passes.isNull(), "n_filtered"))
     equations = (("n_store", ("n_stale", "n_superseded", "n_survivors")), ("n_rows", ("n_kept", "n_filtered")))
