@@ -254,6 +254,77 @@ def population_checks(table: DataFrame, value: str, known: Mapping[int, float],
     )
 
 
+def built_checks(table: DataFrame, value: str, known: Mapping[int, float], n_land: int, land: DataFrame | None = None) -> DataFrame:
+    """Seven checks of a (month_id, pgid, value) table of built-up area, which changes at epochs; those of place
+    look at the last month.
+
+    Under 0.5 % off land, under a million in the 60 southernmost rows, more than 5 % of ``n_land`` cells built;
+    a month's total that differs (by more than 1e-6 of it) from that of the month before begins an epoch, and
+    epochs do not shrink; those that begin in a ``known`` year are within 15 % of it.
+    """
+    v, row = F.col(value), axes.pgid_row(F.col("pgid"))
+    sums = {"_total": _if(F.lit(True), v), "_bad": _if(v.isNull() | F.isnan(v.cast("double")), F.lit(1)), "_negative": _if(v < 0, F.lit(1))}
+    sums |= {"_ocean": _if(~F.col("_land"), v), "_south": _if(row < 60, v), "_built": _if(v > 0, F.lit(1))}
+    months = _marked(table, land).groupBy("month_id").agg(*[c.alias(n) for n, c in sums.items()])
+    order = Window.orderBy("month_id")  # a row a month
+    before = F.lag("_total").over(order)
+    begins = before.isNull() | (F.abs(F.col("_total") - before) > 1e-8 + 1e-6 * F.abs(before))
+    months = months.withColumns({"_begins": begins, "_before": before})
+    ratio = F.lit(None).cast("double")
+    for year, total in known.items():
+        ratio = F.when(F.floor((F.col("month_id") - 1) / 12) + axes.EPOCH_YEAR == year, F.col("_total") / total).otherwise(ratio)
+    last = [F.max_by(n, "month_id").alias(n) for n in ("_total", "_ocean", "_south", "_built")]
+    whole = months.withColumn("_ratio", F.when(F.col("_begins"), ratio)).agg(
+        *last,
+        F.sum("_bad").alias("_bad"),
+        F.sum("_negative").alias("_negative"),
+        F.count(F.when(F.col("_begins") & (F.col("_total") < F.col("_before")), 1)).alias("_shrinks"),
+        F.count(F.when(~F.col("_ratio").between(0.85, 1.15), 1)).alias("_off"),
+    )
+    c = F.col
+    return checks(
+        whole,
+        {
+            "no_nan": c("_bad") == 0,
+            "no_negatives": c("_negative") == 0,
+            "ocean_built_negligible": (c("_total") <= 0) | (c("_ocean") * 100 < c("_total") * 0.5),
+            "no_antarctic_built": c("_south") < 1_000_000,
+            "monotonic_epoch_growth": c("_shrinks") == 0,
+            "spatial_coverage": c("_built") * 100 > 5.0 * n_land,
+            "built_area_vs_jrc": c("_off") == 0,
+        },
+    )
+
+
+def covariate_checks(table: DataFrame, features: Sequence[str], main: str, n_land: int, land: DataFrame | None = None, low: float = -0.01, high: float = 1.01) -> DataFrame:
+    """Five checks of a (month_id, pgid, features) table of yearly covariates.
+
+    All values from ``low`` to ``high``, the last month's land cells with a value of ``main`` more than 30 % of
+    ``n_land``, no change of ``main`` within a year, some NaN or null (countries have gaps), and the last
+    month's mean of ``main`` between 0.2 and 0.8.
+    """
+    value = lambda f: F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double"))
+    out = reduce(lambda a, b: a | b, [F.coalesce(~value(f).between(low, high), F.lit(False)) for f in features])
+    gap = reduce(lambda a, b: a | b, [value(f).isNull() for f in features])
+    years = table.groupBy("pgid", F.floor((F.col("month_id") - 1) / 12).alias("_year")).agg((F.max(value(main)) - F.min(value(main)) > 1e-9).alias("_moves"))
+    moving = years.agg(F.count(F.when(F.col("_moves"), 1)).alias("_moving"))
+    months = _marked(table, land).groupBy("month_id").agg(
+        F.count(F.when(out, 1)).alias("_out"), F.count(F.when(gap, 1)).alias("_gaps"), F.count(F.when(F.col("_land"), value(main))).alias("_covered"), F.avg(value(main)).alias("_mean")
+    )
+    whole = months.agg(F.sum("_out").alias("_out"), F.sum("_gaps").alias("_gaps"), F.max_by("_covered", "month_id").alias("_covered"), F.max_by("_mean", "month_id").alias("_mean"))
+    c = F.col
+    return checks(
+        whole.crossJoin(moving),  # rows of one each
+        {
+            "values_in_range": c("_out") == 0,
+            "coverage_adequate": c("_covered") * 100 > 30.0 * n_land,
+            "step_function_holds": c("_moving") == 0,
+            "nan_present": c("_gaps") > 0,
+            "mean_libdem_reasonable": (c("_mean") > 0.2) & (c("_mean") < 0.8),
+        },
+    )
+
+
 def index_checks(table: DataFrame, value: str, low: float = -0.01, high: float = 1.01) -> DataFrame:
     """Three checks of a (month_id, pgid, value) index: some values, all within bounds, one value a cell and year."""
     v = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))

@@ -421,9 +421,92 @@ def year_to_month_broadcast(spark: SparkSession, sf: str) -> DataFrame:
     return expand.years_to_months(yearly(spark, sf), crosswalk, "key").select("pgid", "month_id", "value")
 
 
+_COVARIATES = f"""
+WITH {YEARLY}, top AS (SELECT max(value) AS t FROM yearly), v AS (SELECT key, year, value / t AS a, CASE WHEN key % 5 = 0 THEN NULL ELSE year / 2000.0::DOUBLE END AS b FROM yearly, top WHERE NOT (key % 4 = 1 AND year BETWEEN 1996 AND 1997)),
+s AS (SELECT *, coalesce(lead(year) OVER (PARTITION BY key ORDER BY year), year + 1) AS after FROM v), f AS (SELECT key, y AS year, a, b FROM s, unnest(range(s.year, after)) t(y)),
+c AS (SELECT s_suppkey AS pgid, CAST((year - 1980) * 12 + m AS INTEGER) AS month_id, a, b FROM f JOIN supplier ON s_nationkey = key, generate_series(1, 12) t(m))"""
+
+
+def _covariates(spark: SparkSession, sf: str) -> DataFrame:
+    """Two variables of nations, one of them null for every fifth, with a gap of two years in every fourth."""
+    rows = yearly(spark, sf)
+    top = rows.agg(F.max("value").alias("top"))  # one row
+    values = rows.crossJoin(top).where(~((F.col("key") % 4 == 1) & F.col("year").between(1996, 1997)))
+    b = F.when(F.col("key") % 5 != 0, F.col("year") / 2000.0)
+    values = values.select("key", "year", (F.col("value") / F.col("top")).alias("a"), b.alias("b"))
+    crosswalk = _polygons(spark, sf).withColumnRenamed("code", "key")
+    return registry.build_covariates(values, crosswalk, registry.CovariateView(("a", "b"), "key"))
+
+
+@registered(f"{_COVARIATES} SELECT pgid, month_id, round(a, 6) AS a, round(b, 6) AS b FROM c")
+def covariate_chain(spark: SparkSession, sf: str) -> DataFrame:
+    return _covariates(spark, sf).select("pgid", "month_id", F.round("a", 6).alias("a"), F.round("b", 6).alias("b"))
+
+
+@registered(f"""
+{_COVARIATES}, l AS (SELECT *, pgid % 6 <> 0 AS land FROM c), m AS (SELECT max(month_id) AS last FROM c), y AS (SELECT pgid, (month_id - 1) // 12 AS y, max(a) - min(a) > 1e-9 AS moves FROM c GROUP BY ALL)
+SELECT 'values_in_range' AS "check", count(*) FILTER (NOT a BETWEEN -0.01 AND 1.01 OR NOT b BETWEEN -0.01 AND 1.01) = 0 AS ok FROM l
+UNION ALL SELECT 'coverage_adequate', count(a) FILTER (land AND month_id = last) * 100 > 30.0 * 90 FROM l, m
+UNION ALL SELECT 'step_function_holds', count(*) FILTER (moves) = 0 FROM y
+UNION ALL SELECT 'nan_present', count(*) FILTER (a IS NULL OR b IS NULL) > 0 FROM l
+UNION ALL SELECT 'mean_libdem_reasonable', avg(a) FILTER (month_id = last) > 0.2::DOUBLE AND avg(a) FILTER (month_id = last) < 0.8::DOUBLE FROM l, m
+""")
+def covariate_grid_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells whose number six does not divide stand for land."""
+    rows = _covariates(spark, sf)
+    return quality.covariate_checks(rows, ["a", "b"], "a", 90, rows.where("pgid % 6 <> 0").select("pgid"))
+
+
 # ---------------------------------------------------------------- rasters and assembly
 
 
+_RASTER = """
+WITH px AS (SELECT CAST(1994 + l_linenumber * 2 AS INTEGER) AS epoch, l_partkey % 720 * 10 AS "row", l_suppkey * 37 % 1440 * 10 AS col, sum(l_quantity * (1 + l_linenumber)) AS value
+  FROM lineitem WHERE l_linenumber <= 3 GROUP BY ALL), cells AS (
+  SELECT epoch AS year, CAST((359 - "row" // 60) * 720 + col // 60 + 1 AS INTEGER) AS pgid, CAST(sum(CASE WHEN value = 100 THEN 0 ELSE value END) AS DOUBLE) AS value FROM px WHERE epoch <> 1998 AND "row" < 21600 AND col < 43200 GROUP BY ALL)"""
+
+
+def _raster_months(spark: SparkSession, sf: str, how: str) -> DataFrame:
+    c = F.col
+    rows = table(spark, sf, "lineitem").where("l_linenumber <= 3")
+    rows = rows.groupBy((1994 + c("l_linenumber") * 2).cast("int").alias("epoch"), (c("l_partkey") % 720 * 10).alias("row"), (c("l_suppkey") * 37 % 1440 * 10).alias("col"), "l_linenumber").agg(F.sum("l_quantity").alias("q"))
+    pixels = rows.select("epoch", "row", "col", (c("q") * (1 + c("l_linenumber"))).alias("value"))
+    view = registry.RasterView("value", (1996, 2000), 60, 100.0, how)
+    return registry.build_raster(pixels, axes.months_between(spark, 193, 252), view)
+
+
+@registered(f"""
+{_RASTER}, b AS (SELECT pgid, year AS y0, value AS v0, lead(year) OVER w AS y1, lead(value) OVER w AS v1 FROM cells WINDOW w AS (PARTITION BY pgid ORDER BY year)),
+g AS (SELECT DISTINCT pgid, CAST(m AS INTEGER) AS month_id, floor((m - 1) / 12.0::DOUBLE) + 1980 + ((m - 1) % 12) / 12.0::DOUBLE AS t FROM cells, generate_series(193, 252) u(m))
+SELECT g.pgid, g.month_id, round(coalesce(max(CASE WHEN y1 IS NULL THEN v0 ELSE v0 + (v1 - v0) / (y1 - y0) * (t - y0) END), 0), 4) AS value
+FROM g LEFT JOIN b ON b.pgid = g.pgid AND t >= y0 AND (y1 IS NULL OR t < y1) GROUP BY 1, 2
+""")
+def raster_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Two of three epochs; the third is none of the view's."""
+    return _raster_months(spark, sf, "linear").select("pgid", "month_id", F.round("value", 4).alias("value"))
+
+
+@registered(f"""
+{_RASTER}, g AS (SELECT DISTINCT pgid, m AS month_id FROM cells, generate_series(193, 252) u(m)),
+s AS (SELECT g.pgid, month_id, coalesce((SELECT arg_max(value, year) FROM cells c WHERE c.pgid = g.pgid AND (year - 1980) * 12 + 1 <= g.month_id), 0) AS value FROM g),
+u AS (SELECT month_id, sum(value) AS total FROM s GROUP BY 1), t AS (SELECT *, lag(total) OVER (ORDER BY month_id) AS before FROM u), e AS (SELECT *, before IS NULL OR abs(total - before) > 1e-8 + 1e-6 * abs(before) AS begins FROM t),
+l AS (SELECT * FROM s WHERE month_id = 252)
+SELECT 'no_nan' AS "check", true AS ok UNION ALL SELECT 'no_negatives', count(*) FILTER (value < 0) = 0 FROM s
+UNION ALL SELECT 'ocean_built_negligible', coalesce(sum(value) FILTER (pgid % 3 = 0), 0) * 100 < sum(value) * 0.5::DOUBLE FROM l
+UNION ALL SELECT 'no_antarctic_built', coalesce(sum(value) FILTER ((pgid - 1) // 720 < 60), 0) < 1000000 FROM l
+UNION ALL SELECT 'monotonic_epoch_growth', count(*) FILTER (begins AND total < before) = 0 FROM e
+UNION ALL SELECT 'spatial_coverage', count(*) FILTER (value > 0) * 100 > 5.0 * 1000 FROM l
+UNION ALL SELECT 'built_area_vs_jrc', count(*) FILTER (begins AND (month_id - 1) // 12 + 1980 = 1996 AND NOT total / 40000.0::DOUBLE BETWEEN 0.85 AND 1.15) = 0 FROM e
+""")
+def built_grid_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells whose number three does not divide stand for land."""
+    rows = _raster_months(spark, sf, "step")
+    return quality.built_checks(rows, "value", {1996: 40_000.0}, 1000, rows.where("pgid % 3 <> 0").select("pgid"))
+
+
+# ---------------------------------------------------------------- rasters
+
+
 @registered("""
 SELECT CAST(floor((p_partkey // 60 + 3) / 10.0) AS INTEGER) AS block_row, CAST(floor((p_partkey % 60) / 10.0) AS INTEGER) AS block_col,
        CAST(sum(CASE WHEN p_size = 7 THEN 0 ELSE p_size END) AS DOUBLE) AS value FROM part GROUP BY ALL

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..operators import conserve, expand, resolve
+from ..operators import conserve, expand, gridagg, interp, resolve
 from ..operators.gridagg import FeatureSpec
 from ..operators.quality import EVENT_TYPES
 from ..sources import snapshots
@@ -88,6 +88,70 @@ TYPED_FEATURES = (
 )
 
 
+@dataclass(frozen=True)
+class CovariateView:
+    """Yearly variables of countries or regions: their names, the key, and how gaps between years are filled."""
+
+    variables: tuple[str, ...]
+    key: str
+    how: str = "step"
+
+
+@dataclass(frozen=True)
+class RasterView:
+    """Rasters of epochs: pixels a cell's side, the value of missing ones, and how months between are filled."""
+
+    name: str
+    epochs: tuple[int, ...]
+    pixels_per_cell: int
+    nodata: float
+    how: str = "linear"
+
+
+# Variables, keys, epochs and pixels of the covariates.
+COVARIATES: Registry[CovariateView] = Registry("covariate")
+COVARIATES.register(
+    "vdem",
+    CovariateView(
+        (
+            "v2xcl_dmove", "v2xeg_eqdr", "v2xpe_exlsocgr", "v2x_clphy", "v2xcl_prpty", "v2x_ex_military", "v2x_ex_party", "v2x_horacc",
+            "v2xnp_client", "v2xnp_regcorr", "v2xpe_exlgeo", "v2x_veracc", "v2xpe_exlpol", "v2x_diagacc", "v2x_divparctrl", "v2xeg_eqprotec",
+            "v2x_genpp", "v2xpe_exlgender", "v2x_hosabort", "v2x_libdem", "v2xcl_rol", "v2x_accountability",
+        ),
+        "country_text_id",
+    ),
+)
+COVARIATES.register("shdi", CovariateView(("shdi", "healthindex", "edindex", "incindex"), "gdl_code"))
+RASTERS: Registry[RasterView] = Registry("raster")
+RASTERS.register("ghspop", RasterView("pop_count", (1975, 1980, 1985, 1990, 1995, 2000, 2005, 2010, 2015, 2020, 2025, 2030), 60, -200.0))
+
+
+def build_covariates(values: DataFrame, crosswalk: DataFrame, view: CovariateView) -> DataFrame:
+    """(pgid, month_id, variables) of yearly values (the key, year, variables) for the cells of the key in
+    ``crosswalk`` (pgid, key); all variables in one pass.  Variables that the values lack are an error; years from
+    a key's first to its last that it lacks repeat the year before (``step``)."""
+    missing = [v for v in (view.key, "year", *view.variables) if v not in values.columns]
+    if missing:
+        raise ValueError(f"missing columns: {missing}")
+    rows = values.select(view.key, F.col("year").cast("int").alias("year"), *view.variables)
+    if view.how == "step":
+        after = F.coalesce(F.lead("year").over(Window.partitionBy(view.key).orderBy("year")), F.col("year") + 1)
+        rows = rows.withColumn("_after", after).withColumn("year", F.explode(F.sequence(F.col("year"), F.col("_after") - 1))).drop("_after")
+    return expand.years_to_months(rows, crosswalk, view.key)
+
+
+def build_raster(pixels: DataFrame, months: DataFrame, view: RasterView) -> DataFrame:
+    """(pgid, month_id, value) of pixels (epoch, row, col, value) of the view's epochs: sums by cell, and months
+    between epochs filled; an epoch counts from its January."""
+    at = lambda c: F.floor(F.col(c) / view.pixels_per_cell).cast("int")
+    value = F.when((F.col("value") == view.nodata) | (F.col("value") < 0), 0.0).otherwise(F.col("value").cast("double"))
+    cells = pixels.where(F.col("epoch").isin(list(view.epochs))).groupBy("epoch", gridagg.raster_block_to_pgid(at("row"), at("col")).alias("pgid")).agg(F.sum(value).alias(view.name))
+    if view.how == "linear":
+        return interp.linear(cells.withColumnRenamed("epoch", "year"), months, "pgid", view.name)
+    january = ((F.col("epoch") - 1980) * 12 + 1).cast("int")
+    return interp.step(cells.select("pgid", january.alias("month_id"), view.name), months, "pgid", view.name)
+
+
 class NotConserved(ValueError):
     """Rows were lost or multiplied on the way."""
 

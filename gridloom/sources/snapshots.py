@@ -104,8 +104,30 @@ def read_pages(spark: SparkSession, path: str, schema: T.StructType, results: st
     return spark.read.schema(envelope).json(path, multiLine=True).select(F.inline(results))
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV with a header, only the columns asked for."""
+def assert_complete(pages: DataFrame, total: str, results: str = "Result", share: float = 0.01, number: int = 1100) -> int:
+    """Number of events on landed pages (with the count that the source stated, ``total``); raise ValueError where
+    they fall short of it by more than ``share`` of it and by more than ``number``."""
+    one = pages.agg(F.coalesce(F.sum(F.size(results)), F.lit(0)).alias("n"), F.max(total).alias("stated")).head()
+    short = (one["stated"] or 0) - one["n"]
+    if short > number and short > share * one["stated"]:
+        raise ValueError(f"{one['stated']} events are stated and {one['n']} are there: {short} are missing")
+    return one["n"]
+
+
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    """CSV with a header, only the columns asked for.  With a schema (of columns of the file, in any order) the
+    files are read once and a column's type does not depend on what is in them."""
+    if schema is not None:
+        missing = sorted(set(columns) - set(schema.fieldNames()))
+        if missing:
+            raise ValueError(f"missing columns: {missing}")
+        names = spark.read.csv(path, header=True).columns  # the header alone
+        missing = sorted(set(columns) - set(names))
+        if missing:
+            raise ValueError(f"missing columns: {missing}")
+        kinds = {f.name: f.dataType for f in schema.fields}
+        whole = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
+        return spark.read.csv(path, header=True, schema=whole, enforceSchema=False).select(*columns)
     table = spark.read.csv(path, header=True, inferSchema=True)
     missing = sorted(set(columns) - set(table.columns))
     if missing:
