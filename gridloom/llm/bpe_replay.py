@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import small_batches
+from .storage import small_batches, trim_memory
 
 #: Words and cuts whose ids a task keeps before it forgets them all.
 _WORDS_KEPT = 400_000
@@ -246,6 +246,7 @@ class _Known:
 
 def _encoder(path: str, pattern: str, cut_at_spaces: bool):
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        trim_memory()
         find = regex.compile(pattern).findall
         known = _Known(MergeReplay(load_ranks(path)), find)
 
@@ -315,33 +316,50 @@ def _encoder(path: str, pattern: str, cut_at_spaces: bool):
     return encode
 
 
+def _text_of(path: str):
+    """A function from packed ids to the bytes they stand for."""
+    tokens = load_ranks(path)
+    ids = np.fromiter(tokens.values(), np.int64, len(tokens))
+    size = np.zeros(ids.max() + 1, np.int64)
+    size[ids] = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    start = np.zeros(len(size), np.int64)
+    start[ids] = np.cumsum(size[ids]) - size[ids]
+    letters = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def text_of(packed: bytes | None) -> bytes:
+        ids = np.frombuffer(packed or b"", "<u4")
+        out = []
+        for at in range(0, len(ids), _DECODED_AT_ONCE):
+            part = ids[at : at + _DECODED_AT_ONCE]
+            length = size[part]
+            stop = np.cumsum(length)
+            shift = np.repeat(start[part] - stop + length, length)
+            out.append(letters[np.arange(len(shift)) + shift].tobytes())
+        return b"".join(out)
+
+    return text_of
+
+
 def _decoder(path: str):
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = load_ranks(path)
-        ids = np.fromiter(tokens.values(), np.int64, len(tokens))
-        size = np.zeros(ids.max() + 1, np.int64)
-        size[ids] = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        start = np.zeros(len(size), np.int64)
-        start[ids] = np.cumsum(size[ids]) - size[ids]
-        letters = np.frombuffer(b"".join(tokens), np.uint8)
-
-        def text_of(packed: bytes | None) -> bytes:
-            ids = np.frombuffer(packed or b"", "<u4")
-            out = []
-            for at in range(0, len(ids), _DECODED_AT_ONCE):
-                part = ids[at : at + _DECODED_AT_ONCE]
-                length = size[part]
-                stop = np.cumsum(length)
-                shift = np.repeat(start[part] - stop + length, length)
-                out.append(letters[np.arange(len(shift)) + shift].tobytes())
-            return b"".join(out)
-
+        text_of = _text_of(path)
         for packed in batches:
             yield pd.Series([text_of(b) for b in packed], dtype=object)
 
     return decode
 
 
+def _round_tripper(path: str, pattern: str, cut_at_spaces: bool):
+    encode = _encoder(path, pattern, cut_at_spaces)
+
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        text_of = _text_of(path)
+        for ids in encode(batches):
+            yield pd.DataFrame({"ids": ids, "text": pd.Series([text_of(b) for b in ids], dtype=object)})
+
+    return both
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "token_ids", cut_at_spaces: bool = False) -> DataFrame:
     """Add ``out``: the ids of the whole text as little-endian unsigned 32-bit integers.
 
@@ -359,3 +377,11 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
 def decode(encoded: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     """Add ``out``: the bytes that the ids of :func:`encode` stand for; null ids give none."""
     return small_batches(encoded).withColumn(out, F.pandas_udf(_decoder(path), T.BinaryType())(F.col(f"`{ids}`")))
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "token_ids", back: str = "decoded", cut_at_spaces: bool = False) -> DataFrame:
+    """:func:`encode` and :func:`decode` of what it gives, in one pass and one Python worker a task: adds ``out``
+    and ``back``, with the same rules for nulls, repeats, clashing names and empty tables."""
+    udf = F.pandas_udf(_round_tripper(path, pattern, cut_at_spaces), "ids binary, text binary")
+    coded = small_batches(docs).withColumn("_both", udf(F.col(f"`{text}`")))
+    return coded.withColumns({out: F.col("_both.ids"), back: F.col("_both.text")}).drop("_both")

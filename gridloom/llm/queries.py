@@ -56,7 +56,7 @@ def byte_bpe() -> tuple[str, str]:
 def op6_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = byte_bpe()
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe_replay.decode(bpe_replay.encode(docs, path, pattern, cut_at_spaces=True).drop("text"), path)
+    coded = bpe_replay.round_trip(docs, path, pattern, cut_at_spaces=True)
     return coded.select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import threading
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -90,3 +93,14 @@ def small_batches(df: DataFrame) -> DataFrame:
     if not 0 < int(conf.get(key)) <= TEXT_ROWS:
         conf.set(key, str(TEXT_ROWS))
     return df
+
+
+def trim_memory() -> None:
+    """Give back to the system what earlier tasks have left free in this worker process, which tasks of other
+    stages use again."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -615,3 +615,11 @@ def test_tables_are_dropped_and_a_cluster_needs_a_shared_folder(spark, docs):
 def test_folds_are_those_of_zlib(spark):
     rows = spark.range(200).withColumnRenamed("id", "doc_id").select("doc_id", q._fold(4, 2).alias("f")).collect()
     assert all(r["f"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+
+
+def test_round_trip_equals_encoding_and_decoding(spark, awkward):
+    path, pattern = q.byte_bpe()
+    plain = bpe_replay.decode(bpe_replay.encode(awkward, path, pattern), path)
+    both = bpe_replay.round_trip(awkward.withColumn("decoded", F.lit(1)), path, pattern)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, both.select(plain.columns).collect()))
+    assert bpe_replay.round_trip(awkward.limit(0), path, pattern).count() == 0
