@@ -72,7 +72,7 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and whether decoding them gives its text back; a null text has no ids and
     counts as empty.  Extra columns are dropped; an empty table gives an empty one."""
     path, pattern = q.byte_bpe()
-    coded = bpe_replay.decode(bpe_replay.encode(docs.select("doc_id", "source", "text"), path, pattern, cut_at_spaces=True), path)
+    coded = bpe_replay.round_trip(docs.select("doc_id", "source", "text"), path, pattern, cut_at_spaces=True)
     return coded.select(
         "doc_id",
         "source",
