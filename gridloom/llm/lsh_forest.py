@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .storage import drop_since, mark, materialise, small_batches
+from .storage import drop_since, mark, materialise, small_batches, trim_memory
 from .words import mix, shingle_hashes, word_hashes
 
 HASHES, TREES, SHORTEST, DEEPEST, CROWD = 128, 32, 4, 8, 4
@@ -91,6 +91,7 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "tree": 0, "label": None, "crowded": crowded})
     if carried is not None:
         yield pd.DataFrame({"a": [carried[1]], "b": pd.array([None], "Int64"), "tree": [carried[0]], "label": [last], "crowded": False})
+    trim_memory()
 
 
 def _ends(tree: np.ndarray, node: np.ndarray, label: pd.Series, i: int) -> pd.DataFrame:
@@ -195,30 +196,31 @@ def _confirmer(num: int, den: int):
 
 
 def _tile(num: int, den: int):
-    """Links of a block of classes with those of one tile of their group, by an index from shingle to class."""
+    """Links between the components of a block of classes and those of one tile of their group, by an index from
+    shingle to class: one for each two components, however many of their classes are alike."""
 
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out: set[tuple[int, int]] = set()
         if len(asked) and len(held):
             sets = [np.frombuffer(s, np.uint64) for s in held["set"]]
-            nodes, lengths = held["node"].to_numpy(np.int64), np.array([len(s) for s in sets])
+            theirs, lengths = held["component"].to_numpy(np.int64), np.array([len(s) for s in sets])
             owner = np.repeat(np.arange(len(sets)), lengths)
             flat = np.concatenate(sets)
             order = np.argsort(flat, kind="stable")
             flat, owner = flat[order], owner[order]
-            for node, packed in zip(asked["node"], asked["set"], strict=True):
+            for own, packed in zip(asked["component"].astype("int64"), asked["set"], strict=True):
                 s = np.frombuffer(packed, np.uint64)
                 first, last = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
                 hits = np.concatenate([owner[i:j] for i, j in zip(first, last, strict=True)])
                 both = np.bincount(hits, minlength=len(sets))
-                linked = (den * both >= num * (lengths + len(s) - both)) & (nodes != node)
-                out += [(min(node, m), max(node, m)) for m in nodes[linked].tolist()]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+                linked = (den * both >= num * (lengths + len(s) - both)) & (theirs != own)
+                out.update((min(own, c), max(own, c)) for c in set(theirs[linked].tolist()))
+        return pd.DataFrame(sorted(out), columns=["a", "b"]).astype("int64")
 
     return search
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, slack: float = SLACK) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs``.
 
     Linked are texts whose sets of distinct ``width``-word shingles have den * intersection >= num *
@@ -226,6 +228,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     that has it.  Null or white texts have no shingles and no links, nor have rows without doc_id
     (component null, kept); rows of one doc_id are one document; extra columns are not looked at; an
     empty table gives an empty one.
+
+    Of candidates between components only those are compared whose signatures agree to within ``slack`` of the
+    wanted likeness; ``slack=1.0`` compares all.
     """
     began = mark()
     table = materialise(signed(docs, width), "signed")
@@ -251,7 +256,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         return materialise(_both(pairs, sets, "set").select("a", "b", confirm("set_a", "set_b").alias("c")).select("a", "b", "c.linked", "c.likeness"), "tested")
 
     def promising(pairs: DataFrame, *more: str) -> DataFrame:
-        return _both(pairs, sigs, "sig").withColumn("e", _estimate("sig_a", "sig_b")).where(F.col("e") >= num / den - SLACK).select("a", "b", *more).distinct()
+        return _both(pairs, sigs, "sig").withColumn("e", _estimate("sig_a", "sig_b")).where(F.col("e") >= num / den - slack).select("a", "b", *more).distinct()
 
     def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs with the components of their ends, where those differ."""
@@ -286,8 +291,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     held = materialise(inside.join(cuts, "group").join(sets, "node"), "rest")
     part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asked = held.where(F.col("component") != F.col("largest")).select(*[F.col(c).alias(c) for c in ("node", "group", "set")], part("blocks").alias("block"), each("tiles").alias("tile"))
-    held = held.select("node", "group", "set", part("tiles").alias("tile"), each("blocks").alias("block"))
+    asked = held.where(F.col("component") != F.col("largest")).select(*[F.col(c).alias(c) for c in ("node", "group", "component", "set")], part("blocks").alias("block"), each("tiles").alias("tile"))
+    held = held.select("node", "group", "component", "set", part("tiles").alias("tile"), each("blocks").alias("block"))
     keys = "group", "tile", "block"
     late = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(_tile(num, den), "a long, b long")
     links = links.unionByName(materialise(late.distinct(), "late"))

@@ -623,3 +623,53 @@ def test_round_trip_equals_encoding_and_decoding(spark, awkward):
     both = bpe_replay.round_trip(awkward.withColumn("decoded", F.lit(1)), path, pattern)
     assert sorted(map(str, plain.collect())) == sorted(map(str, both.select(plain.columns).collect()))
     assert bpe_replay.round_trip(awkward.limit(0), path, pattern).count() == 0
+
+
+def linked_components(rows: list[tuple[int, str | None]], width: int) -> dict[int, int]:
+    """As :func:`exact_components`, by an index of the rarest shingles that two linked sets must share."""
+    sets = {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} or ({tuple(w)} if w else set())
+    count = defaultdict(int)
+    for s in sets.values():
+        for x in s:
+            count[x] += 1
+    index, parent = defaultdict(list), {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i, s in sets.items():
+        rare = sorted(s, key=lambda x: (count[x], x))[: len(s) - -(-4 * len(s) // 5) + 1]
+        for j in {j for x in rare for j in index[x]}:
+            both = len(s & sets[j])
+            if 100 * both >= 80 * (len(s) + len(sets[j]) - both):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+        for x in rare:
+            index[x].append(i)
+    return {i: root(i) for i in sets}
+
+
+@pytest.mark.parametrize("size, slack", [("sf0.01", 1.0), ("sf0.1", lsh_forest.SLACK)])
+def test_no_link_is_lost_in_the_given_documents(spark, size, slack):
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select("doc_id", "text")
+    want = linked_components([tuple(r) for r in docs.collect()], 2)
+    got = {r["doc_id"]: r["component_id"] for r in lsh_forest.near_duplicates(docs, 2, slack=slack).collect()}
+    assert got == want and len(set(want.values())) < len(want)
+
+
+def test_tiles_give_one_link_for_two_components():
+    rng = np.random.default_rng(1)
+    base = np.sort(rng.integers(0, 2**63, 200).astype(np.uint64))
+    near = lambda i: np.sort(np.concatenate([base[i % 5 :], rng.integers(0, 2**63, 2).astype(np.uint64)]))
+    table = lambda nodes, component: pd.DataFrame({"node": nodes, "component": component, "set": [near(i).tobytes() for i in nodes]})
+    asked = pd.concat([table(range(100, 110), 100), table([200], 200)])
+    held = pd.concat([table(range(50), 0), asked])
+    out = lsh_forest._tile(80, 100)(asked, held)
+    assert sorted(map(tuple, out.to_numpy().tolist())) == [(0, 100), (0, 200), (100, 200)]
+    assert len(lsh_forest._tile(80, 100)(asked[:0], held)) == 0
