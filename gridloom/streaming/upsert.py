@@ -74,11 +74,12 @@ def _append(log: str):
     return batch
 
 
-def start(spark: SparkSession, landing: str, schema: T.StructType, log: str, checkpoint: str, key: str = "id", timestamp: str = "_ingested_at", forget: int | None = None, files: int | None = None) -> StreamingQuery:
-    """Take in what lies in a landing folder (``files`` of it a batch), and end."""
+def start(spark: SparkSession, landing: str, schema: T.StructType, log: str, checkpoint: str, key: str = "id", timestamp: str = "_ingested_at", files: int | None = None) -> StreamingQuery:
+    """Take in what lies in a landing folder (``files`` of it a batch), and end.  Timers (``forget`` of :func:`changes`)
+    are for queries that go on."""
     reader = spark.readStream.schema(schema)
     reader = reader.option("maxFilesPerTrigger", files) if files else reader
-    out = changes(reader.parquet(landing), key, timestamp, forget)
+    out = changes(reader.parquet(landing), key, timestamp)
     return out.writeStream.foreachBatch(_append(log)).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 

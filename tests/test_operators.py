@@ -10,7 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from gridloom.functions import axes, versions
+from gridloom.functions import axes, rings, versions
 from gridloom.operators import analytics, assemble, conserve, expand, gridagg, interp, quality, query, resolve, spatial, store
 from gridloom.plans import registry
 from gridloom.sources import ledger, snapshots
@@ -455,7 +455,7 @@ def test_common_area_is_that_of_many_points():
         angles = [np.sort(rng.uniform(0, 2 * np.pi, 9)) for _ in range(2)]
         one, other = ((np.c_[np.cos(a), np.sin(a)] * rng.uniform(0.2, 1, (9, 1)) + rng.uniform(-0.3, 0.3, 2)) for a in angles)
         x = np.linspace(-1.4, 1.4, 57)
-        inside = lambda p: np.array([spatial._crossings(p, u, v) % 2 for v in x for u in x])  # noqa: B023, E731
+        inside = lambda p: np.array([rings.crossings(p, u, v) % 2 for v in x for u in x])  # noqa: B023, E731
         wanted = float((inside(one) * inside(other)).mean()) * 2.85**2
         assert spatial._common_area([one.ravel()], [other.ravel()]) == pytest.approx(wanted, abs=0.06)
 
