@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import axes, versions
 from ..operators import analytics, assemble, conserve, cover, expand, gridagg, interp, quality, query, resolve, spatial, store
@@ -1500,9 +1499,3 @@ def rows_of_level(spark: SparkSession, sf: str) -> DataFrame:
     parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_brand")
     least = parts.agg(F.min("p_brand")).head()[0]
     return assemble.of_level(parts, "p_brand", least).select("p_partkey", "p_size")
-
-
-def feature_columns() -> T.StructType:
-    """Schema of :func:`grid_month_features`, with each feature's aggregation type as metadata."""
-    fields = [T.StructField("month_id", T.IntegerType()), T.StructField("pgid", T.IntegerType())]
-    return T.StructType(fields + [T.StructField(f.name, T.LongType(), True, {"agg_type": "extensive"}) for f in registry.CONFLICT_FEATURES])
