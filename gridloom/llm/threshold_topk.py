@@ -1,26 +1,29 @@
 """Exact top-k inner products by the threshold algorithm.
 
-Vectors are dealt to shards and queries to blocks; every (block, shard) pair is one group of bounded
-size.  A shard sorts each dimension once.  For a query, lists are read from their best end (the
+Vectors are dealt to shards of bounded size, and a task sorts each dimension of its shard once; queries
+go to the shards and stream past the lists.  For a query, lists are read from their best end (the
 largest components where the query's is positive, the smallest where it is negative), twice as deep
 each time; vectors met for the first time are scored in full, and reading stops when the score that
 an unseen vector could have at most, the bound, is below the k-th best score so far.  A tie with the
 bound reads on, because an unseen vector might tie with a smaller id.
 
-The first shard is searched before the others; its k-th score is a floor for each query there, so
-that they can stop without k vectors of their own and return only what may still count.
+Each query is searched in one shard first, its home; its k-th score there is a floor for it in the
+others, so that they can stop without k vectors of their own and return only what may still count.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .storage import materialise
 
-#: Rows of a shard and of a block at most; smaller tables have smaller shards, so that all tasks have work.
+#: Rows of a shard at most (smaller tables have smaller shards, so that all tasks have work), and queries answered at a time.
 SHARD_ROWS = 16384
 QUERY_ROWS = 2048
 STEP = 64
@@ -87,31 +90,40 @@ class Lists:
         return self.ids[kept], scores
 
 
-def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
-    lengths = vectors.map(len).to_numpy()
-    flat = np.concatenate([np.asarray(v, np.int64) for v in vectors]) if lengths.sum() else np.zeros(0, np.int64)
+def _matrix(vectors: pa.ListArray, width: int) -> np.ndarray:
+    lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
     out = np.zeros((len(vectors), width), np.int64)
-    out[np.arange(width) < lengths[:, None]] = flat
+    out[np.arange(width) < lengths[:, None]] = vectors.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
-def _cell(k: int):
-    def search(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int, int]] = []
-        if len(queries) and len(candidates):
-            width = max(queries["v"].map(len).max(), candidates["v"].map(len).max())
-            q, x = _matrix(queries["v"], width), _matrix(candidates["v"], width)
-            largest = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(x.astype(float)).max(initial=0)) * width
-            kind = np.float64 if largest < 2**53 else np.int64 if largest < 2**62 else object
-            lists = Lists(candidates["vec_id"].to_numpy(np.int64), x.astype(kind))
-            # pandas has longs beside nulls as doubles: a floor may be too low, never too high
-            floors = [None if pd.isna(f) or abs(f) > 2**62 else int(f) - 1024 * (abs(f) >= 2**53) for f in queries["floor"]]
-            for own, query, floor in zip(queries["vec_id"].to_numpy(np.int64), q.astype(kind), floors, strict=True):
-                ids, scores = lists.search(query, own, k, floor)
-                out += [(int(own), int(i), min(max(int(s), _LONG.min), _LONG.max)) for i, s in zip(ids, scores, strict=True)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
-
-    return search
+def _searcher(k: int, width: int, query_rows: int):
+    """One shard's rows, then the queries that come to it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, rows, lists = [np.zeros(0, np.int64)], [np.zeros((0, width), np.int64)], {}
+        for batch in batches:
+            asks = batch.column("is_query").to_numpy(zero_copy_only=False).astype(bool)
+            held = batch.filter(pa.array(~asks))
+            ids.append(held.column("vec_id").to_numpy(zero_copy_only=False))
+            rows.append(_matrix(held.column("v"), width))
+            queries = batch.filter(pa.array(asks))
+            for at in range(0, len(queries), query_rows):
+                some = queries.slice(at, query_rows)
+                if len(ids) > 1:  # the queries come behind all rows
+                    ids, rows = [np.concatenate(ids)], [np.concatenate(rows)]
+                q = _matrix(some.column("v"), width)
+                largest = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(rows[0].astype(float)).max(initial=0)) * width
+                kind = np.float64 if largest < 2**53 else np.int64 if largest < 2**62 else object
+                if kind not in lists:
+                    lists[kind] = Lists(ids[0], rows[0].astype(kind))
+                out: list[tuple[int, int, int]] = []
+                for own, query, floor in zip(some.column("vec_id").to_pylist(), q.astype(kind), some.column("floor").to_pylist(), strict=True):
+                    best, scores = lists[kind].search(query, own, k, floor)
+                    out += [(own, int(i), min(max(int(s), _LONG.min), _LONG.max)) for i, s in zip(best, scores, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in range(3)], ["query_id", "vec_id", "score"])
+
+    return run
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
@@ -124,22 +136,24 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, shard_rows: int
     given as the range's end.
     """
     spark = candidates.sparkSession
-    counts = candidates.agg(F.count(F.lit(1)).alias("n")).crossJoin(queries.agg(F.count(F.lit(1)).alias("m"))).head()
-    blocks = max(1, -(-counts["m"] // query_rows))
-    shards = max(1, -(-counts["n"] // shard_rows), min(-(-counts["n"] // 2048), spark.sparkContext.defaultParallelism // blocks + 1))
-    spread = lambda first, n: F.explode(F.sequence(F.lit(first), F.lit(n - 1)))
-    dealt = lambda df, n, salt: df.select(F.col("vec_id").alias("vec_id"), F.col("v").alias("v"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)).cast("int").alias(salt))
-    left = dealt(queries.dropDuplicates(["vec_id", "v"]), blocks, "block")
-    right = dealt(candidates, shards, "shard").withColumn("block", spread(0, blocks))
-
-    def searched(left: DataFrame, right: DataFrame) -> DataFrame:
-        return left.groupBy("block", "shard").cogroup(right.groupBy("block", "shard")).applyInPandas(_cell(k), _OUT)
-
-    found = searched(left.withColumns({"floor": F.lit(None).cast("long"), "shard": F.lit(0)}), right.where("shard = 0"))
+    counts = candidates.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width")).crossJoin(queries.agg(F.max(F.size("v")).alias("other"))).head()
+    width = max(counts["width"] or 0, counts["other"] or 0)
+    shards = max(1, -(-counts["n"] // shard_rows), min(-(-counts["n"] // 2048), spark.sparkContext.defaultParallelism))
+    none = F.lit(None).cast("long")
+    shard_of = lambda *c: F.pmod(F.xxhash64(*c), F.lit(shards)).cast("int")
+    rows = candidates.select("vec_id", "v", none.alias("floor"), F.lit(False).alias("is_query"), shard_of("vec_id", "v").alias("shard"))
+    asked = queries.dropDuplicates(["vec_id", "v"]).select("vec_id", "v", none.alias("floor"), F.lit(True).alias("is_query"), shard_of("vec_id").alias("shard"))
+
+    def searched(asked: DataFrame) -> DataFrame:
+        both = rows.unionByName(asked).repartitionById(shards, F.col("shard")).sortWithinPartitions("is_query")
+        return both.mapInArrow(_searcher(k, width, query_rows), _OUT)
+
+    found = searched(asked)
     if shards > 1:
-        found = materialise(found, "first-shard")
+        found = materialise(found, "home-shards")
         floors = found.groupBy("query_id").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
-        floored = left.join(floors.select(F.col("query_id").alias("vec_id"), "floor"), "vec_id", "left")
-        found = found.unionByName(searched(floored.withColumn("shard", spread(1, shards)), right.where("shard > 0")))
+        floored = asked.drop("floor").join(floors.select(F.col("query_id").alias("vec_id"), "floor"), "vec_id", "left")
+        others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("shard"))
+        found = found.unionByName(searched(floored.withColumn("shard", F.explode(others))))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
