@@ -56,9 +56,11 @@ def matching_rule(rules: Sequence[tuple[str, str]] = RULES) -> tuple[Column, Col
 def templates(urls: DataFrame, siblings: int = 16, rare: float = 4.0, z: float = 2.0) -> DataFrame:
     """host, path, template and counts for each distinct (host, path) of ``urls`` (host, path, verdict).
 
-    There are as many rounds as levels that several paths share: where only one path goes on below a
-    node, all its further segments are only children, which no rule tells apart, so they are wildcards.
-    What a round joins are plain tables, so that Spark can split a host or segment with many paths.
+    An only child is never told apart from its siblings, so it is a wildcard: below a node with one child
+    all paths go on together, in one round, to where they part, whatever paths end on the way, and a path
+    that goes on alone goes to its end.  So there are as many rounds as places where paths part, one behind
+    the other, and chains between them.  What a round joins are plain tables, so that Spark can split a host
+    or segment with many paths.
     """
     counted = urls.groupBy("host", "path").agg(
         F.count(F.lit(1)).alias("n"),
@@ -67,18 +69,17 @@ def templates(urls: DataFrame, siblings: int = 16, rare: float = 4.0, z: float =
     )
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     rows = materialise(
-        counted.withColumn("segments", segments).withColumn("blocked", F.coalesce("blocked", F.lit(0))).withColumn("template", F.lit("")),
+        counted.withColumn("rest", segments).withColumn("blocked", F.coalesce("blocked", F.lit(0))).withColumn("template", F.lit("")),
         "urls-0",
     )
     done = None
-    level = 0
     while True:
-        finished = rows.where(F.size("segments") <= level)
+        finished = rows.where(F.size("rest") == 0)
         done = finished if done is None else done.unionByName(finished)
-        deeper = rows.where(F.size("segments") > level).withColumn("segment", F.element_at("segments", level + 1))
+        deeper = rows.where(F.size("rest") > 0).withColumn("segment", F.element_at("rest", 1))
         sums = [F.sum(c).alias(c) for c in ("n", "blocked", "labelled")]
         child = materialise(deeper.groupBy("host", "template", "segment").agg(*sums, F.count(F.lit(1)).alias("paths")), "children")
-        node = child.groupBy("host", "template").agg(F.count(F.lit(1)).alias("_children"), *[F.sum(c).alias(f"_{c}") for c in ("n", "blocked", "labelled", "paths")])
+        node = child.groupBy("host", "template").agg(F.count(F.lit(1)).alias("_children"), *[F.sum(c).alias(f"_{c}") for c in ("n", "blocked", "labelled")])
         node = materialise(node, "nodes")
         if node.isEmpty():
             break
@@ -87,17 +88,40 @@ def templates(urls: DataFrame, siblings: int = 16, rare: float = 4.0, z: float =
         differs = F.coalesce((F.col("labelled") > 0) & (F.abs(rate - pooled) > z * deviation), F.lit(False))
         crowded = (F.col("_children") > siblings) & (F.col("n") < rare) & (F.col("_n") < rare * F.col("_children"))
         literal = ~F.col("segment").rlike(_IDENTIFIER) & ~crowded & differs
-        grown = F.concat("template", F.lit("/"), F.when(literal, F.col("segment")).otherwise(F.lit("*")))
-        named = child.join(node, ["host", "template"]).select("host", "template", "segment", grown.alias("grown"), (F.col("_paths") == 1).alias("alone"))
+        name = F.when(literal, F.col("segment")).otherwise(F.lit("*"))
+        apart = node.where("_children > 1")
+        named = child.join(apart, ["host", "template"]).select("host", "template", "segment", name.alias("name"), (F.col("paths") == 1).alias("alone"))
         named = materialise(named, "named")
-        rest = F.when(F.col("alone"), F.repeat(F.lit("/*"), F.size("segments") - level - 1)).otherwise(F.lit(""))
-        kept = F.when(F.col("alone"), F.slice("segments", 1, level + 1)).otherwise(F.col("segments"))
-        rows = deeper.join(named, ["host", "template", "segment"]).withColumns({"template": F.concat("grown", rest), "segments": kept})
-        level += 1
-        rows = materialise(rows.drop("grown", "segment", "alone"), f"urls-{level}")
+        beyond = F.when(F.col("alone"), F.size("rest") - 1).otherwise(0)
+        grown = F.concat("template", F.lit("/"), "name", F.repeat(F.lit("/*"), beyond))
+        moved = deeper.join(named, ["host", "template", "segment"]).withColumns({"template": grown, "rest": _behind("rest", beyond + 1)}).drop("name", "alone", "segment")
+        only = node.where("_children = 1").select("host", "template")
+        if not only.isEmpty():
+            moved = moved.unionByName(_down_chains(deeper.drop("segment").join(only, ["host", "template"], "left_semi")))
+        rows = materialise(moved, "urls")
     return done.select("host", "path", "template", "n", "blocked", "labelled")
 
 
+def _behind(segments: str, n: Column) -> Column:
+    """What is left of an array behind its first ``n``, or nothing."""
+    return F.slice(segments, n + 1, F.size(segments))
+
+
+def _down_chains(rows: DataFrame) -> DataFrame:
+    """Rows whose nodes have one child each, moved on to where the paths of a node part, or to their ends.
+
+    The last path of a node in order is an extension of no other; where another that is not the beginning of
+    it leaves it, the paths part.
+    """
+    nodes = ["host", "template"]
+    last = materialise(rows.groupBy(*nodes).agg(F.max("rest").alias("_last")), "last-paths")
+    differs = F.array_position(F.zip_with("rest", "_last", lambda a, b: a.eqNullSafe(b)), F.lit(False)).cast("int") - 1
+    leaves = F.when((differs >= 0) & (differs < F.size("rest")), differs)
+    shared = materialise(rows.join(last, nodes).groupBy(*nodes).agg(F.min(leaves).alias("_shared")), "chains")
+    steps = F.least(F.coalesce("_shared", F.size("rest")), F.size("rest"))
+    return rows.join(shared, nodes).withColumns({"template": F.concat("template", F.repeat(F.lit("/*"), steps)), "rest": _behind("rest", steps)}).drop("_shared")
+
+
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, strength: float = 4.0, reject: float = 0.5) -> DataFrame:
     """``pages`` with host, path, rule, template, block_rate and verdict.
 
