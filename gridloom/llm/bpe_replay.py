@@ -375,7 +375,10 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
-    """Add ``out``: the bytes that the ids of :func:`encode` stand for; null ids give none."""
+    """Add ``out``: the bytes that the ids of :func:`encode` stand for; null ids give none.
+
+    Repeated rows are alike, an empty table gives an empty one; a column called ``out`` is replaced, others stay.
+    """
     return small_batches(encoded).withColumn(out, F.pandas_udf(_decoder(path), T.BinaryType())(F.col(f"`{ids}`")))
 
 

@@ -199,7 +199,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
 
 
 def repeat(docs: DataFrame, mixed: DataFrame, row: str) -> DataFrame:
-    """The rows of ``docs``, each as often as ``mixed`` takes it; both know a row by its number in ``row``."""
+    """The rows of ``docs``, each as often as ``mixed`` takes it; both know a row by its number in ``row``.
+
+    Rows that ``mixed`` does not know or takes 0 times are left out, so an empty table on either side gives an
+    empty one; equal rows with numbers of their own are rows of their own; ``row`` is dropped, other columns stay.
+    """
     taken = mixed.where("copies > 0").select(F.col("row").alias("_row"), F.col("copies").alias("_copies"))
     joined = docs.join(taken, F.col(row) == F.col("_row"))
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[c for c in docs.columns if c != row])

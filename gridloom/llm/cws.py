@@ -99,7 +99,10 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", samples: int = SAMPLES, out: str = "fingerprint") -> DataFrame:
-    """Add ``out``: the fingerprint of a text in hex, four digits a draw; '' without words or text."""
+    """Add ``out``: the fingerprint of a text in hex, four digits a draw; '' without words or text.
+
+    Repeated rows are alike, an empty table gives an empty one; a column called ``out`` is replaced, others stay.
+    """
 
     @F.pandas_udf(T.StringType())
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -208,7 +208,10 @@ def fit(featured: DataFrame, trusted: Column, prior: float | None = None, ridge:
 
 
 def score(featured: DataFrame, model: Model, out: str = "score") -> DataFrame:
-    """Add ``out``: probability of good quality, from 0 to 1."""
+    """Add ``out``: probability of good quality, from 0 to 1, of rows with ``shape``.
+
+    Repeated rows are alike, an empty table gives an empty one; a column called ``out`` is replaced, others stay.
+    """
 
     @F.pandas_udf(T.DoubleType())
     def of(shapes: pd.Series) -> pd.Series:

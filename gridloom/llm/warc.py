@@ -153,7 +153,8 @@ _RECORD_SCHEMA = "record_id string, kind string, target string, digest string, r
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the archives in a folder, segments apart."""
+    """Every record of the archives in a folder, segments apart; none of an empty folder.  A record that is
+    written twice is there twice."""
 
     def parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in _RECORD_SCHEMA.split(", ")]
@@ -177,7 +178,8 @@ def reassemble(records: DataFrame) -> DataFrame:
     """Whole records: segments of an origin in order of their numbers, as one block.
 
     ``complete`` is false (and ``block`` null) where a number is missing or the blocks' lengths do not
-    add up to the total length.  A segment that stands twice counts once.
+    add up to the total length.  A segment that stands twice counts once; a record
+    without segments that stands twice stays twice.  No records give none; other columns are dropped.
     """
     whole = records.where(F.col("number").isNull()).select("record_id", "kind", "target", "digest", "refers_to", "block", F.lit(True).alias("complete"))
     first = F.col("number") == 1
@@ -201,7 +203,8 @@ def reassemble(records: DataFrame) -> DataFrame:
 
 def with_payload(records: DataFrame) -> DataFrame:
     """Add ``payload`` (decoded; null for revisits and incomplete records) and ``stated_bytes``,
-    the length that a revisit states."""
+    the length that a revisit states.  Repeated records are alike, no records give none; columns of the two
+    names are replaced, others stay."""
 
     @F.pandas_udf(T.StructType([T.StructField("payload", T.BinaryType()), T.StructField("stated_bytes", T.LongType())]))
     def decoded(kinds: pd.Series, blocks: pd.Series) -> pd.DataFrame:
@@ -218,12 +221,13 @@ def with_payload(records: DataFrame) -> DataFrame:
                 out.append((unchunked(body) if fields.get(b"transfer-encoding") == b"chunked" else body, None))
         return pd.DataFrame(out, columns=["payload", "stated_bytes"]).astype({"stated_bytes": "Int64"})
 
-    return records.withColumn("_http", decoded("kind", "block")).select("*", "_http.payload", "_http.stated_bytes").drop("_http", "block")
+    return records.drop("payload", "stated_bytes").withColumn("_http", decoded("kind", "block")).select("*", "_http.payload", "_http.stated_bytes").drop("_http", "block")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Whole records of a folder: record_id, page_id, kind, target, digest, refers_to (a page_id),
-    complete, payload, stated_bytes."""
+    complete, payload, stated_bytes.  An empty folder has none; what stands twice is treated as in
+    :func:`reassemble`; an identifier without a page's number has a null page_id."""
     records = with_payload(reassemble(read_records(spark, path)))
     number = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(-?[0-9]+)', 1) AS BIGINT)")
     return records.withColumn("page_id", number("record_id")).withColumn("refers_to", number("refers_to")).withColumn("digest", F.regexp_replace("digest", "^sha1:", ""))
