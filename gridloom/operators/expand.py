@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import snapshots
 from . import interp
 
 AMOUNTS = ("best", "low", "high")
@@ -106,6 +108,31 @@ def allocate(rows: DataFrame, value: str, share: str, keys: Sequence[str], *orde
     return (floor + F.floor(rest / n) + F.when(rank <= F.pmod(rest, n), 1).otherwise(0)).cast("long")
 
 
+def _at_polygons(events: DataFrame, known: DataFrame, least_precise: int, country_from: int) -> DataFrame:
+    """Events with what ``known`` (_at, _code, ..., and _level where there are levels) says of their cell, null where
+    they are located well or nothing is known."""
+    vague = F.coalesce(F.col("where_prec") >= least_precise, F.lit(False)) & (F.coalesce("priogrid_gid", F.lit(0)) > 0)
+    at = vague & (F.col("priogrid_gid") == F.col("_at"))
+    if "_level" in known.columns:
+        at = at & (F.col("_level") == F.when(F.col("where_prec") >= country_from, 0).otherwise(1))
+    return events.join(known, at, "left")
+
+
+def _ranked_cells(weights: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each polygon's cells (to, share) as one array ``_cells``, by descending share."""
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("share")).alias("order"), F.col("pgid").alias("to"), "share")))
+    return weights.groupBy(*[F.col(k).alias(f"_w{k}") for k in keys]).agg(ranked.alias("_cells"))
+
+
+def _rest(value: Column) -> Column:
+    return value - F.aggregate("_cells", F.lit(0).cast("long"), lambda sum_, c: sum_ + F.floor(value * c["share"]))
+
+
+def _part(value: Column, share: Column, rest: Column, n: Column, rank: Column) -> Column:
+    """What a cell gets, the ``rank``-th of n from 0."""
+    return F.floor(value * share) + F.floor(rest / n) + F.when(rank < F.pmod(rest, n), 1).otherwise(0)
+
+
 def distribute(events: DataFrame, weights: DataFrame, codes: DataFrame, amounts: Sequence[str] = AMOUNTS, least_precise: int = 4, country_from: int = 6) -> DataFrame:
     """Imprecisely located events over their polygon's cells by weight; others, and those without polygon,
     as they are.
@@ -119,25 +146,17 @@ def distribute(events: DataFrame, weights: DataFrame, codes: DataFrame, amounts:
     A polygon's cells (at most the grid's) are one array, so an event is allocated within its row and
     only then takes several rows: events are not shuffled.
     """
-    levels = "level" in codes.columns
-    keys = ["level", "code"] if levels else ["code"]
-    vague = F.coalesce(F.col("where_prec") >= least_precise, F.lit(False)) & (F.coalesce("priogrid_gid", F.lit(0)) > 0)
-    known = codes.select(F.col("pgid").alias("_at"), *[F.col(k).alias(f"_{k}") for k in keys])
-    ranked = F.sort_array(F.collect_list(F.struct((-F.col("share")).alias("order"), F.col("pgid").alias("to"), "share")))
-    arrays = weights.groupBy(*[F.col(k).alias(f"_w{k}") for k in keys]).agg(ranked.alias("_cells"))
-    at = vague & (F.col("priogrid_gid") == F.col("_at"))
-    if levels:
-        at = at & (F.col("_level") == F.when(F.col("where_prec") >= country_from, 0).otherwise(1))
-    out = events.join(known, at, "left")
+    keys = ["level", "code"] if "level" in codes.columns else ["code"]
+    out = _at_polygons(events, codes.select(F.col("pgid").alias("_at"), *[F.col(k).alias(f"_{k}") for k in keys]), least_precise, country_from)
+    arrays = _ranked_cells(weights, keys)
     same = F.col("_code") == F.col("_wcode")
-    out = out.join(arrays, same & (F.col("_level") == F.col("_wlevel")) if levels else same, "left")
+    out = out.join(arrays, same & (F.col("_level") == F.col("_wlevel")) if len(keys) > 1 else same, "left")
     whole = {a: F.coalesce(F.col(a), F.lit(0)).cast("long") for a in amounts}
-    rest = lambda v: v - F.aggregate("_cells", F.lit(0).cast("long"), lambda sum_, c: sum_ + F.floor(v * c["share"]))
-    out = out.withColumns({f"_rest_{a}": rest(v) for a, v in whole.items()} | {"_spatial_n_cells": F.when(F.col("_cells").isNotNull(), F.size("_cells"))})
+    out = out.withColumns({f"_rest_{a}": _rest(v) for a, v in whole.items()} | {"_spatial_n_cells": F.when(F.col("_cells").isNotNull(), F.size("_cells"))})
     out = out.select("*", F.posexplode_outer("_cells").alias("_i", "_cell"))
     moved = F.col("_cell").isNotNull()
     n, share = F.col("_spatial_n_cells"), F.col("_cell.share")
-    part = lambda a: F.floor(whole[a] * share) + F.floor(F.col(f"_rest_{a}") / n) + F.when(F.col("_i") < F.pmod(F.col(f"_rest_{a}"), n), 1).otherwise(0)
+    part = lambda a: _part(whole[a], share, F.col(f"_rest_{a}"), n, F.col("_i"))
     return (
         out.withColumns({a: F.when(moved, part(a).cast("long")).otherwise(F.col(a)) for a in amounts})
         .withColumns({
@@ -151,6 +170,56 @@ def distribute(events: DataFrame, weights: DataFrame, codes: DataFrame, amounts:
     )
 
 
+def distribute_totals(events: DataFrame, weights: DataFrame, codes: DataFrame, by: Sequence[str] = (), amounts: Sequence[str] = AMOUNTS, least_precise: int = 4, country_from: int = 6, staying: Column | None = None) -> DataFrame:
+    """``by``, priogrid_gid, sums of the amounts and ``n``, the number of rows, of what :func:`distribute` gives,
+    without making its rows (an event has as many as its polygon has cells).
+
+    Events of the same polygon, amounts and ``by`` are one group with a count, written to the shared folder; each
+    polygon's amounts are allocated once.  An amount leaves something in as many cells as it is large at most, and
+    only those become rows; that events also are in the others (with 0) is counted by polygon and ``by``.
+    ``staying`` filters the events that are not distributed.
+    """
+    keys = ["level", "code"] if "level" in codes.columns else ["code"]
+    sizes = weights.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    known = codes.join(F.broadcast(sizes), keys)  # a row for each polygon; those without weights are as unknown
+    known = known.select(F.col("pgid").alias("_at"), *[F.col(k).alias(f"_{k}") for k in keys], "_n")
+    named, values = [f"_{k}" for k in keys], [f"_v_{a}" for a in amounts]
+    moved = F.col("_n").isNotNull()
+    rows = _at_polygons(events, known, least_precise, country_from)
+    rows = rows if staying is None else rows.where(moved | staying)
+    # one row of _moved = false for each cell that events stay in, and one of true for each polygon and its amounts
+    groups = rows.groupBy(
+        *by,
+        moved.alias("_moved"),
+        F.when(~moved, F.col("priogrid_gid")).alias("_cell"),
+        *named,
+        *[F.when(moved, F.coalesce(F.col(a), F.lit(0)).cast("long")).alias(v) for a, v in zip(amounts, values, strict=True)],
+    ).agg(F.count(F.lit(1)).alias("_m"), *[F.sum(F.when(~moved, F.col(a))).alias(f"_sum_{a}") for a in amounts])
+    groups = snapshots.written(groups, "groups")
+    kinds = dict(groups.dtypes)
+    stay, go = groups.where("not _moved"), groups.where("_moved")
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    each = go.select(*named, *values).distinct().repartition(tasks)
+    same = [F.col(f"_{k}") == F.col(f"_w{k}") for k in keys]
+    each = each.join(_ranked_cells(weights, keys), same).withColumns({f"_rest_{a}": _rest(F.col(f"_v_{a}")) for a in amounts})
+    part = lambda a, c, i: _part(F.col(f"_v_{a}"), c["share"], F.col(f"_rest_{a}"), F.size("_cells"), i).cast("long").alias(f"_p_{a}")
+    parts = F.transform("_cells", lambda c, i: F.struct(c["to"].alias("to"), *[part(a, c, i) for a in amounts]))
+    some = lambda p: reduce(lambda x, y: x | y, [p[f"_p_{a}"] != 0 for a in amounts])
+    each = each.select(*named, *values, F.filter(parts, some).alias("_parts"))
+    # inline would have a filter on the size pushed down, with the rest in it for each cell
+    got = go.join(each, [*named, *values]).select(*by, "_m", F.inline_outer("_parts")).where(F.col("to").isNotNull())
+    got = got.select(*by, F.col("to").alias("priogrid_gid"), *[(F.col("_m") * F.col(f"_p_{a}")).cast(kinds[f"_sum_{a}"]).alias(a) for a in amounts], F.lit(0).cast("long").alias("n"))
+
+    present = go.groupBy(*by, *named).agg(F.sum("_m").alias("_m"))
+    cells = weights.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("pgid").alias("priogrid_gid")).repartition(tasks, "priogrid_gid")
+    zero = [F.lit(0).cast(kinds[f"_sum_{a}"]).alias(a) for a in amounts]
+    there = cells.join(present, named).select(*by, "priogrid_gid", *zero, F.col("_m").alias("n"))
+
+    stays = stay.select(*by, F.col("_cell").alias("priogrid_gid"), *[F.col(f"_sum_{a}").alias(a) for a in amounts], F.col("_m").alias("n"))
+    return stays.unionByName(got).unionByName(there).groupBy(*by, "priogrid_gid").agg(*[F.sum(a).alias(a) for a in amounts], F.sum("n").alias("n"))
+
+
 def last_of_year(values: DataFrame, key: str, value: str, order: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """(key, year, value): the value that comes last by ``order`` where a key has a year more than once;
     years outside ``first`` to ``last`` and null values are left out."""

@@ -1144,8 +1144,7 @@ def viewpoint_two_levels(spark: SparkSession, sf: str) -> DataFrame:
     above = table(spark, sf, "nation").select(F.col("n_nationkey").alias("code"), F.col("n_regionkey").alias("_region"))
     regions = nations.join(above, "code").select("pgid", F.col("_region").alias("code"), F.lit(0).alias("level"))
     levels = nations.where("pgid % 4 <> 0").select("pgid", "code", F.lit(1).alias("level")).unionByName(regions)
-    view = registry.build_viewpoint(rows, registry.PROFILES["default"], levels, TIES)
-    return view.groupBy("date_month", "priogrid_gid").agg(F.round(F.sum("best"), 4).alias("best"), F.count(F.lit(1)).alias("n"))
+    return registry.viewpoint_totals(rows, registry.PROFILES["default"], ("date_month",), levels, TIES).withColumn("best", F.round("best", 4))
 
 
 # ---------------------------------------------------------------- the second event source

@@ -240,6 +240,19 @@ def build_viewpoint(store: DataFrame, view: Viewpoint, polygons: DataFrame | Non
     return viewpoint(store, view, polygons, ties).rows
 
 
+def viewpoint_totals(store: DataFrame, view: Viewpoint, by: tuple[str, ...], polygons: DataFrame | None = None, ties: tuple = (), amounts: tuple[str, ...] = ("best",)) -> DataFrame:
+    """``by``, priogrid_gid, sums of the amounts and ``n``, the number of rows, of :func:`build_viewpoint`.  Under the
+    proportional rule its rows, one for each cell of an event's polygon, are not made (:func:`expand.distribute_totals`)."""
+    if view.spatial != "proportional" or polygons is None:
+        rows = build_viewpoint(store, view, polygons, ties)
+        return rows.groupBy(*by, "priogrid_gid").agg(*[F.sum(a).alias(a) for a in amounts], F.count(F.lit(1)).alias("n"))
+    rows = resolve.with_status(store, view.stale_filter, view.survivorship, ties).where("_status = 'survivor'")
+    rows = expand.split_months(rows, view.temporal, amounts, view.by_source).where(resolve.passes(max_violence=view.max_violence))
+    weights = expand.weight_map(resolve.drop_stale(store) if view.stale_filter else store, polygons)
+    staying = resolve.passes(exclude_precision=view.exclude_precision)
+    return expand.distribute_totals(rows, weights, polygons, by, amounts, staying=staying).where(resolve.passes(view.min_pgid))
+
+
 def typed(store: DataFrame, view: TypedViewpoint) -> Build:
     """The second source's events of the wanted types (null is none), with ``date_month`` (YYYY-MM), and
     n_input = n_output + n_filtered."""
