@@ -388,8 +388,8 @@ SELECT pgid, CAST(sum(v) AS BIGINT) AS best, count(*) AS n FROM (
 """)
 def proportional_distribution(spark: SparkSession, sf: str) -> DataFrame:
     rows = events(spark, sf).withColumn("priogrid_gid", F.col("cell"))
-    out = expand.distribute(rows, _weights(spark, sf), _polygons(spark, sf), amounts=("best",))
-    return out.groupBy(F.col("priogrid_gid").alias("pgid")).agg(F.sum("best").alias("best"), F.count(F.lit(1)).alias("n"))
+    out = expand.distribute_totals(rows, _weights(spark, sf), _polygons(spark, sf), amounts=("best",))
+    return out.withColumnRenamed("priogrid_gid", "pgid")
 
 
 @registered(f"""

@@ -45,3 +45,7 @@ def test_totals_of_a_view_keep_its_row_filters(spark, sf):
 
 def test_viewpoint_of_two_levels_makes_no_row_for_each_event_and_cell(spark, sf):
     assert "posexplode" not in plan(catalogue.viewpoint_two_levels(spark, sf))
+
+
+def test_distribution_makes_no_row_for_each_event_and_cell(spark, sf):
+    assert "posexplode" not in plan(catalogue.proportional_distribution(spark, sf))
