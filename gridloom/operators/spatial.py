@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,13 +147,25 @@ def _box_ring(grid: axes.GridConfig) -> Column:
     return F.array(F.array(west, south, east, south, east, north, west, north))
 
 
+def _not_farther(seen: DataFrame) -> DataFrame:
+    """(lat, lon, code, _id) of pieces whose box is no farther from a position than the nearest of the pieces' corners."""
+    off = lambda low, at, high: F.greatest(F.col(low) - F.col(at), F.lit(0.0), F.col(at) - F.col(high))
+    least = F.hypot(off("_west", "lon", "_east"), off("_south", "lat", "_north"))
+    most = F.hypot(F.col("_cx") - F.col("lon"), F.col("_cy") - F.col("lat"))
+    bounded = seen.select("lat", "lon", "code", "_id", least.alias("_least"), most.alias("_most"))
+    nearest = F.min("_most").over(Window.partitionBy("lat", "lon"))
+    return bounded.withColumn("_nearest", nearest).where(F.col("_least") <= F.col("_nearest") + 1e-9).select("lat", "lon", "code", "_id")  # rounding
+
+
 def nearest_polygon(points: DataFrame, polygons: DataFrame, square: float = 2.0, measure: str = "centre", grid: axes.GridConfig = axes.GRID) -> DataFrame:
     """Points (pgid, lat, lon) with the code of the nearest polygon, ties to the smaller code, and its distance
     in degrees: of the centre of its box, or with ``measure="edge"`` of the polygon itself (0 inside).
 
-    A point looks at what lies in its square and the eight around it, which holds all within a square's
-    width; where the best is farther, or there is none, squares twice as wide come next, for such points
-    only, until none is left; each round is written to the shared folder.  Polygons are looked at as their pieces in single cells, which no square cuts.
+    A position (of however many points) looks at what lies in its square and the eight around it, which holds
+    all within a square's width; where the best is farther, or there is none, squares twice as wide come next, for
+    such positions only, until none is left; each round is written to the shared folder.  Polygons are looked at as
+    their pieces in single cells, which no square cuts; those whose box is farther than a corner of another piece
+    cannot be nearest, so only the few others are measured.
     """
     if measure == "centre":
         mid = lambda a, b: (F.col(a) + F.col(b)) / 2
@@ -166,24 +178,30 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, square: float = 2.0,
         cells = cells.withColumns({"row": F.col("row") + F.col("_r"), "col": F.col("col") + F.col("_c"), "size": F.lit(1)})
         centre = lambda c, o: (F.col(c) + 0.5) * grid.resolution - o
         piece = F.when(F.col("whole"), _box_ring(grid)).otherwise(F.col("rings"))
-        targets = cells.select("key.code", centre("col", 180).alias("_x"), centre("row", 90).alias("_y"), piece.alias("_piece"))
+        targets = cells.select("key.code", centre("col", 180).alias("_x"), centre("row", 90).alias("_y"), piece.alias("_piece"), F.flatten(piece).alias("_flat"))
+        every = lambda odd: F.filter("_flat", lambda v, i: i % 2 == odd)
+        box = {"_west": F.array_min(every(0)), "_south": F.array_min(every(1)), "_east": F.array_max(every(0)), "_north": F.array_max(every(1))}
+        corner = {"_cx": F.element_at("_flat", 1), "_cy": F.element_at("_flat", 2)}
+        targets = targets.withColumns(box | corner | {"_id": F.monotonically_increasing_id()}).drop("_flat")
         away = _distance("lon", "lat", "_piece")
     else:
         raise ValueError(f"no measure {measure!r}; there are ['centre', 'edge']")
     targets = snapshots.written(targets, "targets")
     kind = dict(targets.dtypes)["code"]
-    open_ = points.select("pgid", "lat", "lon").where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    open_ = points.select("lat", "lon").where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).distinct()
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     done: list[DataFrame] = []
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     reach = square
     while True:
         at = lambda x, y: [F.floor((x + 180) / reach).alias("_i"), F.floor((y + 90) / reach).alias("_j")]  # noqa: B023, E731
         i, j = at(F.col("lon"), F.col("lat"))
-        here = open_.withColumn("_step", F.explode(steps))
+        here = open_.repartition(tasks, "lat", "lon").withColumn("_step", F.explode(steps))
         here = here.withColumns({"_i": i + F.col("_step.i"), "_j": j + F.col("_step.j")}).drop("_step")
-        seen = here.join(targets.select("*", *at(F.col("_x"), F.col("_y"))), ["_i", "_j"])
-        best = seen.groupBy("pgid", "lat", "lon").agg(F.min(F.struct(away.alias("distance"), F.col("code").alias("code"))).alias("_best"))
-        looked = snapshots.written(open_.join(best, ["pgid", "lat", "lon"], "left"), "looked")
+        seen = here.join(targets.drop("_piece").select("*", *at(F.col("_x"), F.col("_y"))), ["_i", "_j"])
+        seen = seen if measure == "centre" else _not_farther(seen).join(targets.select("_id", "_piece"), "_id")
+        best = seen.groupBy("lat", "lon").agg(F.min(F.struct(away.alias("distance"), F.col("code").alias("code"))).alias("_best"))
+        looked = snapshots.written(open_.join(best, ["lat", "lon"], "left"), "looked")
         near = F.coalesce(F.col("_best.distance") <= reach, F.lit(False))
         last = reach >= 360
         done.append(looked.where(F.col("_best").isNotNull() if last else near))
@@ -194,5 +212,6 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, square: float = 2.0,
     found = done[0]
     for more in done[1:]:
         found = found.unionByName(more)
+    found = points.select("pgid", "lat", "lon").join(found, ["lat", "lon"])
     found = found.select("pgid", F.col("_best").cast(f"struct<distance:double,code:{kind}>").alias("_best"))
     return found.groupBy("pgid").agg(F.min("_best").alias("_best")).select("pgid", "_best.code", "_best.distance")
