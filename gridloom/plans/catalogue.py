@@ -1127,8 +1127,7 @@ SELECT date_month, pgid AS priogrid_gid, round(sum(v), 4) AS best, count(*) AS n
 @registered(_spread_sql("SELECT 1 AS level, s_nationkey AS code, s_suppkey AS pgid FROM supplier", "1"))
 def viewpoint_default(spark: SparkSession, sf: str) -> DataFrame:
     rows = spans(spark, sf).withColumn("priogrid_gid", F.col("cell"))
-    view = registry.build_viewpoint(rows, registry.PROFILES["default"], _polygons(spark, sf), TIES)
-    return view.groupBy("date_month", "priogrid_gid").agg(F.round(F.sum("best"), 4).alias("best"), F.count(F.lit(1)).alias("n"))
+    return registry.viewpoint_totals(rows, registry.PROFILES["default"], ("date_month",), _polygons(spark, sf), TIES).withColumn("best", F.round("best", 4))
 
 
 @registered(

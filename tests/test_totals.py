@@ -49,3 +49,7 @@ def test_viewpoint_of_two_levels_makes_no_row_for_each_event_and_cell(spark, sf)
 
 def test_distribution_makes_no_row_for_each_event_and_cell(spark, sf):
     assert "posexplode" not in plan(catalogue.proportional_distribution(spark, sf))
+
+
+def test_default_viewpoint_makes_no_row_for_each_event_and_cell(spark, sf):
+    assert "posexplode" not in plan(catalogue.viewpoint_default(spark, sf))
