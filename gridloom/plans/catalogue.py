@@ -1279,7 +1279,8 @@ def incremental_cube(spark: SparkSession, sf: str) -> DataFrame:
     chosen = lambda store: resolve.survivors(store, "annual_wins", TIES).withColumn("pgid", F.col("cell"))
     features = [gridagg.FeatureSpec("n"), gridagg.FeatureSpec("best", "sum_field", "best")]
     make = lambda store: incremental.refresh(store, chosen, lambda rows: gridagg.compile_grid(rows, features), path, "annual_wins")
-    first = events(spark, sf)
+    # the columns that the cube depends on: ties hold the cell and the amount
+    first = events(spark, sf).select("id", "_source_type", "_source_version", "month_id", *TIES)
     make(first)
     more = F.when((F.col("_source_version") == "25.9.3") & F.col("month_id").between(200, 210), F.col("best") + 7).otherwise(F.col("best"))
     make(first.where(~((F.col("_source_version") == "25.3") & (F.col("month_id") < 184))).withColumn("best", more))

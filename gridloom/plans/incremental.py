@@ -71,9 +71,16 @@ def refresh(store: DataFrame, resolve: Callable[[DataFrame], DataFrame], compile
     full rebuild.  The tables of digests lie in ``<path>.inputs`` and are replaced last, so a run that fails
     is made good by the next.  Null months are left out.
     """
+    vintages = vintage_digests(store).persist(StorageLevel.DISK_ONLY)  # compared and recorded, of one scan
+    try:
+        return _refresh(store, vintages, resolve, compile, path, settings)
+    finally:
+        vintages.unpersist()
+
+
+def _refresh(store: DataFrame, vintages: DataFrame, resolve: Callable[[DataFrame], DataFrame], compile: Callable[[DataFrame], DataFrame], path: str, settings: str) -> Refresh:
     spark = store.sparkSession
     inputs = f"{path}.inputs"
-    vintages = vintage_digests(store)
     before = _recorded(spark, inputs) if snapshots.exists(spark, path) else None
     if before is None:
         reason, changed = "no previous run", ()
@@ -86,8 +93,8 @@ def refresh(store: DataFrame, resolve: Callable[[DataFrame], DataFrame], compile
             return Refresh("same vintages and files")
         reason = "other vintages" if changed else "other files"
     rows = resolve(store).where(F.col("month_id").isNotNull()).persist(StorageLevel.DISK_ONLY)
+    months = digests(rows, "month_id").persist(StorageLevel.DISK_ONLY)
     try:
-        months = digests(rows, "month_id").persist(StorageLevel.DISK_ONLY)
         here = {r[0] for r in months.select(_year()).distinct().collect()}
         if before is None:
             snapshots.write_cube(compile(rows), path)
@@ -99,6 +106,7 @@ def refresh(store: DataFrame, resolve: Callable[[DataFrame], DataFrame], compile
                 snapshots.write_years(compile(rows.where(_year().isin(sorted(written)))), path, sorted(written), sorted(removed))
         _record(spark, inputs, settings, vintages, months, _file_digests(spark, path))
     finally:
+        months.unpersist()
         rows.unpersist()
     return Refresh(reason, changed, tuple(sorted(written)), tuple(sorted(removed)))
 
